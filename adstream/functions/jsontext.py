@@ -9,7 +9,6 @@ from pyspark.sql.types import StringType, StructType
 from adstream.schemas import EVENT_SCHEMAS, NOTICE
 
 _CORRUPT = "_corrupt_record"
-_MALFORMED = "_malformed"
 
 # Event fields that are JSON numbers in well-formed events.
 NUMBER_FIELDS = ("ad_id", "publisher_id", "latency", "ctimestamp", "campaign_id")
@@ -17,48 +16,55 @@ NUMBER_FIELDS = ("ad_id", "publisher_id", "latency", "ctimestamp", "campaign_id"
 _INTEGER_TEXT = "^(0|-?[1-9][0-9]{0,17})$"
 
 
-def _decode(df: DataFrame, schema: StructType) -> DataFrame:
-    """Add the fields of ``schema`` and a malformed flag from the ``value`` column.
+def _object_text(text: Column) -> Column:
+    """Whether a text can be one JSON object.
+
+    The parser alone takes an empty line for NULL and stops at the first
+    closing brace whatever follows it.
+    """
+    bare = F.trim(text, F.lit(" \t\r\n"))
+    return F.startswith(bare, F.lit("{")) & F.endswith(bare, F.lit("}"))
 
-    ``inline`` keeps the parse in a node of its own. As a plain projection,
-    Catalyst would push a filter on the flag below it and parse every row twice.
+
+def _parsed(schema: StructType) -> Column:
+    """The ``value`` column as an array of one struct, NULL where it is no object.
+
+    To be expanded by a generator, which is a node of its own: in a plain
+    projection Catalyst would push a filter on the fields below the parse and
+    so parse every row twice.
     """
     text = F.col("value").cast("string")
-    parsed = F.from_json(
+    fields = F.from_json(
         text,
         StructType([*schema.fields]).add(_CORRUPT, StringType()),
         {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": _CORRUPT},
     )
-    # The parser takes an empty line for NULL and stops at the closing brace.
-    not_object = text.isNull() | ~text.rlike(r"^\s*\{") | ~text.rlike(r"\}\s*$")
-    return (
-        df.select("*", F.inline(F.array(parsed)))
-        .withColumn(_MALFORMED, not_object | F.col(_CORRUPT).isNotNull())
-        .drop(_CORRUPT)
-    )
+    return F.when(_object_text(text), F.array(fields))
+
+
+def _decode(df: DataFrame, schema: StructType) -> DataFrame:
+    kept = [c for c in df.columns if c != "value"]
+    decoded = df.select(*kept, F.inline(_parsed(schema)))
+    return decoded.where(F.col(_CORRUPT).isNull()).drop(_CORRUPT)
 
 
 def parse_events(df: DataFrame, side: str) -> DataFrame:
     """Decode ``value`` into the text fields of one side, malformed rows left out."""
-    decoded = _decode(df, EVENT_SCHEMAS[side])
-    return decoded.where(~F.col(_MALFORMED)).drop("value", _MALFORMED)
+    return _decode(df, EVENT_SCHEMAS[side])
 
 
 def quarantined_events(df: DataFrame, side: str) -> DataFrame:
     """The rows :func:`parse_events` leaves out, as they arrived."""
-    decoded = _decode(df, EVENT_SCHEMAS[side])
-    return (
-        decoded.where(F.col(_MALFORMED))
-        .select(*df.columns)
-        .withColumn("value", F.col("value").cast("string"))
-        .withColumn("side", F.lit(side))
-    )
+    decoded = df.select(*df.columns, F.inline_outer(_parsed(EVENT_SCHEMAS[side])))
+    text = F.col("value").cast("string")
+    malformed = text.isNull() | ~_object_text(text) | F.col(_CORRUPT).isNotNull()
+    kept = [text.alias(c) if c == "value" else F.col(c) for c in df.columns]
+    return decoded.where(malformed).select(*kept, F.lit(side).alias("side"))
 
 
 def parse_notices(df: DataFrame) -> DataFrame:
     """Decode folder notices, malformed ones left out."""
-    decoded = _decode(df, NOTICE)
-    return decoded.where(~F.col(_MALFORMED)).drop("value", _MALFORMED)
+    return _decode(df, NOTICE)
 
 
 def _number_or_text(name: str) -> Column:

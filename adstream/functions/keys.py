@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MATCH_KEY = ("ad_id", "ad_position", "user_id", "publisher_id", "page_id")
+MATCH_KEY = ("user_id", "ad_id", "page_id", "ad_position", "publisher_id")
 PAGE_KEY = ("publisher_id", "page_id")
 
 

@@ -8,9 +8,9 @@ partitions of hot keys.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, eq
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,12 +35,12 @@ def _lookup(
     dim: DataFrame,
     keys: Sequence[tuple[Column, Column]],
     attributes: Sequence[str],
-    missing: str | None = UNKNOWN,
+    equal: Callable[[Column, Column], Column] = Column.eqNullSafe,
 ) -> DataFrame:
     """Left lookup that tells an absent key from a NULL attribute.
 
-    ``keys`` pairs an event expression with a dimension expression; NULL finds
-    NULL. A key the dimension lacks yields ``missing``; a key it has yields the
+    ``keys`` pairs an event expression with a dimension expression, ``equal``
+    compares them. A key the dimension lacks yields ``Unknown``; a key it has yields the
     attribute as it is. Of several rows with one key the least is taken, so the
     lookup never multiplies events.
     """
@@ -52,12 +52,12 @@ def _lookup(
         .agg(F.min(_ATTRS).alias(_ATTRS))
         .withColumn(_HIT, F.lit(True))
     )
-    found = reduce(and_, [k.eqNullSafe(F.col(n)) for n, (k, _) in zip(names, keys)])
+    found = reduce(and_, [equal(k, F.col(n)) for n, (k, _) in zip(names, keys)])
     kept = [c for c in df.columns if c not in attributes]
     return df.join(rows, found, "left").select(
         *[df[c] for c in kept],
         *[
-            F.when(F.col(_HIT), F.col(f"{_ATTRS}.{a}")).otherwise(F.lit(missing)).alias(a)
+            F.when(F.col(_HIT), F.col(f"{_ATTRS}.{a}")).otherwise(F.lit(UNKNOWN)).alias(a)
             for a in attributes
         ],
     )
@@ -78,7 +78,7 @@ def enrich_advertiser(df: DataFrame, dim: DataFrame) -> DataFrame:
 def enrich_page(df: DataFrame, dim: DataFrame) -> DataFrame:
     """Add ``publisher`` and ``article`` of the page a publisher shows."""
     keys = [(none_text(df[k]), none_text(dim[k])) for k in PAGE_KEY]
-    return _lookup(df, dim, keys, ["publisher", "article"])
+    return _lookup(df, dim, keys, ["publisher", "article"], eq)
 
 
 def _browser_attributes(df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
-from adstream.functions.jsontext import parse_events, quarantined_events
+from adstream.functions.jsontext import parse_events
 
 # A message as files carry it: the payload and the time it arrived.
 MESSAGE = StructType(
@@ -65,10 +65,3 @@ def read_event_lines(spark: SparkSession, paths: str | Iterable[str]) -> DataFra
 def read_batch_events(spark: SparkSession, paths: str | Iterable[str], side: str) -> DataFrame:
     """Decoded events of one side from announced files (globs work too)."""
     return parse_events(read_event_lines(spark, paths), side)
-
-
-def read_batch_quarantine(
-    spark: SparkSession, paths: str | Iterable[str], side: str
-) -> DataFrame:
-    """Lines of the same files that are not JSON objects."""
-    return quarantined_events(read_event_lines(spark, paths), side)

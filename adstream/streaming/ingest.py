@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from adstream.functions.jsontext import parse_notices
+from adstream.functions.jsontext import parse_events, parse_notices, quarantined_events
 from adstream.operators.match import match_events
 from adstream.plans.batch import process_matched, stage
-from adstream.sources.events import read_batch_events, read_batch_quarantine
+from adstream.sources.events import read_event_lines
 from adstream.sources.notices import batch_file_paths, completion_notices
 from adstream.streaming.pipeline import DimensionSource, current
 from adstream.streaming.sinks import Sinks, write_feed, write_outcome, write_partitions
@@ -39,20 +39,20 @@ def ingest_folders(
         "client": sorted({row.client_path for row in rows}),
         "server": sorted({row.server_path for row in rows}),
     }
-    client = read_batch_events(spark, paths["client"], "client")
-    server = read_batch_events(spark, paths["server"], "server")
-    matched = match_events(client, server, ("folder_path",))
+    lines = {side: read_event_lines(spark, files) for side, files in paths.items()}
+    events = {side: parse_events(rows, side) for side, rows in lines.items()}
+    matched = match_events(events["client"], events["server"], ("folder_path",))
     matched = stage(spark, matched, sinks.staging(SOURCE))
     outcome = process_matched(matched, current(dims), numeric_check, keep=("day",))
     write_outcome(outcome, sinks, SOURCE, batch_id, ("folder_path", "day", "hour"))
-    for side, files in paths.items():
-        write_partitions(
-            read_batch_quarantine(spark, files, side),
-            sinks.path("quarantine"),
-            SOURCE,
-            batch_id,
-            ("side", "source", "batch_id"),
-        )
+    rejected = [quarantined_events(rows, side) for side, rows in lines.items()]
+    write_partitions(
+        rejected[0].unionByName(rejected[1]),
+        sinks.path("quarantine"),
+        SOURCE,
+        batch_id,
+        ("side", "source", "batch_id"),
+    )
     done = completion_notices(notices).withColumn("feed", F.lit("cleanup"))
     write_feed(done, sinks, "cleanup", sinks.cleanup_topic, SOURCE, batch_id)
 

@@ -6,7 +6,7 @@ missing fields, unconfirmed beacons and duplicates on either side.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adstream.schemas import CLIENT_EVENT
@@ -48,114 +48,116 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(values: tuple[str, ...], index: Column) -> Column:
-    options = F.array(*[F.lit(v) for v in values])
-    return F.get(options, (index % len(values)).cast("int"))
+def _pick(values: tuple[str, ...], index: str) -> str:
+    options = ", ".join(repr(v) for v in values)
+    return f"get(array({options}), CAST(({index}) % {len(values)} AS INT))"
 
 
 def event_core(spark: SparkSession, sf_dir: str) -> DataFrame:
-    event_id, k, kind = F.col("event_id"), F.col("k"), F.col("event_type")
-    base = table(spark, sf_dir, "events").select(
+    """One ad view per event, before its two sides are told apart."""
+    base = table(spark, sf_dir, "events").selectExpr(
         "event_id",
-        F.col("user_id").alias("uid"),
-        "event_type",
+        "user_id AS uid",
+        "event_type AS et",
         "value",
-        (event_id % 97).alias("k"),
-        F.unix_timestamp(F.col("ts").cast("timestamp")).alias("ep"),
+        "event_id % 97 AS k",
+        "unix_timestamp(CAST(ts AS TIMESTAMP)) AS ep",
     )
-    ad_id = (400 + event_id % 100).cast("string")
-    return base.select(
+    return base.selectExpr(
         "event_id",
         "k",
         "ep",
-        (F.floor(F.col("ep") / 30) * 30).alias("win"),
-        F.when(k == 2, "abc").when(k != 1, ad_id).alias("ad_id"),
-        F.concat(F.lit("u"), F.col("uid").cast("string")).alias("user_id"),
-        F.when(k == 4, "x9")
-        .when(k != 3, _pick(PUBLISHER_IDS, event_id))
-        .alias("publisher_id"),
-        F.when(k != 5, _pick(PAGE_IDS, event_id)).alias("page_id"),
-        _pick(AD_POSITIONS, event_id + k).alias("ad_position"),
-        F.when(k != 8, _pick(USER_AGENTS, event_id)).alias("user_agent"),
-        F.when(k != 9, 1000 + F.floor(F.col("value") * 100) % 3500).alias("latency"),
-        F.when(k != 10, F.col("ep") + 12).alias("ctimestamp"),
-        F.when(kind.isin("click", "purchase"), "yes")
-        .when(kind == "view", "no")
-        .when(kind == "signup", "unknown")
-        .when(k % 2 == 0, "no")
-        .alias("clicked"),
+        "CAST(floor(ep / 30) AS BIGINT) * 30 AS win",
+        "timestamp_seconds(ep) AS publish_ts",
+        "CASE k WHEN 1 THEN NULL WHEN 2 THEN 'abc' ELSE CAST(400 + event_id % 100 AS STRING) END AS ad_id",
+        "concat('u', CAST(uid AS STRING)) AS user_id",
+        f"CASE k WHEN 3 THEN NULL WHEN 4 THEN 'x9' ELSE {_pick(PUBLISHER_IDS, 'event_id')} END AS publisher_id",
+        f"CASE WHEN k <> 5 THEN {_pick(PAGE_IDS, 'event_id')} END AS page_id",
+        f"{_pick(AD_POSITIONS, 'event_id + k')} AS ad_position",
+        f"CASE WHEN k <> 8 THEN {_pick(USER_AGENTS, 'event_id')} END AS user_agent",
+        "CASE WHEN k <> 9 THEN 1000 + CAST(floor(value * 100) AS BIGINT) % 3500 END AS latency",
+        "CASE WHEN k <> 10 THEN ep + 12 END AS ctimestamp",
+        """CASE WHEN et IN ('click', 'purchase') THEN 'yes' WHEN et = 'view' THEN 'no'
+           WHEN et = 'signup' THEN 'unknown' WHEN k % 2 = 0 THEN 'no' END AS clicked""",
     )
 
 
-def _arrived(df: DataFrame) -> DataFrame:
-    return df.withColumn("publish_ts", F.timestamp_seconds("ep"))
+def _copies(absent: int, doubled: int) -> str:
+    """Each event once; not at all where ``k`` is ``absent``, twice where ``doubled``.
 
+    The copies come out of one scan, numbered from 0.
+    """
+    return f"explode(CASE k WHEN {absent} THEN array() WHEN {doubled} THEN array(0, 1) ELSE array(0) END)"
 
-def client_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    core = event_core(spark, sf_dir)
-    columns = ("event_id", "win", "ep", *CLIENT_EVENT.names)
-    again = core.where("k = 12").withColumns(
-        {"latency": F.col("latency") + 1, "ctimestamp": F.col("ctimestamp") + 1}
+
+def client_events(core: DataFrame) -> DataFrame:
+    """Client side: a second, later beacon for some events, none for others."""
+    later = {name: f"{name} + copy AS {name}" for name in ("latency", "ctimestamp")}
+    return core.selectExpr("*", f"{_copies(absent=11, doubled=12)} AS copy").selectExpr(
+        "event_id", "win", "ep", "publish_ts", *[later.get(n, n) for n in CLIENT_EVENT.names]
     )
-    rows = core.where("k <> 11").select(*columns).unionByName(again.select(*columns))
-    return _arrived(rows)
 
 
-def server_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    core = event_core(spark, sf_dir)
-    columns = (*KEY_FIELDS, "win", "ep")
-    again = core.where("k = 14").select(*columns)
-    return _arrived(core.where("k <> 13").select(*columns).unionByName(again))
+def server_events(core: DataFrame) -> DataFrame:
+    """Server side: some events have two records, some none."""
+    rows = core.selectExpr("*", f"{_copies(absent=13, doubled=14)} AS copy")
+    return rows.select(*KEY_FIELDS, "win", "ep", "publish_ts")
 
 
-def _text(name: str) -> Column:
-    return F.concat(F.lit('"'), F.col(name), F.lit('"'))
+def _json(fields: dict[str, str]) -> str:
+    """JSON text of one object: numbers where the text is one, strings, nulls."""
+    parts = []
+    for name, kind in fields.items():
+        text = f"CAST({name} AS STRING)"
+        quoted = f"concat('\"', {text}, '\"')"
+        if kind == "id":
+            quoted = f"CASE WHEN {text} RLIKE '^[0-9]+$' THEN {text} ELSE {quoted} END"
+        parts.append(f"""'"{name}":', coalesce({text if kind == "number" else quoted}, 'null')""")
+    return "concat('{', " + ", ',', ".join(parts) + ", '}') AS value"
+
+
+CLIENT_JSON = _json(
+    {
+        "ad_id": "id",
+        "user_id": "text",
+        "publisher_id": "id",
+        "page_id": "text",
+        "ad_position": "text",
+        "user_agent": "text",
+        "latency": "number",
+        "ctimestamp": "number",
+        "clicked": "text",
+    }
+)
+SERVER_JSON = _json(
+    {
+        "ad_id": "id",
+        "user_id": "text",
+        "publisher_id": "id",
+        "page_id": "text",
+        "ad_position": "text",
+        "stimestamp": "number",
+    }
+)
 
 
-def _json(fields: dict[str, Column]) -> Column:
-    parts = []
-    for i, (name, value) in enumerate(fields.items()):
-        opening = "{" if i == 0 else ","
-        parts += [F.lit(f'{opening}"{name}":'), F.coalesce(value.cast("string"), F.lit("null"))]
-    return F.concat(*parts, F.lit("}"))
+def client_raw(core: DataFrame) -> DataFrame:
+    """Client events as the JSON messages a beacon sends."""
+    return client_events(core).selectExpr("event_id", "ep", "publish_ts", CLIENT_JSON)
 
 
-def _id(name: str) -> Column:
-    """A JSON number where the text is one, else a JSON string."""
-    return F.when(F.col(name).rlike("^[0-9]+$"), F.col(name)).otherwise(_text(name))
+def server_raw(core: DataFrame) -> DataFrame:
+    """Server events as JSON messages."""
+    events = server_events(core).withColumnRenamed("ep", "stimestamp")
+    return events.selectExpr("stimestamp AS ep", "publish_ts", SERVER_JSON)
 
 
-def client_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Client events as the JSON messages a beacon sends."""
-    value = _json(
-        {
-            "ad_id": _id("ad_id"),
-            "user_id": _text("user_id"),
-            "publisher_id": _id("publisher_id"),
-            "page_id": _text("page_id"),
-            "ad_position": _text("ad_position"),
-            "user_agent": _text("user_agent"),
-            "latency": F.col("latency"),
-            "ctimestamp": F.col("ctimestamp"),
-            "clicked": _text("clicked"),
-        }
-    )
-    rows = client_events(spark, sf_dir)
-    return rows.select("event_id", "win", "ep", "publish_ts", value.alias("value"))
-
-
-def server_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    value = _json(
-        {
-            "ad_id": _id("ad_id"),
-            "user_id": _text("user_id"),
-            "publisher_id": _id("publisher_id"),
-            "page_id": _text("page_id"),
-            "ad_position": _text("ad_position"),
-            "stimestamp": F.col("ep"),
-        }
+def _values(spark: SparkSession, columns: str, rows: list[tuple]) -> DataFrame:
+    """A table of literals; unlike a parallelised list its size is known to the planner."""
+    literal = ", ".join(
+        "(" + ", ".join("NULL" if v is None else repr(v) for v in row) + ")" for row in rows
     )
-    return server_events(spark, sf_dir).select("win", "ep", "publish_ts", value.alias("value"))
+    return spark.sql(f"SELECT * FROM VALUES {literal} AS t({columns})")
 
 
 def ad_position(spark: SparkSession) -> DataFrame:
@@ -166,7 +168,7 @@ def ad_position(spark: SparkSession) -> DataFrame:
         ("RBANNER1", "Right", "160x600"),
         ("SCROLL1", "Scroll", None),
     ]
-    return spark.createDataFrame(rows, "ad_position string, Location string, Size string")
+    return _values(spark, "ad_position, Location, Size", rows)
 
 
 def advertiser(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,8 +194,8 @@ def page(spark: SparkSession) -> DataFrame:
         for number, title in publishers
         for name in ("SPORTS_1", "FINANCE_3", "FASHION_4", "TECH_5", "GAMES_3")
     ]
-    schema = "publisher_id bigint, page_id string, publisher string, article string"
-    return spark.createDataFrame(rows, schema)
+    pages = _values(spark, "publisher_id, page_id, publisher, article", rows)
+    return pages.withColumn("publisher_id", F.col("publisher_id").cast("bigint"))
 
 
 def dimensions(spark: SparkSession, sf_dir: str) -> Dimensions:

@@ -31,18 +31,26 @@ EVENT = ("event_id", "win", *CLIENT_EVENT.names)
 VERDICT = ("validity_status", "invalid_field")
 
 
-def _windowed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    client = assign_window(inputs.client_events(spark, sf))
-    return client, assign_window(inputs.server_events(spark, sf))
+def _client(spark: SparkSession, sf: str) -> DataFrame:
+    return inputs.client_events(inputs.event_core(spark, sf))
+
+
+def _matched_of(core: DataFrame) -> DataFrame:
+    client = assign_window(inputs.client_events(core))
+    server = assign_window(inputs.server_events(core))
+    return match_events(client, server, ("window",), ORDER_BY)
+
+
+def _matched_batch_of(core: DataFrame) -> DataFrame:
+    return match_events(inputs.client_events(core), inputs.server_events(core), (), ORDER_BY)
 
 
 def _matched(spark: SparkSession, sf: str) -> DataFrame:
-    return match_events(*_windowed(spark, sf), ("window",), ORDER_BY)
+    return _matched_of(inputs.event_core(spark, sf))
 
 
 def _matched_batch(spark: SparkSession, sf: str) -> DataFrame:
-    client, server = inputs.client_events(spark, sf), inputs.server_events(spark, sf)
-    return match_events(client, server, (), ORDER_BY)
+    return _matched_batch_of(inputs.event_core(spark, sf))
 
 
 def _validated(spark: SparkSession, sf: str, numeric_check: bool = False) -> DataFrame:
@@ -54,7 +62,9 @@ def _valid(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _outcome(spark: SparkSession, sf: str) -> Outcome:
-    client, server = _windowed(spark, sf)
+    core = inputs.event_core(spark, sf)
+    client = assign_window(inputs.client_events(core))
+    server = assign_window(inputs.server_events(core))
     return run_batch(client, server, inputs.dimensions(spark, sf), order_by=ORDER_BY)
 
 
@@ -63,12 +73,13 @@ def _impressions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def parse(spark: SparkSession, sf: str) -> DataFrame:
-    events = parse_events(inputs.client_raw(spark, sf).drop("win", "ep", "publish_ts"), "client")
+    raw = inputs.client_raw(inputs.event_core(spark, sf)).select("event_id", "value")
+    events = parse_events(raw, "client")
     return events.select("event_id", *CLIENT_EVENT.names)
 
 
 def encode(spark: SparkSession, sf: str) -> DataFrame:
-    events = inputs.client_events(spark, sf).select("event_id", *CLIENT_EVENT.names)
+    events = _client(spark, sf).select("event_id", *CLIENT_EVENT.names)
     return encode_rows(events, "event_id")
 
 
@@ -78,7 +89,7 @@ def file_paths(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def window_assign(spark: SparkSession, sf: str) -> DataFrame:
-    return assign_window(inputs.client_events(spark, sf)).select(
+    return assign_window(_client(spark, sf)).select(
         "event_id",
         "ep",
         F.unix_timestamp("window.start").alias("window_start"),
@@ -87,7 +98,8 @@ def window_assign(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def flatten(spark: SparkSession, sf: str) -> DataFrame:
-    batch, stream = _matched_batch(spark, sf), _matched(spark, sf)
+    core = inputs.event_core(spark, sf)
+    batch, stream = _matched_batch_of(core), _matched_of(core)
     return flatten_matches(batch.select(*EVENT), stream.select(*EVENT))
 
 
@@ -107,7 +119,7 @@ def page(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def user_agent_dim(spark: SparkSession, sf: str) -> DataFrame:
-    events = inputs.client_events(spark, sf).where("user_agent IS NOT NULL")
+    events = _client(spark, sf).where("user_agent IS NOT NULL")
     return enrich.build_user_agent_dim(events)
 
 
@@ -131,7 +143,8 @@ def _with_sentinel(messages: DataFrame) -> DataFrame:
 def stream_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     """Replay both sides as streams through the continuous job; read its table."""
     root = scratch_path(spark, "stream_pipeline")
-    raw = {"client": inputs.client_raw(spark, sf), "server": inputs.server_raw(spark, sf)}
+    core = inputs.event_core(spark, sf)
+    raw = {"client": inputs.client_raw(core), "server": inputs.server_raw(core)}
     streams = {}
     for side, messages in raw.items():
         path = f"{root}/in/{side}"
@@ -154,9 +167,10 @@ def notice_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """Lay events out as hourly folders, announce them, ingest; read the table."""
     root = scratch_path(spark, "notice_ingest")
     arrived = F.timestamp_seconds("ep")
+    core = inputs.event_core(spark, sf)
     sides = (
-        (inputs.client_raw(spark, sf), "client_events.json"),
-        (inputs.server_raw(spark, sf), "server_events.json"),
+        (inputs.client_raw(core), "client_events.json"),
+        (inputs.server_raw(core), "server_events.json"),
     )
     lines = [
         raw.select(
