@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
@@ -12,8 +15,6 @@ _CORRUPT = "_corrupt_record"
 
 # Event fields that are JSON numbers in well-formed events.
 NUMBER_FIELDS = ("ad_id", "publisher_id", "latency", "ctimestamp", "campaign_id")
-# An integer that fits a BIGINT and is spelt the way JSON spells it.
-_INTEGER_TEXT = "^(0|-?[1-9][0-9]{0,17})$"
 
 
 def _object_text(text: Column) -> Column:
@@ -22,8 +23,10 @@ def _object_text(text: Column) -> Column:
     The parser alone takes an empty line for NULL and stops at the first
     closing brace whatever follows it.
     """
-    bare = F.trim(text, F.lit(" \t\r\n"))
-    return F.startswith(bare, F.lit("{")) & F.endswith(bare, F.lit("}"))
+    # Most texts have nothing around the braces, and trimming is slow.
+    bare, open_, close = F.trim(text, F.lit(" \t\r\n")), F.lit("{"), F.lit("}")
+    tight = F.startswith(text, open_) & F.endswith(text, close)
+    return tight | (F.startswith(bare, open_) & F.endswith(bare, close))
 
 
 def _parsed(schema: StructType) -> Column:
@@ -67,21 +70,32 @@ def parse_notices(df: DataFrame) -> DataFrame:
     return _decode(df, NOTICE)
 
 
-def _number_or_text(name: str) -> Column:
-    text = F.col(name).cast("string")
-    number = F.when(text.rlike(_INTEGER_TEXT), text.cast("bigint").cast("variant"))
-    return number.otherwise(text.cast("variant")).alias(name)
+def _variant(name: str) -> Column:
+    """The JSON number a text spells, or else the text as a JSON string."""
+    text, number = F.col(name).cast("string"), F.col(name).try_cast("bigint")
+    spelt = number.cast("string") == text
+    return F.when(spelt, number.cast("variant")).otherwise(text.cast("variant")).alias(name)
 
 
 def encode_rows(df: DataFrame, *keep: str) -> DataFrame:
     """One JSON object per row in ``value``; NULL fields are written as null.
 
-    Columns named in ``keep`` are carried along instead of encoded.
+    Columns named in ``keep`` are carried along instead of encoded. Number
+    fields whose text spells no number are written as strings. As most rows
+    have none, the others take the plain BIGINT encoding, at half the cost.
     """
-    fields = [
-        _number_or_text(name) if name in NUMBER_FIELDS else F.col(name)
-        for name in df.columns
-        if name not in keep
+    options = {"ignoreNullFields": "false"}
+    fields = [name for name in df.columns if name not in keep]
+    numbers = [name for name in fields if name in NUMBER_FIELDS]
+    spelt = [
+        F.col(n).try_cast("bigint").cast("string").eqNullSafe(F.col(n).cast("string"))
+        for n in numbers
+    ]
+    typed = [
+        F.col(n).try_cast("bigint").alias(n) if n in numbers else F.col(n) for n in fields
     ]
-    value = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    mixed = [_variant(n) if n in numbers else F.col(n) for n in fields]
+    value = F.when(
+        reduce(and_, spelt, F.lit(True)), F.to_json(F.struct(*typed), options)
+    ).otherwise(F.to_json(F.struct(*mixed), options))
     return df.select(*keep, value.alias("value"))

@@ -60,23 +60,40 @@ BROWSER_COLUMNS = (
 )
 
 
-def _first_rule(text: Column, rules, result, default: Column) -> Column:
-    chain = None
-    for name, pattern in rules:
-        hit, value = text.rlike(pattern), result(name, pattern)
-        chain = F.when(hit, value) if chain is None else chain.when(hit, value)
-    return chain.otherwise(default)
+def _first_rule(text: Column, rules) -> Column:
+    """Position of the first rule that matches, counted from 0; NULL for none."""
+    chain = F
+    for i, (_, pattern) in enumerate(rules):
+        chain = chain.when(text.rlike(pattern), i)
+    return chain
 
 
-def name_and_version(user_agent: Column, rules) -> Column:
-    """Struct of name and version; the chain of patterns is walked once for both."""
+def _item(values, position: Column) -> Column:
+    return F.get(F.array(*[F.lit(v) for v in values]), position)
 
-    def result(name: str, pattern: str) -> Column:
-        version = F.translate(F.regexp_extract(user_agent, pattern, 1), "_", ".")
-        return F.struct(F.lit(name).alias("name"), version.alias("version"))
 
-    other = F.struct(F.lit("Other").alias("name"), F.lit("").alias("version"))
-    return _first_rule(user_agent, rules, result, other)
+def first_browser(user_agent: Column) -> Column:
+    return _first_rule(user_agent, BROWSER_RULES)
+
+
+def first_os(user_agent: Column) -> Column:
+    return _first_rule(user_agent, OS_RULES)
+
+
+def rule_name(rules, position: Column) -> Column:
+    return F.coalesce(_item([name for name, _ in rules], position), F.lit("Other"))
+
+
+def rule_version(user_agent: Column, rules, position: Column) -> Column:
+    """Version by the rule found before.
+
+    The pattern is looked up instead of spelt out per rule: sixteen extractions
+    in one projection make generated code too long for the JVM to compile.
+    """
+    pattern = _item([p for _, p in rules], position)
+    found = F.call_function("regexp_extract", user_agent, pattern, F.lit(1))
+    version = F.translate(found, "_", ".")
+    return F.coalesce(version, F.lit(""))
 
 
 def device_model(user_agent: Column) -> Column:
@@ -85,4 +102,4 @@ def device_model(user_agent: Column) -> Column:
 
 
 def device_brand(model: Column) -> Column:
-    return _first_rule(model, BRAND_RULES, lambda name, _: F.lit(name), F.lit(None))
+    return _item([name for name, _ in BRAND_RULES], _first_rule(model, BRAND_RULES))

@@ -22,7 +22,10 @@ from adstream.functions.useragent import (
     OS_RULES,
     device_brand,
     device_model,
-    name_and_version,
+    first_browser,
+    first_os,
+    rule_name,
+    rule_version,
 )
 from adstream.sources.dimensions import Dimensions
 
@@ -81,26 +84,33 @@ def enrich_page(df: DataFrame, dim: DataFrame) -> DataFrame:
     return _lookup(df, dim, keys, ["publisher", "article"], eq)
 
 
+def _parsed_agent(agent: Column) -> list[Column]:
+    return [
+        first_browser(agent).alias("_browser"),
+        first_os(agent).alias("_os"),
+        device_model(agent).alias("_model"),
+    ]
+
+
+def _attributes(agent: Column) -> dict[str, Column]:
+    """The seven columns, from an agent and what :func:`_parsed_agent` found."""
+    browser, system, model = F.col("_browser"), F.col("_os"), F.col("_model")
+    return {
+        "Browser": rule_name(BROWSER_RULES, browser),
+        "Browser_version": rule_version(agent, BROWSER_RULES, browser),
+        "Client_OS": rule_name(OS_RULES, system),
+        "Client_OS_Ver": rule_version(agent, OS_RULES, system),
+        "Client_Device": F.coalesce(model, F.lit("Other")),
+        "Client_Device_Brand": device_brand(model),
+        "Client_Device_Model": model,
+    }
+
+
 def _browser_attributes(df: DataFrame) -> DataFrame:
     agent = F.col("user_agent")
     kept = [c for c in df.columns if c not in BROWSER_COLUMNS]
-    # Two projections: each pattern chain is evaluated once, then taken apart.
-    parsed = df.select(
-        *kept,
-        name_and_version(agent, BROWSER_RULES).alias("_browser"),
-        name_and_version(agent, OS_RULES).alias("_os"),
-        device_model(agent).alias("_model"),
-    )
-    return parsed.select(
-        *kept,
-        F.col("_browser.name").alias("Browser"),
-        F.col("_browser.version").alias("Browser_version"),
-        F.col("_os.name").alias("Client_OS"),
-        F.col("_os.version").alias("Client_OS_Ver"),
-        F.coalesce("_model", F.lit("Other")).alias("Client_Device"),
-        device_brand(F.col("_model")).alias("Client_Device_Brand"),
-        F.col("_model").alias("Client_Device_Model"),
-    )
+    parsed = df.select(*kept, *_parsed_agent(agent))
+    return parsed.select(*kept, *[c.alias(n) for n, c in _attributes(agent).items()])
 
 
 def build_user_agent_dim(events: DataFrame) -> DataFrame:
@@ -124,29 +134,14 @@ def enrich_browser(df: DataFrame, ua_dim: DataFrame | None = None) -> DataFrame:
     known = known.groupBy("_ua").agg(F.min("_d").alias("_d"))
     kept = [c for c in df.columns if c not in BROWSER_COLUMNS]
     joined = df.select(*kept).join(known, F.col("user_agent").eqNullSafe(F.col("_ua")), "left")
-    unseen = F.when(F.col("_d").isNull(), F.col("user_agent"))
-    return joined.select(
-        *kept,
-        "_d",
-        name_and_version(unseen, BROWSER_RULES).alias("_browser"),
-        name_and_version(unseen, OS_RULES).alias("_os"),
-        device_model(unseen).alias("_model"),
-    ).select(
+    joined = joined.withColumn("_unseen", F.when(F.col("_d").isNull(), F.col("user_agent")))
+    unseen = F.col("_unseen")
+    parsed = joined.select(*kept, "_d", "_unseen", *_parsed_agent(unseen))
+    return parsed.select(
         *kept,
         *[
             F.when(F.col("_d").isNotNull(), F.col(f"_d.{name}")).otherwise(value).alias(name)
-            for name, value in zip(
-                BROWSER_COLUMNS,
-                (
-                    F.col("_browser.name"),
-                    F.col("_browser.version"),
-                    F.col("_os.name"),
-                    F.col("_os.version"),
-                    F.coalesce("_model", F.lit("Other")),
-                    device_brand(F.col("_model")),
-                    F.col("_model"),
-                ),
-            )
+            for name, value in _attributes(unseen).items()
         ],
     )
 
