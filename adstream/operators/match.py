@@ -61,8 +61,8 @@ def match_events(
     fields before others, so the result does not depend on input order.
     """
     scope = list(scope)
-    # The aggregation sorts, comparing key columns from the left: the field that
-    # tells most rows apart goes first, the window struct last.
+    # The aggregation sorts, comparing columns from the left: after the scope
+    # comes the field that tells most rows apart.
     keys = [f"_k_{name}" for name in MATCH_KEY]
     events = [name for name in CLIENT_EVENT.names if name in client.columns]
     payload = events + [n for n in client.columns if n not in events and n not in scope]
@@ -79,7 +79,7 @@ def match_events(
     records = server.select(*scope, *match_key_cols(), F.lit(True).alias(_SERVER))
     groups = (
         beacons.unionByName(records, allowMissingColumns=True)
-        .groupBy(*keys, *scope)
+        .groupBy(*scope, *keys)
         .agg(F.min(_ROW).alias(_ROW), F.max(_SERVER).alias(_SERVER))
     )
     confirmed = groups.where(F.col(_SERVER) & F.col(_ROW).isNotNull())

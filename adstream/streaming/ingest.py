@@ -12,7 +12,13 @@ from adstream.plans.batch import process_matched, stage
 from adstream.sources.events import read_event_lines
 from adstream.sources.notices import batch_file_paths, completion_notices
 from adstream.streaming.pipeline import DimensionSource, current
-from adstream.streaming.sinks import Sinks, write_feed, write_outcome, write_partitions
+from adstream.streaming.sinks import (
+    Sinks,
+    outcome_writes,
+    run_together,
+    write_feed,
+    write_partitions,
+)
 
 SOURCE = "batch"
 
@@ -44,15 +50,14 @@ def ingest_folders(
     matched = match_events(events["client"], events["server"], ("folder_path",))
     matched = stage(spark, matched, sinks.staging(SOURCE))
     outcome = process_matched(matched, current(dims), numeric_check, keep=("day",))
-    write_outcome(outcome, sinks, SOURCE, batch_id, ("folder_path", "day", "hour"))
     rejected = [quarantined_events(rows, side) for side, rows in lines.items()]
-    write_partitions(
-        rejected[0].unionByName(rejected[1]),
-        sinks.path("quarantine"),
-        SOURCE,
-        batch_id,
-        ("side", "source", "batch_id"),
-    )
+
+    def quarantine() -> None:
+        rows, path = rejected[0].unionByName(rejected[1]), sinks.path("quarantine")
+        write_partitions(rows, path, SOURCE, batch_id, ("side", "source", "batch_id"))
+
+    internal = ("folder_path", "day", "hour")
+    run_together(*outcome_writes(outcome, sinks, SOURCE, batch_id, internal), quarantine)
     done = completion_notices(notices).withColumn("feed", F.lit("cleanup"))
     write_feed(done, sinks, "cleanup", sinks.cleanup_topic, SOURCE, batch_id)
 

@@ -13,7 +13,12 @@ from adstream.operators.match import assign_window, match_events, with_arrival_w
 from adstream.plans.batch import process_matched, stage
 from adstream.session import STREAM_CONF, session_conf
 from adstream.sources.dimensions import Dimensions
-from adstream.streaming.sinks import Sinks, write_outcome, write_partitions
+from adstream.streaming.sinks import (
+    Sinks,
+    outcome_writes,
+    run_together,
+    write_partitions,
+)
 
 SOURCE = "stream"
 DimensionSource = Dimensions | Callable[[], Dimensions]
@@ -71,7 +76,8 @@ def start_stream(
         outcome = process_matched(
             matched.withColumn("day", day), current(dims), numeric_check, keep=("day",)
         )
-        write_outcome(outcome, sinks, SOURCE, batch_id, ("window", "publish_ts", "day"))
+        internal = ("window", "publish_ts", "day")
+        run_together(*outcome_writes(outcome, sinks, SOURCE, batch_id, internal))
 
     matched = matched_stream(client, server, delay)
     with session_conf(spark, STREAM_CONF):

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -83,20 +85,41 @@ def feed_messages(outcome: Outcome, drop: tuple[str, ...] = ()) -> DataFrame:
     return validated.unionByName(enriched)
 
 
-def write_outcome(
+def run_together(*writes: Callable[[], None]) -> None:
+    """Run independent writes as concurrent Spark jobs; fail if any of them does.
+
+    The last tasks of one then leave no executors idle. The threads take over
+    the job group of the query, so stopping it stops them.
+    """
+    with ThreadPoolExecutor(len(writes)) as pool:
+        running = [pool.submit(inheritable_thread_target(write)) for write in writes]
+    for write in running:
+        write.result()
+
+
+def outcome_writes(
     outcome: Outcome, sinks: Sinks, source: str, batch_id: int, internal: tuple[str, ...]
-) -> None:
-    """Write both tables and the feed of one batch.
+) -> list[Callable[[], None]]:
+    """The writes of both tables and the feed of one batch.
 
     ``internal`` names columns the feed leaves out. The table frames carry
     ``day``, the arrival day they are partitioned by: client clocks are free
     text, so a day taken from them could be any number of partitions.
     """
-    tables = (("Ad_impressions", outcome.impressions), ("Ad_impressions_Invalid", outcome.invalid))
-    for name, rows in tables:
-        write_partitions(rows, sinks.path(name), source, batch_id, PARTITIONS)
-    messages = feed_messages(outcome, internal)
-    write_feed(messages, sinks, "feed", sinks.feed_topic, source, batch_id)
+
+    def impressions() -> None:
+        path = sinks.path("Ad_impressions")
+        write_partitions(outcome.impressions, path, source, batch_id, PARTITIONS)
+
+    def invalid() -> None:
+        path = sinks.path("Ad_impressions_Invalid")
+        write_partitions(outcome.invalid, path, source, batch_id, PARTITIONS)
+
+    def feed() -> None:
+        messages = feed_messages(outcome, internal)
+        write_feed(messages, sinks, "feed", sinks.feed_topic, source, batch_id)
+
+    return [impressions, invalid, feed]
 
 
 def append_web_users(rows: DataFrame, path: str) -> None:
