@@ -57,7 +57,7 @@ def ingest_folders(
         write_partitions(rows, path, SOURCE, batch_id, ("side", "source", "batch_id"))
 
     internal = ("folder_path", "day", "hour")
-    run_together(*outcome_writes(outcome, sinks, SOURCE, batch_id, internal), quarantine)
+    run_together(spark, *outcome_writes(outcome, sinks, SOURCE, batch_id, internal), quarantine)
     done = completion_notices(notices).withColumn("feed", F.lit("cleanup"))
     write_feed(done, sinks, "cleanup", sinks.cleanup_topic, SOURCE, batch_id)
 

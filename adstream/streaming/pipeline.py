@@ -77,7 +77,7 @@ def start_stream(
             matched.withColumn("day", day), current(dims), numeric_check, keep=("day",)
         )
         internal = ("window", "publish_ts", "day")
-        run_together(*outcome_writes(outcome, sinks, SOURCE, batch_id, internal))
+        run_together(spark, *outcome_writes(outcome, sinks, SOURCE, batch_id, internal))
 
     matched = matched_stream(client, server, delay)
     with session_conf(spark, STREAM_CONF):

@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adstream.functions.jsontext import encode_rows
@@ -85,14 +85,14 @@ def feed_messages(outcome: Outcome, drop: tuple[str, ...] = ()) -> DataFrame:
     return validated.unionByName(enriched)
 
 
-def run_together(*writes: Callable[[], None]) -> None:
+def run_together(spark: SparkSession, *writes: Callable[[], None]) -> None:
     """Run independent writes as concurrent Spark jobs; fail if any of them does.
 
     The last tasks of one then leave no executors idle. The threads take over
     the job group of the query, so stopping it stops them.
     """
     with ThreadPoolExecutor(len(writes)) as pool:
-        running = [pool.submit(inheritable_thread_target(write)) for write in writes]
+        running = [pool.submit(inheritable_thread_target(spark)(write)) for write in writes]
     for write in running:
         write.result()
 
@@ -124,4 +124,4 @@ def outcome_writes(
 
 def append_web_users(rows: DataFrame, path: str) -> None:
     """Append backfilled users. A second run finds them present and adds none."""
-    rows.coalesce(1).write.mode("append").parquet(path)
+    rows.write.mode("append").parquet(path)

@@ -5,7 +5,7 @@ import pytest
 from adstream.functions.jsontext import parse_events
 from adstream.operators.match import assign_window, match_events
 from adstream.plans.batch import process_matched
-from adstream.schemas import CLIENT_EVENT
+from adstream.schemas import CLIENT_EVENT, create_tables
 from adstream.session import scratch_path
 from adstream.sources.dimensions import read_table
 from adstream.sources.events import read_message_stream
@@ -293,6 +293,9 @@ def test_both_jobs_fill_the_same_tables(spark, root, tmp_path):
     run(spark, root)
     both = spark.read.parquet(f"{root}/out/Ad_impressions")
     assert values(both, "user_id", "source") == [("a", "stream"), ("u1", "batch")]
+    create_tables(spark, f"{root}/out", "stored")
+    from_sql = spark.sql("SELECT user_id, campaign_id FROM stored.Ad_impressions")
+    assert values(from_sql, *from_sql.columns) == [("a", 77), ("u1", 77)]
 
 
 def test_missing_folder_fails_and_leaves_no_completion(spark, root, tmp_path):
