@@ -45,6 +45,13 @@ def test_invalid_rows_have_the_stored_shape(spark):
     assert (row.latency, row.timestamp, row.invalid_field) == (None, None, "ctimestamp")
 
 
+def test_absurd_client_times_are_stored_as_null(spark):
+    times = ["soon", "9223372036854775807", "99999999999999999999", "-99999999999999", "1.5"]
+    df = clients(spark, *[{"ctimestamp": t} for t in times])
+    stored = process_matched(df, dims(spark)).impressions
+    assert values(stored.distinct(), "timestamp") == [(None,)] and stored.count() == len(times)
+
+
 def test_extra_columns(spark):
     df = validate_client_events(clients(spark)).selectExpr("*", "'20240101' AS day")
     assert to_ad_impressions_invalid(df, "day").columns[-1] == "day"

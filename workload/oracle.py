@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from adstream.functions.useragent import BRAND_RULES, BROWSER_RULES, MODEL_PATTERNS, OS_RULES
+from adstream.functions.useragent import (
+    BRAND_RULES,
+    BROWSER_COLUMNS,
+    BROWSER_RULES,
+    MODEL_PATTERNS,
+    OS_RULES,
+)
 from adstream.schemas import AD_IMPRESSIONS, AD_IMPRESSIONS_INVALID, CLIENT_EVENT
 from workload.inputs import USER_AGENTS
 
@@ -132,7 +138,7 @@ _AGENT_ROWS = ",".join(f"({i},{_quoted(a)})" for i, a in enumerate(USER_AGENTS))
 
 
 def _json_value(name: str) -> str:
-    if name in ("ad_id", "publisher_id"):
+    if name in ("ad_id", "publisher_id", "campaign_id"):
         text = (
             f"CASE WHEN regexp_full_match({name},'[0-9]+') THEN {name} ELSE '\"'||{name}||'\"' END"
         )
@@ -143,8 +149,15 @@ def _json_value(name: str) -> str:
     return f"coalesce({text},'null')"
 
 
-_CLIENT_JSON = (
-    "'{'||" + "||','||".join(f"'\"{n}\":'||{_json_value(n)}" for n in CLIENT_EVENT.names) + "||'}'"
+def _json_object(names) -> str:
+    return "'{'||" + "||','||".join(f"'\"{n}\":'||{_json_value(n)}" for n in names) + "||'}'"
+
+
+VALIDATED = (*CLIENT_EVENT.names, "validity_status", "invalid_field")
+ENRICHED = (
+    *VALIDATED,
+    *("Location", "Size", "advertiser", "exchange", "campaign_id", "publisher", "article"),
+    *BROWSER_COLUMNS,
 )
 
 CTES = {
@@ -170,7 +183,7 @@ CTES = {
     "server_events": """SELECT ad_id, user_id, publisher_id, page_id, ad_position, win, ep AS stimestamp FROM event_core WHERE k <> 13
       UNION ALL
       SELECT ad_id, user_id, publisher_id, page_id, ad_position, win, ep AS stimestamp FROM event_core WHERE k = 14""",
-    "client_raw": f"SELECT event_id, win, ep, {_CLIENT_JSON} AS value FROM client_events",
+    "client_raw": f"SELECT event_id, win, ep, {_json_object(CLIENT_EVENT.names)} AS value FROM client_events",
     "ad_position": """SELECT * FROM (VALUES ('LTOP1','Left','300x250'),('LTOP2','Left','300x600'),('BANNER1','Top','728x90'),
       ('RBANNER1','Right','160x600'),('SCROLL1','Scroll',CAST(NULL AS VARCHAR(20)))) t(ad_position, Location, Size)""",
     "advertiser": """SELECT 400+s_suppkey AS ad_id, s_name AS advertiser,
@@ -246,6 +259,7 @@ QUERIES = {
     + ", ".join(f"json_extract_string(value, '$.{n}') AS {n}" for n in CLIENT_EVENT.names)
     + " FROM client_raw",
     "encode_events": "SELECT event_id, value FROM client_raw",
+    "parse_notices": "SELECT * FROM notices",
     "batch_file_paths": """SELECT bucket, folder_path,
       bucket||'/'||folder_path||'/'||client_events_file AS client_path,
       bucket||'/'||folder_path||'/'||server_events_file AS server_path FROM notices""",
@@ -268,6 +282,8 @@ QUERIES = {
     "enrich_browser": _browser("(SELECT event_id, user_agent FROM valid)"),
     "ad_impressions": "SELECT * FROM impressions",
     "ad_impressions_invalid": "SELECT * FROM impressions_invalid",
+    "event_feed": f"""SELECT 'validated' AS feed, {_json_object(VALIDATED)} AS value FROM validated
+      UNION ALL SELECT 'enriched' AS feed, {_json_object(ENRICHED)} AS value FROM enriched""",
     "distinct_users": "SELECT DISTINCT user_id FROM impressions",
     "absent_users": """SELECT a.user_id FROM (SELECT DISTINCT user_id FROM impressions) a
       LEFT JOIN web_users u ON a.user_id = u.user_id WHERE u.user_id IS NULL""",

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adstream.functions.jsontext import encode_rows, parse_events
+from adstream.functions.jsontext import encode_rows, parse_events, parse_notices
 from adstream.functions.useragent import BROWSER_COLUMNS
 from adstream.operators import enrich, users
 from adstream.operators.match import assign_window, flatten_matches, match_events
@@ -21,7 +21,7 @@ from adstream.sources.events import read_message_stream
 from adstream.sources.notices import batch_file_paths, completion_notices
 from adstream.streaming.ingest import start_notice_ingest
 from adstream.streaming.pipeline import start_stream
-from adstream.streaming.sinks import Sinks
+from adstream.streaming.sinks import Sinks, feed_messages
 from workload import inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +88,16 @@ def file_paths(spark: SparkSession, sf: str) -> DataFrame:
     return paths.select("bucket", "folder_path", "client_path", "server_path")
 
 
+def decode_notices(spark: SparkSession, sf: str) -> DataFrame:
+    notices = inputs.notices(spark, sf)
+    return parse_notices(notices.select(F.to_json(F.struct(*notices.columns)).alias("value")))
+
+
+def event_feed(spark: SparkSession, sf: str) -> DataFrame:
+    internal = ("event_id", "win", "ep", "publish_ts", "window")
+    return feed_messages(_outcome(spark, sf), internal).select("feed", "value")
+
+
 def window_assign(spark: SparkSession, sf: str) -> DataFrame:
     return assign_window(_client(spark, sf)).select(
         "event_id",
@@ -216,6 +226,7 @@ def queries() -> dict[str, Query]:
     return {
         "parse_events": parse,
         "encode_events": encode,
+        "parse_notices": decode_notices,
         "batch_file_paths": file_paths,
         "completion_notices": lambda s, d: completion_notices(inputs.notices(s, d)),
         "tumbling_window_assign": window_assign,
@@ -235,6 +246,7 @@ def queries() -> dict[str, Query]:
         "enrich_browser": browser,
         "ad_impressions": _impressions,
         "ad_impressions_invalid": lambda s, d: _outcome(s, d).invalid,
+        "event_feed": event_feed,
         "distinct_users": lambda s, d: users.distinct_users(_impressions(s, d)),
         "absent_users": lambda s, d: users.absent_users(
             _impressions(s, d), inputs.web_users(s, d)
