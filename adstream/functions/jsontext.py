@@ -2,72 +2,99 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import ArrayType, StringType, StructType
 
 from adstream.schemas import EVENT_SCHEMAS, NOTICE
 
-_CORRUPT = "_corrupt_record"
+_END, MALFORMED = "_end", "malformed"
+
+# Notice fields without which a folder cannot be found.
+NOTICE_FIELDS = ("bucket", "folder_path", "client_events_file", "server_events_file")
 
 # Event fields that are JSON numbers in well-formed events.
 NUMBER_FIELDS = ("ad_id", "publisher_id", "latency", "ctimestamp", "campaign_id")
 
 
-def _object_text(text: Column) -> Column:
-    """Whether a text can be one JSON object.
+def _marked(schema: StructType) -> Column:
+    """The ``value`` column as an array of one struct, empty unless it is one JSON object.
 
-    The parser alone takes an empty line for NULL and stops at the first
-    closing brace whatever follows it.
+    The parser stops at the end of the first value of a text, whatever follows.
+    So the text is decoded as the first element of an array whose second and
+    last element repeats a hash of the text: were anything to close the array
+    or add elements before, that could not be the second of two. The parse is
+    the argument of a lambda, so that the tests on it do not repeat it.
     """
+    text = F.col("value").cast("string")
+    seal = F.xxhash64(text).cast("string")
+    wrapped = F.concat(F.lit("["), text, F.lit(',{"_end":"'), seal, F.lit('"}]'))
+    element = StructType([*schema.fields]).add(_END, StringType())
+    found = F.from_json(wrapped, ArrayType(element), {"allowSingleQuotes": "false"})
     # Most texts have nothing around the braces, and trimming is slow.
-    bare, open_, close = F.trim(text, F.lit(" \t\r\n")), F.lit("{"), F.lit("}")
-    tight = F.startswith(text, open_) & F.endswith(text, close)
-    return tight | (F.startswith(bare, open_) & F.endswith(bare, close))
+    opens = F.startswith(text, F.lit("{")) | F.startswith(
+        F.trim(text, F.lit(" \t\r\n")), F.lit("{")
+    )
+
+    def checked(parsed: Column) -> Column:
+        first, last = F.get(parsed, F.lit(0)), F.get(parsed, F.lit(1))
+        whole = opens & (F.size(parsed) == 2) & (last.getField(_END) == seal) & first.isNotNull()
+        fields = [first.getField(f.name).alias(f.name) for f in schema]
+        return F.when(whole, F.struct(*fields, F.lit(False).alias(MALFORMED)))
 
+    return F.filter(F.transform(F.array(found), checked), lambda row: row.isNotNull())
 
-def _parsed(schema: StructType) -> Column:
-    """The ``value`` column as an array of one struct, NULL where it is no object.
 
-    To be expanded by a generator, which is a node of its own: in a plain
-    projection Catalyst would push a filter on the fields below the parse and
-    so parse every row twice.
+def decode(df: DataFrame, schema: StructType) -> DataFrame:
+    """All rows: the fields of ``schema``, ``value`` and whether it is ``malformed``.
+
+    The parse is expanded by a generator, which is a node of its own: in a plain
+    projection Catalyst would push a filter on the fields below it and so parse
+    every row twice.
     """
-    text = F.col("value").cast("string")
-    fields = F.from_json(
-        text,
-        StructType([*schema.fields]).add(_CORRUPT, StringType()),
-        {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": _CORRUPT},
-    )
-    return F.when(_object_text(text), F.array(fields))
+    texts = df.withColumn("value", F.col("value").cast("string"))
+    rows = texts.select("*", F.inline_outer(_marked(schema)))
+    return rows.withColumn(MALFORMED, F.col(MALFORMED).isNull())
 
 
-def _decode(df: DataFrame, schema: StructType) -> DataFrame:
-    kept = [c for c in df.columns if c != "value"]
-    decoded = df.select(*kept, F.inline(_parsed(schema)))
-    return decoded.where(F.col(_CORRUPT).isNull()).drop(_CORRUPT)
+def well_formed(decoded: DataFrame) -> DataFrame:
+    return decoded.where(~F.col(MALFORMED)).drop("value", MALFORMED)
+
+
+def rejected(decoded: DataFrame, columns: Sequence[str], side: str) -> DataFrame:
+    """The malformed rows as they arrived, with the ``side`` they came from."""
+    return decoded.where(MALFORMED).select(*columns, F.lit(side).alias("side"))
 
 
 def parse_events(df: DataFrame, side: str) -> DataFrame:
     """Decode ``value`` into the text fields of one side, malformed rows left out."""
-    return _decode(df, EVENT_SCHEMAS[side])
+    return well_formed(decode(df, EVENT_SCHEMAS[side]))
 
 
 def quarantined_events(df: DataFrame, side: str) -> DataFrame:
     """The rows :func:`parse_events` leaves out, as they arrived."""
-    decoded = df.select(*df.columns, F.inline_outer(_parsed(EVENT_SCHEMAS[side])))
-    text = F.col("value").cast("string")
-    malformed = text.isNull() | ~_object_text(text) | F.col(_CORRUPT).isNotNull()
-    kept = [text.alias(c) if c == "value" else F.col(c) for c in df.columns]
-    return decoded.where(malformed).select(*kept, F.lit(side).alias("side"))
+    return rejected(decode(df, EVENT_SCHEMAS[side]), df.columns, side)
+
+
+def _usable(notice: Callable[[str], Column]) -> Column:
+    """Whether a notice names all it needs."""
+    return reduce(and_, [notice(name).isNotNull() for name in NOTICE_FIELDS])
 
 
 def parse_notices(df: DataFrame) -> DataFrame:
-    """Decode folder notices, malformed ones left out."""
-    return _decode(df, NOTICE)
+    """Decode folder notices; malformed ones and those that name no files are left out."""
+    return well_formed(decode(df, NOTICE)).where(_usable(F.col))
+
+
+def quarantined_notices(df: DataFrame) -> DataFrame:
+    """The rows :func:`parse_notices` leaves out, as they arrived."""
+    decoded = decode(df, NOTICE)
+    unusable = decoded.withColumn(MALFORMED, F.col(MALFORMED) | ~_usable(F.col))
+    return rejected(unusable, df.columns, "notice")
 
 
 def _variant(name: str) -> Column:

@@ -18,7 +18,3 @@ def none_text(column: Column | str) -> Column:
 def match_key_cols(prefix: str = "_k_") -> list[Column]:
     """The five columns that identify one ad view on both sides."""
     return [none_text(name).alias(prefix + name) for name in MATCH_KEY]
-
-
-def page_key_cols(prefix: str = "_k_") -> list[Column]:
-    return [none_text(name).alias(prefix + name) for name in PAGE_KEY]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -54,14 +53,11 @@ def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder name below the shared folder in ``spark.checkpoint.dir``.
+    """A new folder name in storage that all executors share.
 
-    Only a local session may fall back to a temporary folder of the machine:
-    on a cluster the executors could not see it.
+    Below ``spark.checkpoint.dir``, or below the warehouse where that is unset.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="adstream-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -8,13 +8,16 @@ from adstream.functions.jsontext import (
     parse_events,
     parse_notices,
     quarantined_events,
+    quarantined_notices,
 )
 from adstream.sources.notices import batch_file_paths, completion_notices
 from tests.rows import client_json, clients, values
 
 MALFORMED = [
     "", "  ", "{bad", "[1]", '[{"ad_id":1}]', '"x"', "12", "null", None,
-    '{"ad_id":1} trailing', "{'ad_id':1}", '{"ad_id":1', "}{",
+    '{"ad_id":1} trailing', '{"ad_id":1}{"ad_id":2}', '{"ad_id":1} {"ad_id":2}', '{"ad_id":1} x}',
+    '{"ad_id":1},{"ad_id":2}', '{"ad_id":1}],[{"ad_id":2}', '{"ad_id":1},{"_end":"x"}',
+    "{'ad_id':1}", '{"ad_id":1', "}{",
 ]
 
 
@@ -81,3 +84,15 @@ def test_notices(spark):
     assert [json.loads(r.value) for r in completion_notices(df).collect()] == [
         ["foldername", "s3://b/20240101/07"]
     ]
+
+
+def test_incomplete_notices_are_set_aside(spark):
+    texts = [
+        '{"bucket":"b","folder_path":"x"}',
+        "{}",
+        "nonsense",
+        '{"bucket":"b","folder_path":"x","client_events_file":"c","server_events_file":"s"}',
+    ]
+    assert values(parse_notices(raw(spark, texts)), "n") == [(3,)]
+    kept = quarantined_notices(raw(spark, texts))
+    assert values(kept, "value", "side") == sorted((t, "notice") for t in texts[:3])
