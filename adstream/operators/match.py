@@ -20,6 +20,8 @@ from adstream.functions.keys import MATCH_KEY, match_key_cols
 from adstream.schemas import CLIENT_EVENT
 
 WINDOW = "30 seconds"
+# How far messages may arrive out of order: a backlog read from uneven partitions.
+DELAY = "10 minutes"
 _ORDER, _ROW, _SERVER = "_order", "_row", "_server"
 
 
@@ -31,7 +33,7 @@ def assign_window(
 
 
 def with_arrival_watermark(
-    df: DataFrame, time_column: str = "publish_ts", delay: str = "0 seconds"
+    df: DataFrame, time_column: str = "publish_ts", delay: str = DELAY
 ) -> DataFrame:
     """Let windows close as arrival time passes them.
 

@@ -15,6 +15,7 @@ DEFAULT_DEMOGRAPHICS = {
     "MARITAL_STATUS": "MARRIED",
     "INCOME": 50000,
 }
+# Fixed value: the most rows that one run of the original statement adds.
 BACKFILL_LIMIT = 50
 
 
@@ -32,10 +33,12 @@ def absent_users(impressions: DataFrame, web_users: DataFrame) -> DataFrame:
 
 
 def backfill_web_users(
-    impressions: DataFrame, web_users: DataFrame, limit: int = BACKFILL_LIMIT
+    impressions: DataFrame, web_users: DataFrame, limit: int | None = None
 ) -> DataFrame:
-    """Rows to append to WebUsers: the first ``limit`` absent users, with defaults."""
-    users = absent_users(impressions, web_users).orderBy("user_id").limit(limit)
+    """Rows to append to WebUsers: all absent users with defaults, or the first ``limit``."""
+    users = absent_users(impressions, web_users)
+    if limit is not None:
+        users = users.orderBy("user_id").limit(limit)
     defaults = [
         F.lit(value).cast(WEB_USERS[name].dataType).alias(name)
         for name, value in DEFAULT_DEMOGRAPHICS.items()

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adstream.operators.enrich import enrich_events
+from adstream.operators.enrich import build_user_agent_dim, enrich_events
 from adstream.operators.match import match_events
 from adstream.operators.project import to_ad_impressions, to_ad_impressions_invalid
 from adstream.operators.validate import split_validity, validate_client_events
+from adstream.session import configure
 from adstream.sources.dimensions import Dimensions
 
 
@@ -24,14 +26,22 @@ class Outcome(NamedTuple):
 
 
 def process_matched(
-    matched: DataFrame, dims: Dimensions, numeric_check: bool = False, keep: Sequence[str] = ()
+    matched: DataFrame,
+    dims: Dimensions,
+    numeric_check: bool = False,
+    keep: Sequence[str] = (),
+    staged: bool = False,
 ) -> Outcome:
     """Validate, split, enrich and project matched beacons.
 
-    ``keep`` names columns the two table projections carry in addition.
+    ``keep`` names columns the two table projections carry in addition. Where
+    ``matched`` is ``staged``, so that it can be read twice, its user agents are
+    parsed once each into a lookup table, unless ``dims`` brings one.
     """
     validated = validate_client_events(matched, numeric_check)
     valid, invalid = split_validity(validated)
+    if staged and dims.user_agent is None:
+        dims = replace(dims, user_agent=build_user_agent_dim(valid))
     enriched = enrich_events(valid, dims)
     return Outcome(
         validated,
@@ -65,7 +75,8 @@ def run_batch(
     The frames returned are lazy. When more than one of them is to be written,
     give a ``staging`` path, or each write would match again.
     """
+    configure(client.sparkSession)
     matched = match_events(client, server, scope, order_by)
     if staging:
         matched = stage(client.sparkSession, matched, staging)
-    return process_matched(matched, dims, numeric_check)
+    return process_matched(matched, dims, numeric_check, staged=bool(staging))

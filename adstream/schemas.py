@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql.types import (
     DataType,
@@ -108,15 +109,38 @@ TABLES = {
     "Ad_impressions_Invalid": AD_IMPRESSIONS_INVALID,
 }
 
+# Tables the jobs append to, and the columns that name their folders.
+PARTITIONED = ("Ad_impressions", "Ad_impressions_Invalid")
+PARTITION_COLUMNS = "`day` string, `source` string, `run` string, `batch_id` bigint, `part` int"
+
+
+def _there(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
 
 def create_tables(spark: SparkSession, root: str, database: str | None = None) -> None:
-    """Define the seven tables as Parquet tables below ``root`` where absent."""
+    """Define the seven tables as Parquet tables below ``root`` where absent.
+
+    The two that the jobs write are partitioned as they are stored; partitions
+    that are there are found, so run it again after new days.
+    """
     prefix = f"`{database}`." if database else ""
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     for name, schema in TABLES.items():
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        parts = name in PARTITIONED
+        by = ", ".join(c.split()[0] for c in PARTITION_COLUMNS.split(", "))
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {prefix}`{name}` ({columns}) "
-            f"USING parquet LOCATION '{root.rstrip('/')}/{name}'"
+            f"CREATE TABLE IF NOT EXISTS {prefix}`{name}` "
+            f"({columns}{', ' + PARTITION_COLUMNS if parts else ''}) USING parquet "
+            f"{f'PARTITIONED BY ({by}) ' if parts else ''}LOCATION '{root.rstrip('/')}/{name}'"
         )
+        if parts and _there(spark, f"{root.rstrip('/')}/{name}"):
+            spark.catalog.recoverPartitions(f"{prefix}`{name}`")

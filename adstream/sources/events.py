@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import re
+from collections.abc import Iterable, Mapping
+from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,8 @@ MESSAGE = StructType(
 
 # Plain and Hive-style hour folders: .../20240101/00/ and .../day=20240101/hour=00/
 _HOUR_FOLDER = r"^(.*/(?:day=)?([0-9]{8})/(?:hour=)?([0-9]{2}))/[^/]"
+# Spark writes local addresses with one slash or with three.
+_LOCAL = "^file:/+"
 _PARENT = r"^(.*)/[^/]*$"
 
 
@@ -62,6 +66,36 @@ def read_event_lines(spark: SparkSession, paths: str | Iterable[str]) -> DataFra
     return hour_folder(lines).drop("path")
 
 
+def _place(address: str, like: str) -> str:
+    """A file address in the form of ``like``: with its scheme, or only as a path."""
+    parts = urlsplit(unquote(address))
+    path = "/" + parts.path.lstrip("/")
+    return f"{parts.scheme}://{parts.netloc}{path}" if urlsplit(like).scheme else path
+
+
+def read_announced_lines(
+    spark: SparkSession, announced: Mapping[str, tuple], columns: str
+) -> DataFrame:
+    """Lines of announced files and folders, each with what its notice says.
+
+    ``announced`` maps a path to the values of ``columns`` (a schema). Files are
+    told apart by the path that announced them, whatever their layout. One scan
+    reads them all; the driver holds their names, so give a bounded number.
+    """
+    lines = spark.read.text(sorted(announced))
+    known = {_place(path, path).rstrip("/"): values for path, values in announced.items()}
+    rows = []
+    for file in lines.inputFiles():
+        for path, values in known.items():
+            place = _place(file, path)
+            if place == path or place.startswith(path + "/"):
+                rows.append((re.sub(_LOCAL, "file:/", file), *values))
+    files = spark.createDataFrame(rows, f"_file string, {columns}")
+    file = F.regexp_replace("_metadata.file_path", _LOCAL, "file:/").alias("_file")
+    found = lines.select("value", file)
+    return found.join(files, "_file").drop("_file")
+
+
 def read_batch_events(spark: SparkSession, paths: str | Iterable[str], side: str) -> DataFrame:
     """Decoded events of one side from announced files (globs work too)."""
     return parse_events(read_event_lines(spark, paths), side)

@@ -15,7 +15,7 @@ def batch_file_paths(notices: DataFrame) -> DataFrame:
     )
 
 
-def completion_notices(notices: DataFrame) -> DataFrame:
+def completion_notices(notices: DataFrame, *keep: str) -> DataFrame:
     """The JSON message that tells the cleanup job a folder is processed."""
     folder = F.concat_ws("/", "bucket", "folder_path")
-    return notices.select(F.to_json(F.array(F.lit("foldername"), folder)).alias("value"))
+    return notices.select(*keep, F.to_json(F.array(F.lit("foldername"), folder)).alias("value"))

@@ -2,25 +2,79 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator, Sequence
+from itertools import islice
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from adstream.functions.jsontext import parse_events, parse_notices, quarantined_events
-from adstream.operators.match import match_events
+from adstream.functions.jsontext import (
+    decode,
+    parse_notices,
+    quarantined_notices,
+    rejected,
+    well_formed,
+)
+from adstream.operators.match import WINDOW, match_events
 from adstream.plans.batch import process_matched, stage
-from adstream.sources.events import read_event_lines
+from adstream.schemas import EVENT_SCHEMAS
+from adstream.session import configure
+from adstream.sources.events import read_announced_lines
 from adstream.sources.notices import batch_file_paths, completion_notices
 from adstream.streaming.pipeline import DimensionSource, current
 from adstream.streaming.sinks import (
     Sinks,
+    Write,
     outcome_writes,
+    run_of,
     run_together,
+    several_days,
     write_feed,
-    write_partitions,
+    write_rejected,
 )
 
 SOURCE = "batch"
+# Notices whose files are named to Spark, and so to the driver, at once. All are worked
+# through, a slice after the other.
+SLICE = 256
+SCOPE = ("folder_path",)
+_SAID = ("bucket", "folder_path", "client_events_file", "server_events_file", "arrived")
+_LINE = "folder_path string, arrived timestamp, day string, hour string"
+
+
+def _slices(notices: DataFrame, size: int) -> Iterator[list[Row]]:
+    """Distinct notices in a fixed order, so that a replay meets the same slices.
+
+    Of a notice that came twice the first arrival counts.
+    """
+    arrived = F.col("publish_ts") if "publish_ts" in notices.columns else F.lit(None)
+    rows = (
+        batch_file_paths(notices.withColumn("arrived", arrived.cast("timestamp")))
+        .groupBy(*_SAID[:-1], "client_path", "server_path")
+        .agg(F.min("arrived").alias("arrived"))
+        .withColumn("said_day", F.nullif(F.regexp_extract("folder_path", "([0-9]{8})", 1), F.lit("")))
+        .withColumn("day", F.coalesce("said_day", F.date_format("arrived", "yyyyMMdd"), F.lit("none")))
+        .withColumn(
+            "hour",
+            F.nullif(F.regexp_extract("folder_path", "[0-9]{8}/(?:hour=)?([0-9]{2})$", 1), F.lit("")),
+        )
+        .orderBy("client_path", "server_path")
+        .toLocalIterator()
+    )
+    while some := list(islice(rows, size)):
+        yield some
+
+
+def _found(spark: SparkSession, paths: Sequence[str]) -> bool:
+    try:
+        spark.read.text(list(paths))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def ingest_folders(
@@ -30,36 +84,76 @@ def ingest_folders(
     sinks: Sinks,
     batch_id: int,
     numeric_check: bool = False,
+    run: str = "none",
+    scope: Sequence[str] = SCOPE,
+    slice_size: int = SLICE,
 ) -> None:
     """Match, process and store the folders of decoded notices.
 
-    Only the notices themselves reach the driver, which must name the files to
-    scan; the source's rate option bounds their number. Completion messages
-    are written last, when all rows of the folders are stored.
+    Keys match within ``scope``: the announced folder, or with ``("window",)``
+    all folders announced in one window of the notices' arrival, for which they
+    need ``publish_ts``. Notices go in
+    slices, of which each writes a ``part`` of its own; a window lies in one
+    slice only if its notices do. A notice whose files are missing is kept in
+    the quarantine, without a completion message, and stops no other. Completion
+    messages are written last, when all rows of a slice are stored.
     """
-    announced = batch_file_paths(notices).select("client_path", "server_path").distinct()
-    rows = announced.collect()
-    if not rows:
-        return
-    paths = {
-        "client": sorted({row.client_path for row in rows}),
-        "server": sorted({row.server_path for row in rows}),
-    }
-    lines = {side: read_event_lines(spark, files) for side, files in paths.items()}
-    events = {side: parse_events(rows, side) for side, rows in lines.items()}
-    matched = match_events(events["client"], events["server"], ("folder_path",))
-    matched = stage(spark, matched, sinks.staging(SOURCE))
-    outcome = process_matched(matched, current(dims), numeric_check, keep=("day",))
-    rejected = [quarantined_events(rows, side) for side, rows in lines.items()]
+    configure(spark)
+    for part, announced in enumerate(_slices(notices, slice_size)):
+        write = Write(SOURCE, run, batch_id, part)
+        here, missing = announced, []
+        if not _found(spark, [p for row in announced for p in (row.client_path, row.server_path)]):
+            there = [_found(spark, (row.client_path, row.server_path)) for row in announced]
+            here = [row for row, found in zip(announced, there) if found]
+            missing = [row for row, found in zip(announced, there) if not found]
+        if here:
+            _ingest(spark, here, dims, sinks, write, numeric_check, scope)
+        said = f"{', '.join(f'{n} string' for n in _SAID[:-1])}, day string"
+        if missing:
+            rows = [(*(row[n] for n in _SAID[:-1]), row.day) for row in missing]
+            lost = spark.createDataFrame(rows, said)
+            text = F.to_json(F.struct(*_SAID[:-1])).alias("value")
+            write_rejected(lost.select(text, F.lit("missing").alias("side"), "day"), sinks, write)
+        if here:
+            rows = [(*(row[n] for n in _SAID[:-1]), row.day) for row in here]
+            done = spark.createDataFrame(rows, said)
+            messages = completion_notices(done, "day").withColumn("feed", F.lit("cleanup"))
+            write_feed(messages, sinks, "cleanup", sinks.cleanup_topic, write)
+
+
+def _ingest(
+    spark: SparkSession,
+    announced: Sequence[Row],
+    dims: DimensionSource,
+    sinks: Sinks,
+    write: Write,
+    numeric_check: bool,
+    scope: Sequence[str],
+) -> None:
+    decoded = {}
+    for side in ("client", "server"):
+        paths = {
+            row[f"{side}_path"]: (f"{row.bucket}/{row.folder_path}", row.arrived, row.day, row.hour)
+            for row in announced
+        }
+        lines = read_announced_lines(spark, paths, _LINE)
+        if "window" in scope:
+            lines = lines.withColumn("window", F.window("arrived", WINDOW))
+        lines = lines.drop("arrived")
+        # Decoded once: matching and the quarantine read this copy.
+        decoded[side] = stage(spark, decode(lines, EVENT_SCHEMAS[side]), sinks.staging(write, side))
+    events = [well_formed(rows) for rows in decoded.values()]
+    matched = stage(spark, match_events(*events, scope), sinks.staging(write))
+    mixed = several_days(matched)
+    outcome = process_matched(matched, current(dims), numeric_check, keep=("day",), staged=True)
+    columns = ("folder_path", "day", "hour", "value")
+    bad = [rejected(rows, columns, side) for side, rows in decoded.items()]
 
     def quarantine() -> None:
-        rows, path = rejected[0].unionByName(rejected[1]), sinks.path("quarantine")
-        write_partitions(rows, path, SOURCE, batch_id, ("side", "source", "batch_id"))
+        write_rejected(bad[0].unionByName(bad[1]), sinks, write)
 
-    internal = ("folder_path", "day", "hour")
-    run_together(spark, *outcome_writes(outcome, sinks, SOURCE, batch_id, internal), quarantine)
-    done = completion_notices(notices).withColumn("feed", F.lit("cleanup"))
-    write_feed(done, sinks, "cleanup", sinks.cleanup_topic, SOURCE, batch_id)
+    internal = ("folder_path", "window", "day", "hour")
+    run_together(spark, *outcome_writes(outcome, sinks, write, internal, mixed), quarantine)
 
 
 def start_notice_ingest(
@@ -70,19 +164,29 @@ def start_notice_ingest(
     checkpoint: str,
     numeric_check: bool = False,
     trigger: dict | None = None,
+    scope: Sequence[str] = SCOPE,
+    slice_size: int = SLICE,
 ) -> StreamingQuery:
     """Start the ingest of announced folders, one batch job per micro-batch.
 
     A query of its own: it has its own trigger, and a folder that fails does
-    not stop the event streams.
+    not stop the event streams. Notices that do not decode or name no files
+    are kept in the quarantine.
     """
+    configure(spark)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        ingest_folders(spark, batch, dims, sinks, batch_id, numeric_check)
+        run = run_of(spark)
+        write = Write(f"{SOURCE}_notices", run, batch_id)
+        bad = quarantined_notices(batch)
+        day = F.coalesce(F.date_format("publish_ts", "yyyyMMdd"), F.lit("none")).alias("day")
+        write_rejected(bad.select("publish_ts", "value", "side", day), sinks, write)
+        ingest_folders(
+            spark, parse_notices(batch), dims, sinks, batch_id, numeric_check, run, scope, slice_size
+        )
 
     return (
-        parse_notices(messages)
-        .writeStream.queryName("folder_notices")
+        messages.writeStream.queryName("folder_notices")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "30 seconds"}))
         .foreachBatch(write_batch)

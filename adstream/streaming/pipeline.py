@@ -6,18 +6,21 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from adstream.functions.jsontext import parse_events, quarantined_events
-from adstream.operators.match import assign_window, match_events, with_arrival_watermark
+from adstream.operators.match import DELAY, assign_window, match_events, with_arrival_watermark
 from adstream.plans.batch import process_matched, stage
-from adstream.session import STREAM_CONF, session_conf
+from adstream.session import STREAM_CONF, configure, session_conf
 from adstream.sources.dimensions import Dimensions
 from adstream.streaming.sinks import (
     Sinks,
+    Write,
     outcome_writes,
+    run_of,
     run_together,
-    write_partitions,
+    several_days,
+    write_rejected,
 )
 
 SOURCE = "stream"
@@ -29,7 +32,7 @@ def current(dims: DimensionSource) -> Dimensions:
     return dims() if callable(dims) else dims
 
 
-def windowed_events(messages: DataFrame, side: str, delay: str = "0 seconds") -> DataFrame:
+def windowed_events(messages: DataFrame, side: str, delay: str = DELAY) -> DataFrame:
     """Decode messages, watermark them by arrival and assign their window."""
     events = parse_events(with_arrival_watermark(messages, delay=delay), side)
     return assign_window(events)
@@ -38,7 +41,7 @@ def windowed_events(messages: DataFrame, side: str, delay: str = "0 seconds") ->
 def matched_stream(
     client: DataFrame,
     server: DataFrame,
-    delay: str = "0 seconds",
+    delay: str = DELAY,
     order_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Matched beacons of two message streams, one stateful aggregation."""
@@ -57,28 +60,31 @@ def start_stream(
     dims: DimensionSource,
     sinks: Sinks,
     checkpoint: str,
-    delay: str = "0 seconds",
+    delay: str = DELAY,
     numeric_check: bool = False,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Start the job: match on the streams, all outputs from one micro-batch.
 
-    Each micro-batch is staged once; validation, lookups and writes are then
+    A message that arrives more than ``delay`` behind the slower side's newest
+    one is dropped, as its window may be closed. Choose it longer than a backlog
+    can be uneven; :func:`watch_late` stores how many rows were dropped. Each micro-batch is staged once; validation, lookups and writes are then
     ordinary batch plans under AQE. A replayed batch overwrites its own staging
     folder and its own partitions.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        matched = stage(spark, batch, sinks.staging(SOURCE))
+        write = Write(SOURCE, run_of(spark), batch_id)
+        day = F.date_format("window.start", "yyyyMMdd")
+        matched = stage(spark, batch.withColumn("day", day), sinks.staging(write))
         if matched.isEmpty():
             return
-        day = F.date_format("window.start", "yyyyMMdd")
-        outcome = process_matched(
-            matched.withColumn("day", day), current(dims), numeric_check, keep=("day",)
-        )
+        mixed = several_days(matched)
+        outcome = process_matched(matched, current(dims), numeric_check, keep=("day",), staged=True)
         internal = ("window", "publish_ts", "day")
-        run_together(spark, *outcome_writes(outcome, sinks, SOURCE, batch_id, internal))
+        run_together(spark, *outcome_writes(outcome, sinks, write, internal, mixed))
 
+    configure(spark)
     matched = matched_stream(client, server, delay)
     with session_conf(spark, STREAM_CONF):
         return (
@@ -91,16 +97,53 @@ def start_stream(
         )
 
 
+class _LateRows(StreamingQueryListener):
+    """Stores, for each micro-batch that dropped rows as late, how many."""
+
+    def __init__(self, spark: SparkSession, sinks: Sinks):
+        self.spark, self.sinks = spark, sinks
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        dropped = sum(s.numRowsDroppedByWatermark for s in progress.stateOperators)
+        if dropped:
+            watermark = progress.eventTime.get("watermark")
+            row = (str(progress.id), progress.batchId, watermark, dropped)
+            shape = "run string, batch_id long, watermark string, dropped long"
+            rows = self.spark.createDataFrame([row], shape).coalesce(1)
+            rows.write.mode("append").parquet(self.sinks.path("late_rows"))
+
+
+def watch_late(spark: SparkSession, sinks: Sinks) -> StreamingQueryListener:
+    """Store counts of rows dropped behind the watermark in ``late_rows``.
+
+    Rows of a side are counted after the map-side step of the match, so equal
+    keys of one task count once. Returns the listener, to be removed again.
+    """
+    listener = _LateRows(spark, sinks)
+    spark.streams.addListener(listener)
+    return listener
+
+
 def start_quarantine(
     messages: DataFrame, side: str, sinks: Sinks, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
     """Keep messages of one stream that do not decode. Stateless."""
+    spark = configure(messages.sparkSession)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select("publish_ts", "value", "side")
-        write_partitions(
-            rows, sinks.path("quarantine"), SOURCE, batch_id, ("side", "source", "batch_id")
-        )
+        day = F.coalesce(F.date_format("publish_ts", "yyyyMMdd"), F.lit("none")).alias("day")
+        rows = batch.select("publish_ts", "value", "side", day)
+        write_rejected(rows, sinks, Write(SOURCE, run_of(spark), batch_id))
 
     return (
         quarantined_events(messages, side)

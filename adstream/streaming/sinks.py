@@ -12,9 +12,27 @@ from pyspark.sql import functions as F
 
 from adstream.functions.jsontext import encode_rows
 from adstream.plans.batch import Outcome
+from adstream.schemas import WEB_USERS
 
-# Stream and batch jobs write to the same tables in partitions of their own.
-PARTITIONS = ("day", "source", "batch_id")
+# Every run writes to partitions of its own: a run is one checkpoint of one job, known by
+# the id that the checkpoint gives its query, which restarts keep.
+RUN = ("source", "run", "batch_id", "part")
+PARTITIONS = ("day", *RUN)
+
+
+@dataclass(frozen=True)
+class Write:
+    """What one batch of a run, or one part of it, is known by."""
+
+    source: str
+    run: str
+    batch_id: int
+    part: int = 0
+
+
+def run_of(spark: SparkSession) -> str:
+    """The durable id of the streaming query whose micro-batch is running."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
 
 
 @dataclass(frozen=True)
@@ -33,31 +51,40 @@ class Sinks:
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
-    def staging(self, source: str) -> str:
-        return self.path(f"_staging_{source}")
+    def staging(self, write: Write, name: str = "matched") -> str:
+        return self.path(f"_staging/{write.source}/{write.run}/{name}")
 
 
-def _mark(df: DataFrame, source: str, batch_id: int) -> DataFrame:
-    return df.withColumns({"source": F.lit(source), "batch_id": F.lit(batch_id).cast("bigint")})
+def _mark(df: DataFrame, write: Write) -> DataFrame:
+    return df.withColumns(
+        {
+            "source": F.lit(write.source),
+            "run": F.lit(write.run),
+            "batch_id": F.lit(write.batch_id).cast("bigint"),
+            "part": F.lit(write.part),
+        }
+    )
 
 
 def write_partitions(
     df: DataFrame,
     path: str,
-    source: str,
-    batch_id: int,
+    write: Write,
     partitions: tuple[str, ...],
     fmt: str = "parquet",
+    mixed: bool = False,
 ) -> None:
     """Write one batch so that a replay of it replaces its first attempt.
 
-    Rebalancing gives files of a sensible size: AQE joins small partitions and
-    splits a day that holds most of the rows.
+    Rows are written from the tasks that hold them. Only ``mixed`` ones, where
+    most tasks hold rows of several partitions, are rebalanced first: AQE then
+    joins small partitions and splits a day that holds most of the rows.
     """
+    rows = _mark(df, write)
+    if mixed:
+        rows = rows.hint("rebalance", *[F.col(p) for p in partitions])
     (
-        _mark(df, source, batch_id)
-        .hint("rebalance", *[F.col(p) for p in partitions])
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
         .format(fmt)
@@ -66,23 +93,37 @@ def write_partitions(
 
 
 def write_feed(
-    messages: DataFrame, sinks: Sinks, folder: str, topic: str, source: str, batch_id: int
+    messages: DataFrame, sinks: Sinks, folder: str, topic: str, write: Write, mixed: bool = False
 ) -> None:
-    """Append JSON messages (``value``, ``feed``) to a topic or to a file feed."""
+    """Append JSON messages (``value``, ``feed``, ``day``) to a topic or to a file feed."""
     if sinks.kafka:
         payload = messages.select(F.col("value").cast("binary"))
         payload.write.format("kafka").options(**sinks.kafka).option("topic", topic).save()
         return
-    write_partitions(
-        messages, sinks.path(folder), source, batch_id, ("feed", "source", "batch_id"), "text"
-    )
+    rows = messages.select("value", "feed", "day")
+    write_partitions(rows, sinks.path(folder), write, ("feed", *PARTITIONS), "text", mixed)
 
 
-def feed_messages(outcome: Outcome, drop: tuple[str, ...] = ()) -> DataFrame:
-    """Every validated row and every enriched row as JSON, told apart by ``feed``."""
-    validated = encode_rows(outcome.validated.drop(*drop)).withColumn("feed", F.lit("validated"))
-    enriched = encode_rows(outcome.enriched.drop(*drop)).withColumn("feed", F.lit("enriched"))
-    return validated.unionByName(enriched)
+def write_rejected(rows: DataFrame, sinks: Sinks, write: Write) -> None:
+    """Keep rows that do not decode, by ``side`` and ``day``."""
+    write_partitions(rows, sinks.path("quarantine"), write, ("side", *PARTITIONS))
+
+
+def feed_messages(
+    outcome: Outcome, drop: tuple[str, ...] = (), keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Every validated row and every enriched row as JSON, told apart by ``feed``.
+
+    ``drop`` names columns left out of the JSON, ``keep`` those put beside it.
+    """
+    drop = tuple(c for c in drop if c not in keep)
+
+    def encoded(rows: DataFrame, feed: str) -> DataFrame:
+        return encode_rows(rows.drop(*drop), *keep).withColumn("feed", F.lit(feed))
+
+    return encoded(outcome.validated, "validated").unionByName(
+        encoded(outcome.enriched, "enriched")
+    )
 
 
 def run_together(spark: SparkSession, *writes: Callable[[], None]) -> None:
@@ -98,7 +139,7 @@ def run_together(spark: SparkSession, *writes: Callable[[], None]) -> None:
 
 
 def outcome_writes(
-    outcome: Outcome, sinks: Sinks, source: str, batch_id: int, internal: tuple[str, ...]
+    outcome: Outcome, sinks: Sinks, write: Write, internal: tuple[str, ...], mixed: bool = False
 ) -> list[Callable[[], None]]:
     """The writes of both tables and the feed of one batch.
 
@@ -109,19 +150,30 @@ def outcome_writes(
 
     def impressions() -> None:
         path = sinks.path("Ad_impressions")
-        write_partitions(outcome.impressions, path, source, batch_id, PARTITIONS)
+        write_partitions(outcome.impressions, path, write, PARTITIONS, mixed=mixed)
 
     def invalid() -> None:
         path = sinks.path("Ad_impressions_Invalid")
-        write_partitions(outcome.invalid, path, source, batch_id, PARTITIONS)
+        write_partitions(outcome.invalid, path, write, PARTITIONS, mixed=mixed)
 
     def feed() -> None:
-        messages = feed_messages(outcome, internal)
-        write_feed(messages, sinks, "feed", sinks.feed_topic, source, batch_id)
+        messages = feed_messages(outcome, internal, ("day",))
+        write_feed(messages, sinks, "feed", sinks.feed_topic, write, mixed)
 
     return [impressions, invalid, feed]
 
 
+def several_days(rows: DataFrame) -> bool:
+    """Whether a stored batch meets more than one ``day``."""
+    return len(rows.select("day").distinct().limit(2).collect()) > 1
+
+
 def append_web_users(rows: DataFrame, path: str) -> None:
-    """Append backfilled users. A second run finds them present and adds none."""
-    rows.write.mode("append").parquet(path)
+    """Append backfilled users that the table at ``path`` lacks.
+
+    A second run adds none, the NULL user included: here NULL equals NULL.
+    """
+    there = rows.sparkSession.read.schema(WEB_USERS).parquet(path)
+    there = there.select(F.col("user_id").alias("_known")).distinct()
+    new = rows.join(there, F.col("user_id").eqNullSafe(F.col("_known")), "left_anti")
+    new.write.mode("append").parquet(path)

@@ -10,8 +10,13 @@ from adstream.session import scratch_path
 from adstream.sources.dimensions import read_table
 from adstream.sources.events import read_message_stream
 from adstream.streaming.ingest import ingest_folders, start_notice_ingest
-from adstream.streaming.pipeline import matched_stream, start_quarantine, start_stream
-from adstream.streaming.sinks import Sinks, write_partitions
+from adstream.streaming.pipeline import (
+    matched_stream,
+    start_quarantine,
+    start_stream,
+    watch_late,
+)
+from adstream.streaming.sinks import PARTITIONS, Sinks, Write, write_partitions
 from tests.rows import client_json, messages, server_json, values
 from tests.test_tables import dims
 
@@ -28,14 +33,15 @@ def put(spark, root, side, rows):
     messages(spark, rows).coalesce(1).write.mode("append").json(f"{root}/in/{side}")
 
 
-def begin(spark, root, dimensions=None, trigger=NOW):
+def begin(spark, root, dimensions=None, trigger=NOW, checkpoint="checkpoint", delay="0 seconds"):
     return start_stream(
         spark,
         read_message_stream(spark, "json", f"{root}/in/client"),
         read_message_stream(spark, "json", f"{root}/in/server"),
         dimensions or dims(spark),
         Sinks(f"{root}/out"),
-        f"{root}/checkpoint",
+        f"{root}/{checkpoint}",
+        delay=delay,
         trigger=trigger,
     )
 
@@ -175,10 +181,49 @@ def test_dimensions_can_be_read_per_micro_batch(spark, root):
 def test_replayed_batch_leaves_one_copy(spark, root):
     df = spark.range(10).selectExpr("id", "'20240101' AS day")
     for _ in range(2):
-        write_partitions(df, f"{root}/t", "stream", 3, ("day", "source", "batch_id"))
-    write_partitions(df, f"{root}/t", "stream", 4, ("day", "source", "batch_id"))
-    write_partitions(df, f"{root}/t", "batch", 3, ("day", "source", "batch_id"))
-    assert spark.read.parquet(f"{root}/t").count() == 30
+        write_partitions(df, f"{root}/t", Write("stream", "r", 3), PARTITIONS)
+    write_partitions(df, f"{root}/t", Write("stream", "r", 4), PARTITIONS, mixed=True)
+    write_partitions(df, f"{root}/t", Write("batch", "r", 3), PARTITIONS)
+    write_partitions(df, f"{root}/t", Write("stream", "other", 3), PARTITIONS)
+    write_partitions(df, f"{root}/t", Write("stream", "r", 3, part=1), PARTITIONS)
+    assert spark.read.parquet(f"{root}/t").count() == 50
+
+
+def test_a_new_checkpoint_keeps_what_is_stored(spark, root):
+    for i, user in enumerate("ab"):
+        for side, rows in zip(("client", "server"), view(5, user)):
+            messages(spark, rows + END + [(1, "{x")]).coalesce(1).write.mode("overwrite").json(
+                f"{root}/in/{side}"
+            )
+        run(spark, root, checkpoint=f"checkpoint{i}")
+        query = start_quarantine(
+            read_message_stream(spark, "json", f"{root}/in/client"),
+            "client",
+            Sinks(f"{root}/out"),
+            f"{root}/bad{i}",
+            NOW,
+        )
+        query.awaitTermination()
+    assert values(stored(spark, root), "user_id") == [("a",), ("b",)]
+    assert spark.read.text(f"{root}/out/feed").count() == 4
+    assert spark.read.parquet(f"{root}/out/quarantine").count() == 2
+
+
+def test_rows_within_the_delay_are_matched_and_later_ones_counted(spark, root):
+    listener = watch_late(spark, Sinks(f"{root}/out"))
+    try:
+        for turn in (view(5, "a"), view(2000, "b"), view(1500, "c"), view(9000, "d"), view(10, "late")):
+            for side, rows in zip(("client", "server"), turn):
+                put(spark, root, side, rows)
+            run(spark, root, delay="20 minutes")
+        for side in ("client", "server"):
+            put(spark, root, side, [(90_000, "{}")])
+        run(spark, root, delay="20 minutes")
+        assert values(stored(spark, root), "user_id") == [("a",), ("b",), ("c",), ("d",)]
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        assert spark.read.parquet(f"{root}/out/late_rows").agg({"dropped": "sum"}).first()[0] >= 1
+    finally:
+        spark.streams.removeListener(listener)
 
 
 def test_stream_state_is_one_aggregation(spark, root):
@@ -266,13 +311,15 @@ def test_announced_folders(spark, root, tmp_path):
     invalid = stored(spark, root, "Ad_impressions_Invalid")
     assert values(invalid, "user_id", "invalid_field") == [("c", "clicked")]
     kept = spark.read.parquet(f"{root}/out/quarantine")
-    assert values(kept, "value", "side", "hour") == [("oops", "client", "00")]
+    assert values(kept, "value", "side") == [("no notice", "notice"), ("oops", "client")]
+    assert values(kept.where("side = 'client'"), "hour") == [("00",)]
     done = spark.read.text(f"{root}/out/cleanup")
     assert {tuple(json.loads(r.value)) for r in done.collect()} == {
         ("foldername", f"{tmp_path}/20240101/0{i}") for i in (0, 1)
     }
     days = spark.read.parquet(f"{root}/out/Ad_impressions")
-    assert values(days.distinct(), "day", "source", "batch_id") == [(20240101, "batch", 0)] * 1
+    found = values(days, "day", "source", "run", "batch_id", "part")
+    assert set(found) == {(20240101, "batch", query.id, 0, 0)}
 
 
 def test_replayed_ingest_leaves_one_copy(spark, root, tmp_path):
@@ -298,12 +345,41 @@ def test_both_jobs_fill_the_same_tables(spark, root, tmp_path):
     assert values(from_sql, *from_sql.columns) == [("a", 77), ("u1", 77)]
 
 
-def test_missing_folder_fails_and_leaves_no_completion(spark, root, tmp_path):
-    notices = spark.createDataFrame([notice(tmp_path, "20240101/09")])
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        ingest_folders(spark, notices, dims(spark), Sinks(f"{root}/out"), 0)
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        spark.read.text(f"{root}/out/cleanup").count()
+def test_missing_folder_stops_no_other(spark, root, tmp_path):
+    put_folder(spark, tmp_path, "20240101/00", [client_json()], [server_json()])
+    folders = [notice(tmp_path, f"20240101/{hour}") for hour in ("00", "09")]
+    notices = spark.createDataFrame(folders)
+    ingest_folders(spark, notices, dims(spark), Sinks(f"{root}/out"), 0)
+    assert stored(spark, root).count() == 1
+    (done,) = spark.read.text(f"{root}/out/cleanup").collect()
+    assert json.loads(done.value) == ["foldername", f"{tmp_path}/20240101/00"]
+    (lost,) = spark.read.parquet(f"{root}/out/quarantine").collect()
+    assert lost.side == "missing" and json.loads(lost.value)["folder_path"] == "20240101/09"
+
+
+def test_folders_of_any_layout(spark, root, tmp_path):
+    # Announced files may be folders, and need not lie below a day and an hour.
+    for name, lines in (("client_events.json", client_json()), ("server_events.json", server_json())):
+        df = spark.createDataFrame([(lines,)], "value string")
+        df.write.text(f"{tmp_path}/2024-01-01_05/{name}")
+    notices = spark.createDataFrame([notice(tmp_path, "2024-01-01_05")])
+    notices = notices.selectExpr("*", "timestamp '2024-01-02 00:00:00' AS publish_ts")
+    ingest_folders(spark, notices, dims(spark), Sinks(f"{root}/out"), 0)
+    assert values(spark.read.parquet(f"{root}/out/Ad_impressions"), "day") == [(20240102,)]
+
+
+def test_notices_go_in_slices_and_scopes(spark, root, tmp_path):
+    put_folder(spark, tmp_path, "20240101/00", [client_json(user_id="a")], [])
+    put_folder(spark, tmp_path, "20240101/01", [client_json(user_id="b")], [server_json(user_id="a")])
+    rows = [notice(tmp_path, f"20240101/0{i}") for i in (0, 1)]
+    notices = spark.createDataFrame(rows)
+    notices = notices.selectExpr("*", "timestamp '2024-01-02 00:00:05' AS publish_ts")
+    for name, scope, size in (("folder", ("folder_path",), 1), ("window", ("window",), 2)):
+        sinks = Sinks(f"{root}/{name}")
+        ingest_folders(spark, notices, dims(spark), sinks, 0, scope=scope, slice_size=size)
+        assert spark.read.text(f"{root}/{name}/cleanup").count() == 2
+    assert read_table(spark, f"{root}/folder", "Ad_impressions").count() == 0
+    assert values(spark.read.parquet(f"{root}/window/Ad_impressions"), "user_id") == [("a",)]
 
 
 def test_file_layouts(spark):

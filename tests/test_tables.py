@@ -72,10 +72,10 @@ def users(spark, names):
 def test_backfill(spark):
     seen = impressions(spark, ["b", "a", "a", None, "c"])
     got = backfill_web_users(seen, users(spark, ["c", None]))
-    assert [tuple(r) for r in got.collect()] == [
-        (None, 37, "USA", "MALE", "MARRIED", 50000),
+    assert values(got, *got.columns) == [
         ("a", 37, "USA", "MALE", "MARRIED", 50000),
         ("b", 37, "USA", "MALE", "MARRIED", 50000),
+        (None, 37, "USA", "MALE", "MARRIED", 50000),
     ]
     assert got.schema == WEB_USERS or got.columns == WEB_USERS.names
     assert backfill_web_users(seen, users(spark, ["c"]), limit=2).count() == 2
@@ -84,14 +84,29 @@ def test_backfill(spark):
 
 def test_backfill_runs_once(spark, tmp_path):
     root = str(tmp_path)
-    impressions(spark, ["a", "b"]).write.parquet(f"{root}/Ad_impressions")
+    stored = impressions(spark, ["a", "b", None]).selectExpr("*", "'20240101' AS day")
+    stored.write.partitionBy("day").parquet(f"{root}/Ad_impressions")
     users(spark, ["a"]).write.parquet(f"{root}/WebUsers")
     for _ in range(2):
         rows = backfill_web_users(
             read_table(spark, root, "Ad_impressions"), read_table(spark, root, "WebUsers")
         )
         append_web_users(rows, f"{root}/WebUsers")
-    assert values(read_table(spark, root, "WebUsers"), "user_id", "Age") == [("a", 1), ("b", 37)]
+    assert values(read_table(spark, root, "WebUsers"), "user_id", "Age") == [
+        ("a", 1),
+        ("b", 37),
+        (None, 37),
+    ]
+
+
+def test_days_are_pruned(spark, tmp_path):
+    for day in ("20240101", "20240102", "20240103"):
+        rows = impressions(spark, [day]).selectExpr("*", f"'{day}' AS day", "0 AS batch_id")
+        rows.write.mode("append").partitionBy("day", "batch_id").parquet(f"{tmp_path}/Ad_impressions")
+    some = read_table(spark, str(tmp_path), "Ad_impressions", since="20240102", until="20240102")
+    assert values(some, "user_id") == [("20240102",)] and some.columns == AD_IMPRESSIONS.names
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
 
 
 def test_tables_can_be_used_from_sql(spark, tmp_path):
@@ -99,18 +114,15 @@ def test_tables_can_be_used_from_sql(spark, tmp_path):
     create_tables(spark, str(tmp_path), "ads")
     assert {t.name.lower() for t in spark.catalog.listTables("ads")} == {n.lower() for n in TABLES}
     for name, schema in TABLES.items():
-        assert [(f.name, f.dataType) for f in spark.table(f"ads.{name}").schema] == [
+        found = spark.table(f"ads.{name}").schema.fields
+        assert [(f.name, f.dataType) for f in found[: len(schema)]] == [
             (f.name, f.dataType) for f in schema
         ]
-    impressions(spark, ["a", "b", "b"]).write.insertInto("ads.Ad_impressions")
-    spark.sql("INSERT INTO ads.WebUsers VALUES ('a', 1, 'X', 'F', 'S', 1)")
-    spark.sql(
-        """INSERT INTO ads.WebUsers
-           SELECT a.user_id, 37, 'USA', 'MALE', 'MARRIED', 50000
-           FROM (SELECT DISTINCT user_id FROM ads.Ad_impressions) a
-           LEFT JOIN ads.WebUsers u ON a.user_id = u.user_id
-           WHERE u.user_id IS NULL LIMIT 50"""
-    )
+    rows = impressions(spark, ["a", "b", "b"])
+    rows.selectExpr("*", "'20240101'", "'sql'", "'r'", "0L", "0").write.insertInto("ads.Ad_impressions")
+    users(spark, ["a"]).write.insertInto("ads.WebUsers")
+    missing = backfill_web_users(spark.table("ads.Ad_impressions"), spark.table("ads.WebUsers"))
+    missing.write.insertInto("ads.WebUsers")
     assert values(spark.table("ads.WebUsers"), "user_id", "Age") == [("a", 1), ("b", 37)]
 
 

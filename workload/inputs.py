@@ -146,6 +146,18 @@ def client_raw(core: DataFrame) -> DataFrame:
     return client_events(core).selectExpr("event_id", "ep", "publish_ts", CLIENT_JSON)
 
 
+def damaged(raw: DataFrame) -> DataFrame:
+    """Messages of which some are malformed: two objects, or an object and more text."""
+    return raw.withColumn(
+        "value",
+        F.expr(
+            """CASE event_id % 89 WHEN 1 THEN concat(value, value) WHEN 2 THEN concat(value, ' ', value)
+               WHEN 3 THEN concat(value, ' x}') WHEN 4 THEN substring(value, 1, length(value) - 1)
+               WHEN 5 THEN concat(value, ',', value) ELSE value END"""
+        ),
+    )
+
+
 def server_raw(core: DataFrame) -> DataFrame:
     """Server events as JSON messages."""
     events = server_events(core).withColumnRenamed("ep", "stimestamp")
@@ -172,18 +184,15 @@ def ad_position(spark: SparkSession) -> DataFrame:
 
 
 def advertiser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Every tenth supplier has an ad that no event shows, so its own ad is unknown.
     key = F.col("s_suppkey")
-    return (
-        table(spark, sf_dir, "supplier")
-        .where(key % 10 != 3)
-        .select(
-            (400 + key).alias("ad_id"),
-            F.col("s_name").alias("advertiser"),
-            F.when(key % 7 != 0, F.concat(F.lit("EX"), F.col("s_nationkey").cast("string"))).alias(
-                "exchange"
-            ),
-            (1000 + key).alias("campaign_id"),
-        )
+    return table(spark, sf_dir, "supplier").select(
+        F.when(key % 10 == 3, -key).otherwise(400 + key).alias("ad_id"),
+        F.col("s_name").alias("advertiser"),
+        F.when(key % 7 != 0, F.concat(F.lit("EX"), F.col("s_nationkey").cast("string"))).alias(
+            "exchange"
+        ),
+        (1000 + key).alias("campaign_id"),
     )
 
 
@@ -203,18 +212,16 @@ def dimensions(spark: SparkSession, sf_dir: str) -> Dimensions:
 
 
 def web_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Two of three customers are users that no event mentions.
     key = F.col("c_custkey")
-    return (
-        table(spark, sf_dir, "customer")
-        .where(key % 3 == 0)
-        .select(
-            F.concat(F.lit("u"), key.cast("string")).alias("user_id"),
-            (20 + key % 50).alias("Age"),
-            F.lit("USA").alias("Country"),
-            F.when(key % 2 == 0, "MALE").otherwise("FEMALE").alias("GENDER"),
-            F.lit("MARRIED").alias("MARITAL_STATUS"),
-            (F.floor("c_acctbal") * 10).alias("INCOME"),
-        )
+    letter = F.when(key % 3 == 0, "u").otherwise("x")
+    return table(spark, sf_dir, "customer").select(
+        F.concat(letter, key.cast("string")).alias("user_id"),
+        (20 + key % 50).alias("Age"),
+        F.lit("USA").alias("Country"),
+        F.when(key % 2 == 0, "MALE").otherwise("FEMALE").alias("GENDER"),
+        F.lit("MARRIED").alias("MARITAL_STATUS"),
+        (F.floor("c_acctbal") * 10).alias("INCOME"),
     )
 
 

@@ -2,13 +2,7 @@
 
 from __future__ import annotations
 
-from adstream.functions.useragent import (
-    BRAND_RULES,
-    BROWSER_COLUMNS,
-    BROWSER_RULES,
-    MODEL_PATTERNS,
-    OS_RULES,
-)
+from adstream.functions.useragent import BROWSER_COLUMNS
 from adstream.schemas import AD_IMPRESSIONS, AD_IMPRESSIONS_INVALID, CLIENT_EVENT
 from workload.inputs import USER_AGENTS
 
@@ -63,31 +57,45 @@ def _verdict(source: str, numeric: bool) -> str:
     )
 
 
-def _browser(source: str) -> str:
-    def chain(rules, column, default, value):
-        cases = " ".join(
-            f"WHEN regexp_matches({column}, {_quoted(p)}) THEN {value(n, p)}" for n, p in rules
-        )
-        return f"CASE {cases} ELSE {default} END"
+# What each agent of the inputs is, in their order, as the contract lists it:
+# browser and version, system and version, device, brand, model.
+AGENTS = (
+    ("Firefox", "47.0", "Windows", "6.1", "Other", None, None),
+    ("Firefox", "42.0", "Mac OS X", "", "Mac", "Apple", "Mac"),
+    ("Mobile Safari", "12.0", "iOS", "12.0", "iPhone", "Apple", "iPhone"),
+    ("Chrome Mobile iOS", "69.0.3497.105", "iOS", "12.0", "iPhone", "Apple", "iPhone"),
+    ("Mobile Safari", "11.0", "iOS", "11.0", "iPhone", "Apple", "iPhone"),
+    ("Mobile Safari", "10.0", "iOS", "10.0.1", "iPhone9,3", "Apple", "iPhone9,3"),
+    ("Chrome Mobile", "52.0.2743.98", "Android", "6.0.1", "SM-G920V", "Samsung", "SM-G920V"),
+    ("Chrome Mobile WebView", "55.0.2883.91", "Android", "6.0.1", "SM-G935S", "Samsung", "SM-G935S"),
+    ("Chrome Mobile", "62.0.3202.84", "Android", "8.0.0", "SM-G960F", "Samsung", "SM-G960F"),
+    ("Chrome Mobile WebView", "60.0.3112.107", "Android", "7.0", "SM-G892A", "Samsung", "SM-G892A"),
+    ("Edge", "12.246", "Windows", "10.0", "Other", None, None),
+    ("Chrome", "51.0.2704.64", "Chrome OS", "8172.45.0", "Other", None, None),
+    ("Safari", "9.0.2", "Mac OS X", "10.11.2", "Mac", "Apple", "Mac"),
+    ("Firefox", "15.0.1", "Ubuntu", "", "Other", None, None),
+    ("Chrome", "31.0.1650.0", "Chromecast", "1.5.16041", "CrKey", "Google", "CrKey"),
+    ("Android", "4.0", "Android", "4.2.2", "NEO-X5-116A", "Generic", "NEO-X5-116A"),
+    ("Chrome", "41.99900.2250.0242", "Android", "5.1", "AFTS", "Amazon", "AFTS"),
+    ("Chrome Mobile WebView", "52.0.2743.98", "Android", "7.0", "Pixel C", "Google", "Pixel C"),
+    ("Chrome Mobile WebView", "52.0.2743.98", "Android", "6.0.1", "SGP771", "Sony", "SGP771"),
+    ("Chrome Mobile WebView", "55.0.2883.91", "Android", "6.0.1", "SHIELD Tablet K1", "NVIDIA", "SHIELD Tablet K1"),
+)
+# What is shown where there is no agent.
+NO_AGENT = ("Other", "", "Other", "", "Other", None, None)
 
-    def name(n, _):
-        return _quoted(n)
 
-    def version(_, p):
-        return f"replace(regexp_extract(user_agent, {_quoted(p)}, 1), '_', '.')"
+def _browser(source: str) -> str:
+    def row(agent: str | None, values: tuple) -> str:
+        texts = ("NULL" if v is None else _quoted(v) for v in (agent, *values))
+        return f"({', '.join(texts)})"
 
-    models = ", ".join(
-        f"nullif(regexp_extract(user_agent, {_quoted(p)}, 1), '')" for p in MODEL_PATTERNS
+    known = ", ".join([*map(row, USER_AGENTS, AGENTS), row(None, NO_AGENT)])
+    names = ", ".join(BROWSER_COLUMNS)
+    return (
+        f"SELECT b_.*, {', '.join(f'a_.{n}' for n in BROWSER_COLUMNS)} FROM {source} b_ "
+        f"JOIN (VALUES {known}) a_(agent_, {names}) ON b_.user_agent IS NOT DISTINCT FROM a_.agent_"
     )
-    return f"""SELECT * EXCLUDE (model_),
-      {chain(BROWSER_RULES, 'user_agent', "'Other'", name)} AS Browser,
-      {chain(BROWSER_RULES, 'user_agent', "''", version)} AS Browser_version,
-      {chain(OS_RULES, 'user_agent', "'Other'", name)} AS Client_OS,
-      {chain(OS_RULES, 'user_agent', "''", version)} AS Client_OS_Ver,
-      coalesce(model_, 'Other') AS Client_Device,
-      {chain(BRAND_RULES, 'model_', 'NULL', name)} AS Client_Device_Brand,
-      model_ AS Client_Device_Model
-    FROM (SELECT *, coalesce({models}) AS model_ FROM {source})"""
 
 
 def _attributes(dim: str, on: str, columns: tuple[str, ...]) -> tuple[str, str]:
@@ -184,20 +192,24 @@ CTES = {
       UNION ALL
       SELECT ad_id, user_id, publisher_id, page_id, ad_position, win, ep AS stimestamp FROM event_core WHERE k = 14""",
     "client_raw": f"SELECT event_id, win, ep, {_json_object(CLIENT_EVENT.names)} AS value FROM client_events",
+    "client_damaged": """SELECT event_id, win, ep, CASE event_id % 89 WHEN 1 THEN value||value
+      WHEN 2 THEN value||' '||value WHEN 3 THEN value||' x}' WHEN 4 THEN value[:-2]
+      WHEN 5 THEN value||','||value ELSE value END AS value,
+      event_id % 89 BETWEEN 1 AND 5 AS bad FROM client_raw""",
     "ad_position": """SELECT * FROM (VALUES ('LTOP1','Left','300x250'),('LTOP2','Left','300x600'),('BANNER1','Top','728x90'),
       ('RBANNER1','Right','160x600'),('SCROLL1','Scroll',CAST(NULL AS VARCHAR(20)))) t(ad_position, Location, Size)""",
-    "advertiser": """SELECT 400+s_suppkey AS ad_id, s_name AS advertiser,
+    "advertiser": """SELECT CASE WHEN s_suppkey%10=3 THEN -s_suppkey ELSE 400+s_suppkey END AS ad_id, s_name AS advertiser,
       CASE WHEN s_suppkey%7=0 THEN NULL ELSE 'EX'||CAST(s_nationkey AS VARCHAR(20)) END AS exchange,
       1000+s_suppkey AS campaign_id
-      FROM supplier WHERE s_suppkey%10 <> 3""",
+      FROM supplier""",
     "page": """SELECT p.publisher_id, g.page_id, p.publisher,
       CASE WHEN g.page_id='GAMES_3' THEN NULL ELSE p.publisher||'/'||g.page_id END AS article
       FROM (VALUES (123,'Pub A'),(125,'Pub B'),(168,'Pub C'),(189,'Pub D')) p(publisher_id, publisher)
       CROSS JOIN (VALUES ('SPORTS_1'),('FINANCE_3'),('FASHION_4'),('TECH_5'),('GAMES_3')) g(page_id)""",
-    "web_users": """SELECT 'u'||CAST(c_custkey AS VARCHAR(20)) AS user_id, 20+c_custkey%50 AS Age, 'USA' AS Country,
+    "web_users": """SELECT CASE WHEN c_custkey%3=0 THEN 'u' ELSE 'x' END||CAST(c_custkey AS VARCHAR(20)) AS user_id, 20+c_custkey%50 AS Age, 'USA' AS Country,
       CASE WHEN c_custkey%2=0 THEN 'MALE' ELSE 'FEMALE' END AS GENDER, 'MARRIED' AS MARITAL_STATUS,
       CAST(floor(c_acctbal) AS BIGINT)*10 AS INCOME
-      FROM customer WHERE c_custkey%3=0""",
+      FROM customer""",
     "notices": """SELECT DISTINCT '/data/hourly' AS bucket, 'hourly' AS data_frequency,
       strftime(ts, '%Y%m%d/%H') AS folder_path, 'server_events.json' AS server_events_file,
       'client_events.json' AS client_events_file FROM events""",
@@ -212,6 +224,8 @@ CTES = {
     "validated": _verdict("matched", False),
     "validated_stream": _verdict("matched_stream", False),
     "validated_hours": _verdict("matched_hours", False),
+    "validated_hours_of_days": """SELECT * FROM validated_hours WHERE
+      CAST(make_timestamp(win * 1000000) AS DATE) <= (SELECT min(CAST(ts AS DATE)) + 1 FROM events)""",
     "valid": "SELECT * FROM validated WHERE validity_status = ''",
     "invalid": "SELECT * FROM validated WHERE validity_status <> ''",
     "enriched": _enriched("SELECT * FROM valid"),
@@ -235,10 +249,11 @@ def sql(body: str) -> str:
             wanted.add(name)
             queue += _NEEDS[name]
     blocks = ",\n".join(f"{n} AS ({b})" for n, b in CTES.items() if n in wanted)
-    return f"WITH {blocks}\n{body}"
+    return f"WITH {blocks}\n{body}" if blocks else body
 
 
 EVENT = f"event_id, win, {FIELDS}"
+EVENT_HOURS = f"event_id, {FIELDS}"
 _TRAFFIC = (
     "count(*) AS impressions, count(*) FILTER (clicked='yes') AS clicks, "
     "count(*) FILTER (clicked='yes') / count(*) AS click_rate"
@@ -254,12 +269,22 @@ def _impressions_from(validated: str) -> str:
     return f"SELECT {_stored(AD_IMPRESSIONS)} FROM ({_enriched(valid)})"
 
 
+_BACKFILL = """SELECT a.user_id, CAST(37 AS BIGINT) AS Age, 'USA' AS Country,
+      'MALE' AS GENDER, 'MARRIED' AS MARITAL_STATUS, CAST(50000 AS BIGINT) AS INCOME
+      FROM (SELECT DISTINCT user_id FROM impressions) a
+      LEFT JOIN web_users u ON a.user_id = u.user_id
+      WHERE u.user_id IS NULL"""
+
 QUERIES = {
     "parse_events": "SELECT event_id, "
     + ", ".join(f"json_extract_string(value, '$.{n}') AS {n}" for n in CLIENT_EVENT.names)
-    + " FROM client_raw",
+    + " FROM client_damaged WHERE NOT bad",
+    "quarantined_events": "SELECT event_id, value, 'client' AS side FROM client_damaged WHERE bad",
     "encode_events": "SELECT event_id, value FROM client_raw",
     "parse_notices": "SELECT * FROM notices",
+    "quarantined_notices": """SELECT CASE n WHEN 0 THEN '{"bucket":"'||bucket||'","folder_path":"'||folder_path||'"}'
+      WHEN 1 THEN '{}' ELSE 'no notice' END AS value, 'notice' AS side
+      FROM notices CROSS JOIN (VALUES (0), (1), (2)) t(n)""",
     "batch_file_paths": """SELECT bucket, folder_path,
       bucket||'/'||folder_path||'/'||client_events_file AS client_path,
       bucket||'/'||folder_path||'/'||server_events_file AS server_path FROM notices""",
@@ -276,10 +301,9 @@ QUERIES = {
     "enrich_ad_position": _lookup(POSITION).format(k="v.ad_position"),
     "enrich_advertiser": _lookup(ADVERTISER).format(k="v.ad_id"),
     "enrich_page": _lookup(PAGE).format(k="v.publisher_id, v.page_id"),
-    "user_agent_dim": _browser(
-        "(SELECT DISTINCT user_agent FROM client_events WHERE user_agent IS NOT NULL)"
-    ),
+    "user_agent_dim": _browser("(SELECT DISTINCT user_agent FROM client_events)"),
     "enrich_browser": _browser("(SELECT event_id, user_agent FROM valid)"),
+    "enrich_browser_lookup": _browser("(SELECT event_id, user_agent FROM valid)"),
     "ad_impressions": "SELECT * FROM impressions",
     "ad_impressions_invalid": "SELECT * FROM impressions_invalid",
     "event_feed": f"""SELECT 'validated' AS feed, {_json_object(VALIDATED)} AS value FROM validated
@@ -287,13 +311,21 @@ QUERIES = {
     "distinct_users": "SELECT DISTINCT user_id FROM impressions",
     "absent_users": """SELECT a.user_id FROM (SELECT DISTINCT user_id FROM impressions) a
       LEFT JOIN web_users u ON a.user_id = u.user_id WHERE u.user_id IS NULL""",
-    "backfill_web_users": """SELECT a.user_id, CAST(37 AS BIGINT) AS Age, 'USA' AS Country,
-      'MALE' AS GENDER, 'MARRIED' AS MARITAL_STATUS, CAST(50000 AS BIGINT) AS INCOME
-      FROM (SELECT DISTINCT user_id FROM impressions) a
-      LEFT JOIN web_users u ON a.user_id = u.user_id
-      WHERE u.user_id IS NULL ORDER BY a.user_id LIMIT 50""",
+    "backfill_web_users": _BACKFILL,
+    "backfill_web_users_limited": f"{_BACKFILL} ORDER BY a.user_id LIMIT 50",
+    "web_users_after_backfill": f"SELECT * FROM web_users UNION ALL {_BACKFILL}",
     "stream_pipeline": _impressions_from("validated_stream"),
     "notice_ingest": _impressions_from("validated_hours"),
+    "ingest_two_runs": _impressions_from("validated_hours"),
+    "match_batch_folders": f"SELECT {EVENT_HOURS} FROM matched_hours",
+    "stored_invalid": f"SELECT {_stored(AD_IMPRESSIONS_INVALID)} FROM validated_hours WHERE validity_status <> ''",
+    "stored_feed": f"""SELECT 'validated' AS feed, {_json_object(VALIDATED)} AS value FROM validated_hours
+      UNION ALL SELECT 'enriched' AS feed, {_json_object(ENRICHED)} AS value
+      FROM ({_enriched("SELECT * FROM validated_hours WHERE validity_status = ''")})""",
+    "cleanup_feed": """SELECT '["foldername","/day='||strftime(ts, '%Y%m%d')||'/hour='||strftime(ts, '%H')||'"]' AS value
+      FROM (SELECT DISTINCT date_trunc('hour', ts) AS ts FROM events)""",
+    "report_of_days": f"""SELECT Location, Size, {_TRAFFIC} FROM (
+      {_impressions_from("validated_hours_of_days")}) GROUP BY ALL""",
     "report_by_campaign": f"""SELECT advertiser, campaign_id, date_trunc('hour', timestamp) AS hour,
       {_TRAFFIC} FROM impressions GROUP BY ALL""",
     "report_by_page": f"SELECT publisher, page_id, {_TRAFFIC} FROM impressions GROUP BY ALL",

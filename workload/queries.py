@@ -7,13 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adstream.functions.jsontext import encode_rows, parse_events, parse_notices
+from adstream.functions.jsontext import (
+    encode_rows,
+    parse_events,
+    parse_notices,
+    quarantined_events,
+    quarantined_notices,
+)
 from adstream.functions.useragent import BROWSER_COLUMNS
 from adstream.operators import enrich, users
 from adstream.operators.match import assign_window, flatten_matches, match_events
 from adstream.operators.validate import split_validity, validate_client_events
 from adstream.plans import reports
-from adstream.plans.batch import Outcome, run_batch
+from adstream.plans.batch import Outcome, run_batch, stage
 from adstream.schemas import CLIENT_EVENT
 from adstream.session import scratch_path
 from adstream.sources.dimensions import read_table
@@ -21,7 +27,7 @@ from adstream.sources.events import read_message_stream
 from adstream.sources.notices import batch_file_paths, completion_notices
 from adstream.streaming.ingest import start_notice_ingest
 from adstream.streaming.pipeline import start_stream
-from adstream.streaming.sinks import Sinks, feed_messages
+from adstream.streaming.sinks import Sinks, append_web_users, feed_messages
 from workload import inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,23 +67,40 @@ def _valid(spark: SparkSession, sf: str) -> DataFrame:
     return split_validity(_validated(spark, sf))[0]
 
 
-def _outcome(spark: SparkSession, sf: str) -> Outcome:
+def _outcome(spark: SparkSession, sf: str, staging: str | None = None) -> Outcome:
     core = inputs.event_core(spark, sf)
     client = assign_window(inputs.client_events(core))
     server = assign_window(inputs.server_events(core))
-    return run_batch(client, server, inputs.dimensions(spark, sf), order_by=ORDER_BY)
+    dims = inputs.dimensions(spark, sf)
+    return run_batch(client, server, dims, order_by=ORDER_BY, staging=staging)
 
 
 def _impressions(spark: SparkSession, sf: str) -> DataFrame:
     return _outcome(spark, sf).impressions
 
 
+def _damaged(spark: SparkSession, sf: str) -> DataFrame:
+    raw = inputs.client_raw(inputs.event_core(spark, sf))
+    return inputs.damaged(raw.select("event_id", "value"))
+
+
 def parse(spark: SparkSession, sf: str) -> DataFrame:
-    raw = inputs.client_raw(inputs.event_core(spark, sf)).select("event_id", "value")
-    events = parse_events(raw, "client")
+    events = parse_events(_damaged(spark, sf), "client")
     return events.select("event_id", *CLIENT_EVENT.names)
 
 
+def bad_notices(spark: SparkSession, sf: str) -> DataFrame:
+    """Notices cut short, empty and no JSON, beside whole ones."""
+    notices = inputs.notices(spark, sf)
+    texts = F.array(
+        F.to_json(F.struct("bucket", "folder_path")),
+        F.lit("{}"),
+        F.lit("no notice"),
+        F.to_json(F.struct(*notices.columns)),
+    )
+    return quarantined_notices(notices.select(F.explode(texts).alias("value")))
+
+
 def encode(spark: SparkSession, sf: str) -> DataFrame:
     events = _client(spark, sf).select("event_id", *CLIENT_EVENT.names)
     return encode_rows(events, "event_id")
@@ -95,7 +118,8 @@ def decode_notices(spark: SparkSession, sf: str) -> DataFrame:
 
 def event_feed(spark: SparkSession, sf: str) -> DataFrame:
     internal = ("event_id", "win", "ep", "publish_ts", "window")
-    return feed_messages(_outcome(spark, sf), internal).select("feed", "value")
+    outcome = _outcome(spark, sf, scratch_path(spark, "event_feed"))
+    return feed_messages(outcome, internal).select("feed", "value")
 
 
 def window_assign(spark: SparkSession, sf: str) -> DataFrame:
@@ -129,8 +153,7 @@ def page(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def user_agent_dim(spark: SparkSession, sf: str) -> DataFrame:
-    events = _client(spark, sf).where("user_agent IS NOT NULL")
-    return enrich.build_user_agent_dim(events)
+    return enrich.build_user_agent_dim(_client(spark, sf))
 
 
 def browser(spark: SparkSession, sf: str) -> DataFrame:
@@ -138,28 +161,74 @@ def browser(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("event_id", "user_agent", *BROWSER_COLUMNS)
 
 
-def backfill(spark: SparkSession, sf: str) -> DataFrame:
-    return users.backfill_web_users(_impressions(spark, sf), inputs.web_users(spark, sf))
+def browser_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Agents parsed once each, then looked up, as the jobs do."""
+    valid = stage(spark, _valid(spark, sf), scratch_path(spark, "browser_lookup"))
+    found = enrich.enrich_browser(valid, enrich.build_user_agent_dim(valid))
+    return found.select("event_id", "user_agent", *BROWSER_COLUMNS)
+
+
+def backfill(spark: SparkSession, sf: str, limit: int | None = None) -> DataFrame:
+    return users.backfill_web_users(_impressions(spark, sf), inputs.web_users(spark, sf), limit)
 
 
-def _with_sentinel(messages: DataFrame) -> DataFrame:
-    """Add a last message far enough behind the others to close their windows."""
-    last = messages.agg(F.max("ep").alias("ep")).select(
-        F.timestamp_seconds(F.col("ep") + 60).alias("publish_ts"), F.lit("{}").alias("value")
+def users_after_backfill(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored user table after two runs of the backfill."""
+    root = scratch_path(spark, "web_users")
+    inputs.web_users(spark, sf).write.parquet(f"{root}/WebUsers")
+    for _ in range(2):
+        found = users.backfill_web_users(
+            _impressions(spark, sf), read_table(spark, root, "WebUsers")
+        )
+        append_web_users(found, f"{root}/WebUsers")
+    return read_table(spark, root, "WebUsers")
+
+
+def batch_folders(spark: SparkSession, sf: str) -> DataFrame:
+    """Matching within hour folders, where client time and then fields decide who is first."""
+    core = inputs.event_core(spark, sf)
+    folder = F.date_format(F.timestamp_seconds("ep"), "yyyyMMdd/HH").alias("folder_path")
+    client = inputs.client_events(core).select(folder, *CLIENT_EVENT.names, "event_id")
+    server = inputs.server_events(core).select(folder, *inputs.KEY_FIELDS)
+    matched = match_events(client, server, ("folder_path",))
+    return matched.select("event_id", *CLIENT_EVENT.names)
+
+
+# The stream is replayed in so many slices of time, of which one arrives late.
+REPLAY_SLICES, LATE_SLICE, LATE_BY = 6, 1, 3
+
+
+def _replayed(messages: DataFrame, delay_s: int) -> DataFrame:
+    """Messages with the place of their arrival, and last ones that close all windows."""
+    span = messages.agg(F.min("ep").alias("first"), F.max("ep").alias("last"))
+    width = (F.col("last") - F.col("first") + 1) / REPLAY_SLICES
+    slice_ = F.floor((F.col("ep") - F.col("first")) / width).cast("int")
+    late = F.when(slice_ == LATE_SLICE, LATE_SLICE + LATE_BY + 0.5).otherwise(slice_)
+    ordered = messages.join(F.broadcast(span)).select("publish_ts", "value", late.alias("turn"))
+    closing = span.select(
+        F.timestamp_seconds(F.col("last") + delay_s + 60).alias("publish_ts"),
+        F.lit("{}").alias("value"),
+        F.lit(float(REPLAY_SLICES)).alias("turn"),
     )
-    return messages.select("publish_ts", "value").unionByName(last)
+    return ordered.unionByName(closing)
 
 
 def stream_pipeline(spark: SparkSession, sf: str) -> DataFrame:
-    """Replay both sides as streams through the continuous job; read its table."""
+    """Replay both sides as streams, a slice a micro-batch and one of them late; read the table."""
     root = scratch_path(spark, "stream_pipeline")
     core = inputs.event_core(spark, sf)
     raw = {"client": inputs.client_raw(core), "server": inputs.server_raw(core)}
+    days = 60
     streams = {}
     for side, messages in raw.items():
         path = f"{root}/in/{side}"
-        _with_sentinel(messages).write.json(path)
-        streams[side] = read_message_stream(spark, "json", path)
+        rows = stage(spark, _replayed(messages, days * 86400), f"{root}/raw/{side}")
+        turns = [*range(REPLAY_SLICES), LATE_SLICE + LATE_BY + 0.5, REPLAY_SLICES]
+        for turn in sorted(turns):
+            # One file a turn: the source takes files by the time they appeared.
+            part = rows.where(F.col("turn") == turn).select("publish_ts", "value")
+            part.coalesce(1).write.mode("append").json(path)
+        streams[side] = read_message_stream(spark, "json", path, maxFilesPerTrigger="1")
     query = start_stream(
         spark,
         streams["client"],
@@ -167,15 +236,15 @@ def stream_pipeline(spark: SparkSession, sf: str) -> DataFrame:
         inputs.dimensions(spark, sf),
         Sinks(f"{root}/out"),
         f"{root}/checkpoint",
+        delay=f"{days} days",
         trigger={"availableNow": True},
     )
     query.awaitTermination()
     return read_table(spark, f"{root}/out", "Ad_impressions")
 
 
-def notice_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """Lay events out as hourly folders, announce them, ingest; read the table."""
-    root = scratch_path(spark, "notice_ingest")
+def _hourly(spark: SparkSession, sf: str, root: str) -> DataFrame:
+    """Lay events out as hourly folders; the notices that announce them."""
     arrived = F.timestamp_seconds("ep")
     core = inputs.event_core(spark, sf)
     sides = (
@@ -209,29 +278,82 @@ def notice_ingest(spark: SparkSession, sf: str) -> DataFrame:
     )
     now = F.current_timestamp().alias("publish_ts")
     message = F.to_json(F.struct(*notices.columns)).alias("value")
-    notices.select(now, message).write.json(f"{root}/notices")
-    query = start_notice_ingest(
-        spark,
-        read_message_stream(spark, "json", f"{root}/notices"),
-        inputs.dimensions(spark, sf),
-        Sinks(f"{root}/out"),
-        f"{root}/checkpoint",
-        trigger={"availableNow": True},
+    # Every other hour goes to the second of two runs.
+    return notices.select(now, message, (F.crc32("folder_path") % 2).alias("run"))
+
+
+def _ingest(spark: SparkSession, sf: str, name: str, runs: int = 1) -> str:
+    """Announce all hourly folders to one or two ingest jobs on one root."""
+    root = scratch_path(spark, name)
+    notices = stage(spark, _hourly(spark, sf, root), f"{root}/announced")
+    for run in range(runs):
+        own = notices.where(F.col("run") == run) if runs > 1 else notices
+        own.select("publish_ts", "value").write.json(f"{root}/notices/{run}")
+        query = start_notice_ingest(
+            spark,
+            read_message_stream(spark, "json", f"{root}/notices/{run}"),
+            inputs.dimensions(spark, sf),
+            Sinks(f"{root}/out"),
+            f"{root}/checkpoint/{run}",
+            trigger={"availableNow": True},
+        )
+        query.awaitTermination()
+    return root
+
+
+def notice_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """Ingest announced hourly folders; read the table."""
+    return read_table(spark, f"{_ingest(spark, sf, 'notice_ingest')}/out", "Ad_impressions")
+
+
+def ingest_two_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from two checkpoints, each with half the folders, into one table."""
+    return read_table(spark, f"{_ingest(spark, sf, 'two_runs', 2)}/out", "Ad_impressions")
+
+
+def stored_invalid(spark: SparkSession, sf: str) -> DataFrame:
+    root = _ingest(spark, sf, "stored_invalid")
+    return read_table(spark, f"{root}/out", "Ad_impressions_Invalid")
+
+
+def stored_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """The JSON feed files that the ingest job wrote."""
+    root = _ingest(spark, sf, "stored_feed")
+    return spark.read.text(f"{root}/out/feed").select("feed", "value")
+
+
+def cleanup_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """Completion messages, without the scratch folder in front."""
+    root = _ingest(spark, sf, "cleanup_feed")
+    text = F.replace("value", F.lit(f"{root}/hourly"), F.lit(""))
+    return spark.read.text(f"{root}/out/cleanup").select(text.alias("value"))
+
+
+def report_of_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Traffic by placement over the first two days of the stored table."""
+    root = _ingest(spark, sf, "report_of_days")
+    first = F.min(F.col("ts").cast("date"))
+    days = inputs.table(spark, sf, "events").agg(
+        F.date_format(first, "yyyyMMdd").alias("a"), F.date_format(first + 1, "yyyyMMdd").alias("b")
     )
-    query.awaitTermination()
-    return read_table(spark, f"{root}/out", "Ad_impressions")
+    since, until = days.first()
+    stored = read_table(spark, f"{root}/out", "Ad_impressions", since, until)
+    return reports.report_by_placement(stored)
 
 
 def queries() -> dict[str, Query]:
     return {
         "parse_events": parse,
+        "quarantined_events": lambda s, d: quarantined_events(_damaged(s, d), "client"),
         "encode_events": encode,
         "parse_notices": decode_notices,
+        "quarantined_notices": bad_notices,
         "batch_file_paths": file_paths,
         "completion_notices": lambda s, d: completion_notices(inputs.notices(s, d)),
         "tumbling_window_assign": window_assign,
         "match_windowed": lambda s, d: _matched(s, d).select(*EVENT),
         "match_batch": lambda s, d: _matched_batch(s, d).select(*EVENT),
+        "match_batch_folders": batch_folders,
         "flatten_matches": flatten,
         "validate_as_written": lambda s, d: _validated(s, d).select(*EVENT, *VERDICT),
         "validate_numeric": lambda s, d: _validated(s, d, True).select(*EVENT, *VERDICT),
@@ -244,6 +366,7 @@ def queries() -> dict[str, Query]:
         "enrich_page": page,
         "user_agent_dim": user_agent_dim,
         "enrich_browser": browser,
+        "enrich_browser_lookup": browser_lookup,
         "ad_impressions": _impressions,
         "ad_impressions_invalid": lambda s, d: _outcome(s, d).invalid,
         "event_feed": event_feed,
@@ -252,8 +375,15 @@ def queries() -> dict[str, Query]:
             _impressions(s, d), inputs.web_users(s, d)
         ),
         "backfill_web_users": backfill,
+        "backfill_web_users_limited": lambda s, d: backfill(s, d, users.BACKFILL_LIMIT),
+        "web_users_after_backfill": users_after_backfill,
         "stream_pipeline": stream_pipeline,
         "notice_ingest": notice_ingest,
+        "ingest_two_runs": ingest_two_runs,
+        "stored_invalid": stored_invalid,
+        "stored_feed": stored_feed,
+        "cleanup_feed": cleanup_feed,
+        "report_of_days": report_of_days,
         "report_by_campaign": lambda s, d: reports.report_by_campaign(_impressions(s, d)),
         "report_by_page": lambda s, d: reports.report_by_page(_impressions(s, d)),
         "report_by_placement": lambda s, d: reports.report_by_placement(_impressions(s, d)),
