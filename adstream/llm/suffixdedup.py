@@ -10,7 +10,8 @@ Where contexts of one fragment differ (at the edges of copies), shards of them a
 suffix arrays by Larsson-Sadakane refinement. Kasai's common prefixes then show which strings
 start at another place too. A fragment's contexts share a shard; where they are too many,
 they are spread over several, each shard hands on one of every string it holds, as a digest,
-and sorted digests of all shards are merged by binary search.
+and the digests of all shards, sorted, are merged by binary search. Only strings are compared
+whose core, the bytes they share with their neighbours, more than one context holds.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adstream.llm.common import prepare, saved, scratch, text_column, utf8
-from adstream.llm.suffixes import common_prefixes, suffix_array
+from adstream.llm.suffixes import PACKED, common_prefixes, packed, suffix_array
 
 LENGTH = 200
 FRAGMENT = 64
@@ -32,6 +33,8 @@ FRAGMENT = 64
 CHUNK_BITS = 18
 # Contexts in a shard.
 SHARD = 3000
+# Starts that share a core, where a fragment's contexts are spread over shards.
+STEP = 16
 # Odd numbers whose powers weigh the bytes of a string, modulo 2**64.
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 MULTIPLIER = np.uint64(0xBF58476D1CE4E5B9)
@@ -177,15 +180,11 @@ def shard_repeats(contexts: list[bytes], physical: np.ndarray, copies: np.ndarra
     raw = np.frombuffer(b"\0".join(contexts) + b"\0", np.uint8)
     symbols = raw.astype(np.int64) + 1
     symbols[begin + sizes] = 0
-    # Seven symbols of nine bits in a first key. All shards are sorted to the end: common
-    # prefixes carry over from one suffix to the next only in a whole order.
-    key = np.zeros(n, np.uint64)
-    for k in range(7):
-        key <<= np.uint64(9)
-        key[: n - k] |= symbols[k:].astype(np.uint64)
-    order = suffix_array(key, known=7)
+    # All is sorted to the end of the shard: only a whole order lets lengths carry over.
+    key = packed(symbols)
+    order = suffix_array(key, known=PACKED)
     context = np.repeat(np.arange(len(sizes)), total)
-    shared = common_prefixes(symbols, order, length)
+    shared = common_prefixes(key, order, length)
     start = np.arange(n) - begin[context]
     full = (sizes[context] - start >= length)[order]
     class_ = np.cumsum(shared < length)[full]
@@ -204,6 +203,8 @@ def shard_repeats(contexts: list[bytes], physical: np.ndarray, copies: np.ndarra
 
 def _intervals(own: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of following starts in one context: context, first and last start."""
+    if not len(own):
+        return own, start, start
     at = np.lexsort((start, own))
     own, start = own[at], start[at]
     new = np.r_[True, (own[1:] != own[:-1]) | (start[1:] != start[:-1] + 1)]
@@ -211,52 +212,77 @@ def _intervals(own: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return own[new], start[new], start[last]
 
 
-def _digests(contexts: list[bytes], own: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit hashes of each string."""
-    out = np.zeros((2, len(own)), np.uint64)
-    at = np.argsort(own, kind="stable")
-    bounds = np.searchsorted(own[at], np.arange(len(contexts) + 1))
-    for c in np.unique(own):
-        some = at[bounds[c] : bounds[c + 1]]
+def _handed_on(contexts, before, own, start, length):
+    """Strings that other shards have to know, by context and core.
+
+    Strings of one context that start within ``STEP`` bytes of each other have a core in
+    common, at places that are the same for all contexts: equal strings have equal cores, so
+    only strings whose core other shards hold too need to be compared.
+    """
+    band = (before[own] - start) // STEP
+    at = np.lexsort((start, band, own))
+    own, start, band = own[at], start[at], band[at]
+    new = np.flatnonzero(np.r_[True, (own[1:] != own[:-1]) | (band[1:] != band[:-1])])
+    rows = []
+    for a, b in zip(new, [*new[1:], len(own)], strict=True):
+        c = own[a]
         data = np.frombuffer(contexts[c], np.uint8)
-        for k, base in enumerate(BASES):
-            out[k, some] = Hashes(data, base).of(start[some], start[some] + length)
-    return out[0].view(np.int64), out[1].view(np.int64)
+        core = before[c] - band[a] * STEP
+        begins = np.r_[core, start[a:b]]
+        ends = np.r_[core + length - STEP + 1, start[a:b] + length]
+        digests = [Hashes(data, base).of(begins, ends).view(np.int64) for base in BASES]
+        rows.append((c, digests, start[a:b]))
+    return rows
 
 
+STRINGS = pa.list_(
+    pa.struct([("first", pa.int32()), ("digest1", pa.int64()), ("digest2", pa.int64()), ("byte", pa.int64())])
+)
 SHARD_ROWS = (
-    "fh long, ch long, first int, last int, digest1 long, digest2 long, doc long, byte long"
+    "fh long, ch long, first int, last int, core1 long, core2 long, doc long, "
+    "strings array<struct<first:int,digest1:long,digest2:long,byte:long>>"
 )
 
 
 def _shard(length: int):
+    schema = pa.schema(
+        [("fh", pa.int64()), ("ch", pa.int64()), ("first", pa.int32()), ("last", pa.int32()),
+         ("core1", pa.int64()), ("core2", pa.int64()), ("doc", pa.int64()), ("strings", STRINGS)]
+    )
+
     def sort(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         contexts = table["context"].to_pylist()
-        physical = np.stack([table["row"].to_numpy(), table["place"].to_numpy() - table["before"].to_numpy()], 1)
-        copies = table["copies"].to_numpy()
-        own, start, repeated, class_ = shard_repeats(contexts, physical, copies, length)
-        fh, ch, before = (table[c].to_numpy() for c in ("fh", "ch", "before"))
-        c, first, last = _intervals(own[repeated], start[repeated]) if repeated.any() else [np.zeros(0, np.int64)] * 3
-        parts = [(c, first, last, None)]
-        spread = table["spread"].to_numpy(zero_copy_only=False)[own] if len(own) else np.zeros(0, bool)
-        if spread.any():
-            # What the other shards have to know: each string once, and every one that
-            # is not yet known to be repeated.
-            some = np.flatnonzero(spread & (~repeated | np.r_[True, class_[1:] != class_[:-1]]))
-            parts.append((own[some], start[some], start[some], _digests(contexts, own[some], start[some], length)))
-        columns: list[list] = [[] for _ in range(8)]
-        for c, first, last, digest in parts:
-            zero = np.zeros(len(c), np.int64)
-            rows = (
-                fh[c], ch[c], (first - before[c]).astype(np.int32), (last - before[c]).astype(np.int32),
-                *((pa.nulls(len(c), pa.int64()),) * 2 if digest is None else digest),
-                physical[c, 0] if len(c) else zero, physical[c, 1] + first if len(c) else zero,
-            )
-            for column, values in zip(columns, rows, strict=True):
-                column.append(values if isinstance(values, pa.Array) else pa.array(values))
-        names = [x.split()[0] for x in SHARD_ROWS.split(", ")]
-        return pa.table([pa.chunked_array(c) for c in columns], names=names)
+        fh, ch, before, row = (table[c].to_numpy() for c in ("fh", "ch", "before", "row"))
+        before = before.astype(np.int64)
+        physical = np.stack([row, table["place"].to_numpy() - before], 1)
+        own, start, repeated, class_ = shard_repeats(contexts, physical, table["copies"].to_numpy(), length)
+        if not len(own):
+            return schema.empty_table()
+        c, first, last = _intervals(own[repeated], start[repeated])
+        n = len(c)
+        runs = pa.table(
+            [
+                pa.array(fh[c]), pa.array(ch[c]),
+                pa.array((first - before[c]).astype(np.int32)), pa.array((last - before[c]).astype(np.int32)),
+                *(pa.nulls(n, f.type) for f in list(schema)[4:]),
+            ],
+            schema=schema,
+        )
+        spread = table["spread"].to_numpy()[own]
+        # Each string once, and every one that is not yet known to be repeated.
+        some = np.flatnonzero(spread & (~repeated | np.r_[True, class_[1:] != class_[:-1]]))
+        rows = [
+            {
+                "fh": int(fh[c]), "ch": int(ch[c]), "core1": int(d1[0]), "core2": int(d2[0]), "doc": int(row[c]),
+                "strings": [
+                    {"first": int(s - before[c]), "digest1": int(x), "digest2": int(y), "byte": int(physical[c, 1] + s)}
+                    for s, x, y in zip(starts, d1[1:], d2[1:], strict=True)
+                ],
+            }
+            for c, (d1, d2), starts in (_handed_on(contexts, before, own[some], start[some], length) if len(some) else ())
+        ]
+        return pa.concat_tables([runs, pa.Table.from_pylist(rows, schema)])
 
     return sort
 
@@ -273,7 +299,10 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pairs = np.ascontiguousarray(places[order, :2]).view("i8,i8")[:, 0]
     asked = np.ascontiguousarray(keys[:, :2]).view("i8,i8")[:, 0]
     other = np.searchsorted(pairs, asked, "right") - np.searchsorted(pairs, asked, "left") > 1
-    yield from rows.select(["fh", "ch", "first", "last"]).filter(pa.array(other)).to_batches()
+    found = rows.filter(pa.array(other))
+    yield from pa.table(
+        [found["fh"], found["ch"], found["first"], found["first"]], names=["fh", "ch", "first", "last"]
+    ).to_batches()
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -369,12 +398,13 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, fragment: int = FRAGM
         F.least(F.lit(0), F.col("one.after") - length).cast("int").alias("last"),
     )
     runs = ["fh", "ch", "first", "last"]
-    repeated = found.where("digest1 IS NULL").select(*runs).unionByName(alike.where("last >= first"))
-    handed_on = found.where("digest1 IS NOT NULL")
+    repeated = found.where("core1 IS NULL").select(*runs).unionByName(alike.where("last >= first"))
+    handed_on = found.where("core1 IS NOT NULL")
     if not handed_on.isEmpty():
-        repeated = repeated.unionByName(
-            handed_on.repartition("digest1").mapInArrow(_merge, "fh long, ch long, first int, last int")
-        )
+        cores = handed_on.groupBy("core1", "core2").agg(F.count("*").alias("n")).where("n > 1")
+        shared = handed_on.join(cores, ["core1", "core2"], "left_semi").select("fh", "ch", "doc", F.inline("strings"))
+        merged = shared.repartition("digest1").mapInArrow(_merge, "fh long, ch long, first int, last int")
+        repeated = repeated.unionByName(merged)
     per_context = repeated.groupBy("fh", "ch").agg(F.collect_set(F.struct("first", "last")).alias("runs"))
     per_context = saved(per_context, scratch(spark, "repeated"))
     starts = members.join(per_context, ["fh", "ch"]).select(

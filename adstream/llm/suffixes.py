@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 
+PACKED = 7
+# A difference of packed symbols is at least this where it reaches the last but k.
+DIFFERS = np.array([1 << 9 * k for k in range(1, PACKED)], np.uint64)
+
 
 def _ranks(keys: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The place of the first of each run of equal keys in ``order``, and where runs begin."""
@@ -53,33 +57,49 @@ def suffix_array(keys: np.ndarray, known: int = 1, depth: int | None = None) ->
     return order
 
 
-def common_prefixes(symbols: np.ndarray, order: np.ndarray, limit: int) -> np.ndarray:
+def packed(symbols: np.ndarray) -> np.ndarray:
+    """For each place the next ``PACKED`` symbols (below 512) in one number, 0 past the end."""
+    n = len(symbols)
+    key = np.zeros(n, np.uint64)
+    for k in range(PACKED):
+        key <<= np.uint64(9)
+        if k < n:
+            key[: n - k] |= symbols[k:].astype(np.uint64)
+    return key
+
+
+def common_prefixes(keys: np.ndarray, order: np.ndarray, limit: int) -> np.ndarray:
     """For each place in ``order`` the common prefix with the one before it, up to ``limit``.
 
-    Kasai's rule: a suffix shares at least one symbol less with its neighbour than the
-    suffix that starts one symbol before it. Lanes of ``limit`` symbols walk through the text
-    side by side, each carrying its length on. ``symbols`` must end in a run of ``limit``
-    positions that are compared to nothing (see :func:`padded`).
+    Kasai's rule: a suffix shares at most one symbol less with its neighbour than the suffix
+    that starts one symbol before it does with its own; so lengths carry over, which needs
+    ``order`` to be whole. Lanes of ``limit`` symbols walk through the text side by side.
+    ``keys`` are the :func:`packed` symbols, compared as many at a time as they hold.
     """
     n = len(order)
     before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
-    shared = np.zeros(n, np.int32)
+    shared = np.zeros(n, np.int64)
     lane = np.arange(0, n, limit)
     length = np.zeros(len(lane), np.int64)
     for step in range(min(limit, n)):
         at = lane + step
-        inside = at < n
-        if not inside.all():
+        if at[-1] >= n:
+            inside = at < n
             lane, length, at = lane[inside], length[inside], at[inside]
         other = before[at]
         length = np.where(other >= 0, np.maximum(length - 1, 0), 0)
-        going = np.flatnonzero(other >= 0)
+        going = np.flatnonzero((other >= 0) & (length < limit))
+        a, b = at[going] + length[going], other[going] + length[going]
         while len(going):
-            a, b = at[going] + length[going], other[going] + length[going]
-            same = (length[going] < limit) & (a < n) & (b < n)
-            a, b = np.minimum(a, n - 1), np.minimum(b, n - 1)
-            going = going[same & (symbols[a] == symbols[b])]
-            length[going] += 1
-        shared[at] = length
+            inside = (a < n) & (b < n)
+            if not inside.all():
+                going, a, b = going[inside], a[inside], b[inside]
+            differ = keys[a] ^ keys[b]
+            same = PACKED - 1 - np.searchsorted(DIFFERS, differ, "right")
+            same[differ == 0] = PACKED
+            length[going] += same
+            more = (differ == 0) & (length[going] < limit)
+            going, a, b = going[more], a[more] + PACKED, b[more] + PACKED
+        shared[at] = length = np.minimum(length, limit)
     return shared[order]

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from adstream.llm import suffixdedup
-from adstream.llm.suffixes import common_prefixes, suffix_array
+from adstream.llm.suffixes import common_prefixes, packed, suffix_array
 
 LENGTH, FRAGMENT = 24, 8
 
@@ -85,7 +85,7 @@ def test_suffix_array_and_common_prefixes():
         order = suffix_array(s.astype(np.uint64))
         assert order.tolist() == sorted(range(len(s)), key=lambda i, s=s: s[i:].tolist())
         for limit in (3, 100):
-            shared = common_prefixes(s, order, limit)
+            shared = common_prefixes(packed(s), order, limit)
             for k in range(1, len(s)):
                 a, b = s[order[k] :], s[order[k - 1] :]
                 m = min(len(a), len(b))
