@@ -28,7 +28,7 @@ from adstream.llm.common import prepare, saved, scratch, text_column, utf8
 from adstream.llm.suffixes import PACKED, common_prefixes, packed, suffix_array
 
 LENGTH = 200
-FRAGMENT = 64
+FRAGMENT = 100
 # Bytes that are hashed at once; a place in them takes the lower bits of a key.
 CHUNK_BITS = 18
 # Contexts in a shard.
