@@ -22,6 +22,18 @@ def test_latency_percentile_is_exact(spark):
         assert abs(got.mean_latency - sum(known) / size) < 1e-9
 
 
+def test_latency_percentile_over_a_wide_range(spark):
+    rng = random.Random(6)
+    rows, known = [], {}
+    for i in range(600):
+        group = rng.choice([None, "A", "B"])
+        value = rng.choice([rng.randint(-5000, 5000), rng.randint(0, 10**12), -rng.randint(0, 2**50), 2**62])
+        rows.append({"Browser": group, "latency": value})
+        known.setdefault(group, []).append(value)
+    got = {r.Browser: r.p95_latency for r in reports.report_latency(impressions(spark, rows)).collect()}
+    assert got == {g: sorted(v)[math.ceil(len(v) * 95 / 100) - 1] for g, v in known.items()}
+
+
 def test_latency_may_be_unknown_throughout(spark):
     (got,) = reports.report_latency(impressions(spark, [{"Browser": "B"}])).collect()
     assert (got.impressions, got.mean_latency, got.p95_latency) == (1, None, None)
