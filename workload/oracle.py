@@ -221,6 +221,8 @@ CTES = {
     "matched_hours": _matched("{t}.win", BY_FIELDS)
     .replace("FROM client_events c", "FROM client_hours c")
     .replace("FROM server_events s", "FROM server_hours s"),
+    "matched_fields": _matched("", BY_FIELDS),
+    "validated_fields": _verdict("matched_fields", False),
     "validated": _verdict("matched", False),
     "validated_stream": _verdict("matched_stream", False),
     "validated_hours": _verdict("matched_hours", False),
@@ -317,6 +319,7 @@ QUERIES = {
     "stream_pipeline": _impressions_from("validated_stream"),
     "notice_ingest": _impressions_from("validated_hours"),
     "ingest_two_runs": _impressions_from("validated_hours"),
+    "match_notice_window": _impressions_from("validated_fields"),
     "match_batch_folders": f"SELECT {EVENT_HOURS} FROM matched_hours",
     "stored_invalid": f"SELECT {_stored(AD_IMPRESSIONS_INVALID)} FROM validated_hours WHERE validity_status <> ''",
     "stored_feed": f"""SELECT 'validated' AS feed, {_json_object(VALIDATED)} AS value FROM validated_hours

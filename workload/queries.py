@@ -282,10 +282,15 @@ def _hourly(spark: SparkSession, sf: str, root: str) -> DataFrame:
     return notices.select(now, message, (F.crc32("folder_path") % 2).alias("run"))
 
 
-def _ingest(spark: SparkSession, sf: str, name: str, runs: int = 1) -> str:
+def _ingest(
+    spark: SparkSession, sf: str, name: str, runs: int = 1, arrived: str | None = None, **options
+) -> str:
     """Announce all hourly folders to one or two ingest jobs on one root."""
     root = scratch_path(spark, name)
-    notices = stage(spark, _hourly(spark, sf, root), f"{root}/announced")
+    announced = _hourly(spark, sf, root)
+    if arrived:
+        announced = announced.withColumn("publish_ts", F.lit(arrived).cast("timestamp"))
+    notices = stage(spark, announced, f"{root}/announced")
     for run in range(runs):
         own = notices.where(F.col("run") == run) if runs > 1 else notices
         own.select("publish_ts", "value").write.json(f"{root}/notices/{run}")
@@ -296,6 +301,7 @@ def _ingest(spark: SparkSession, sf: str, name: str, runs: int = 1) -> str:
             Sinks(f"{root}/out"),
             f"{root}/checkpoint/{run}",
             trigger={"availableNow": True},
+            **options,
         )
         query.awaitTermination()
     return root
@@ -311,6 +317,19 @@ def ingest_two_runs(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, f"{_ingest(spark, sf, 'two_runs', 2)}/out", "Ad_impressions")
 
 
+def match_notice_window(spark: SparkSession, sf: str) -> DataFrame:
+    """Ingest where all folders are announced in one window, which is the scope of the match."""
+    root = _ingest(
+        spark,
+        sf,
+        "notice_window",
+        arrived="2024-03-01 00:00:05",
+        scope=("window",),
+        slice_size=100_000,
+    )
+    return read_table(spark, f"{root}/out", "Ad_impressions")
+
+
 def stored_invalid(spark: SparkSession, sf: str) -> DataFrame:
     root = _ingest(spark, sf, "stored_invalid")
     return read_table(spark, f"{root}/out", "Ad_impressions_Invalid")
@@ -380,6 +399,7 @@ def queries() -> dict[str, Query]:
         "stream_pipeline": stream_pipeline,
         "notice_ingest": notice_ingest,
         "ingest_two_runs": ingest_two_runs,
+        "match_notice_window": match_notice_window,
         "stored_invalid": stored_invalid,
         "stored_feed": stored_feed,
         "cleanup_feed": cleanup_feed,
