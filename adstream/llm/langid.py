@@ -30,8 +30,9 @@ RARE = 1e-5
 LONGEST = 4
 # Pseudo-count of a word or n-gram in a language that lacks it.
 ALPHA = 0.5
-# Unseen words whose scores a worker remembers.
-REMEMBERED = 200_000
+# Unseen words whose scores a worker remembers, and at most so many numbers for them.
+REMEMBERED = 500_000
+NUMBERS = 1 << 23
 SEGMENT = 1 << 20
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -144,7 +145,9 @@ class Scorer(dict):
         known = model.tables[0] if model.tables else {}
         self.n_known = len(known)
         super().__init__({w: i for i, w in enumerate(known)})
-        self.rows = np.zeros((self.n_known + REMEMBERED, max(len(model.languages), 1)), np.float32)
+        width = max(len(model.languages), 1)
+        room = max(50_000, min(REMEMBERED, NUMBERS // width))
+        self.rows = np.zeros((self.n_known + room, width), np.float32)
         if known:
             self.rows[: self.n_known] = np.stack(list(known.values()))
 
