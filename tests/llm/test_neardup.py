@@ -1,0 +1,99 @@
+"""Near-duplicates by shingle similarity against a comparison of all pairs."""
+
+import random
+
+import corpus_pipeline
+import numpy as np
+import pytest
+from adstream.llm import neardup, simhash
+
+SHAPE = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def plain_set(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def plain_kept(rows):
+    sets = [plain_set(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or (a and b and len(a & b) >= 0.8 * len(a | b)):
+                root[find(i)] = find(j)
+    best = {}
+    for i, (d, t) in enumerate(rows):
+        best[find(i)] = min(best.get(find(i), (True, 0, "")), (d is None, d or 0, t or ""))
+    return sorted((None if none else d, t) for none, d, t in best.values())
+
+
+def changed(rng, text, n):
+    words = text.split()
+    for at in rng.sample(range(len(words)), n):
+        words[at] = f"new{rng.randint(0, 10**9)}"
+    return " ".join(words)
+
+
+def corpus(groups, copies, edits):
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randint(0, 3000)}"
+    texts = [" ".join(word() for _ in range(rng.randint(60, 250))) for _ in range(groups)]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    for t in texts[: groups // 2]:
+        # From near copies to texts that share too little, also in chains.
+        for n in range(copies):
+            t = changed(rng, t, edits if n % 3 else 4 * edits)
+            rows.append((len(rows), t))
+    rows += [(900, texts[0].upper()), (None, texts[1]), (None, ""), (901, "  "), (902, "two words"), (903, "Two  words")]
+    return rows
+
+
+@pytest.mark.parametrize("dense", [neardup.DENSE, 4])
+def test_stage_equals_all_pairs(spark, dense):
+    rows = corpus(20, 9, 2)
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], SHAPE).repartition(3)
+    got = [(r.doc_id, r.text) for r in neardup.deduplicate(docs, dense=dense).collect()]
+    expected = plain_kept(rows)
+    assert sorted((d, t or "") for d, t in got) == expected
+    assert 20 < len(expected) < len(rows) - 40
+
+
+def test_stage_links_near_copies_that_the_query_does_not(spark, tmp_path):
+    rng = random.Random(3)
+    rows = []
+    for i in range(10):
+        text = " ".join(f"w{rng.randint(0, 3000)}" for _ in range(200))
+        rows += [(3 * i, text), (3 * i + 1, changed(rng, text, 3)), (3 * i + 2, changed(rng, text, 60))]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], SHAPE)
+    out = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path))
+    assert sorted(r.doc_id for r in out.collect()) == [d for d, _ in rows if d % 3 != 1]
+    assert simhash.deduplicate(docs).count() > 20
+
+
+def test_large_bucket_misses_no_pair(spark):
+    # Two groups in one bucket, dealt out in chunks: each is linked as a whole.
+    sets = {n: set(range(100)) | {100 + n} if n % 2 else set(range(200, 300)) | {400 + n} for n in range(60)}
+    texts = [(n, " ".join(f"w{x}" for x in sorted(s))) for n, s in sets.items()]
+    table = neardup.saved(spark.createDataFrame(texts, "node long, text string"), neardup.scratch(spark, "t"))
+    banded = spark.createDataFrame([(n, [7]) for n in sets], "node long, bands array<long>")
+    banded = neardup.saved(banded, neardup.scratch(spark, "b"))
+    links = neardup.near_links(banded, table, dense=5)
+    found = neardup.components(links).collect()
+    assert {(r.node, r.root) for r in found} == {(n, n % 2) for n in sets if n > 1}
+
+
+def test_bands_tell_similar_sets():
+    rng = np.random.default_rng(1)
+    met = 0
+    for _ in range(200):
+        both = np.unique(rng.integers(0, 1 << 63, 180, np.uint64))
+        a, b = both[:162], both[18:]  # similarity 0.8
+        met += any(x == y for x, y in zip(neardup.bands(a), neardup.bands(b), strict=True))
+    assert met >= 199
