@@ -92,13 +92,16 @@ def ingest_folders(
 
     Keys match within ``scope``: the announced folder, or with ``("window",)``
     all folders announced in one window of the notices' arrival, for which they
-    need ``publish_ts``. Notices go in
-    slices, of which each writes a ``part`` of its own; a window lies in one
-    slice only if its notices do. A notice whose files are missing is kept in
-    the quarantine, without a completion message, and stops no other. Completion
-    messages are written last, when all rows of a slice are stored.
+    need ``publish_ts``. Notices go in slices. For folders each slice is matched
+    and writes a ``part`` of its own; for windows the slices are only decoded into
+    the staged copy, and one match covers all of the batch. A notice whose files
+    are missing is kept in the quarantine, without a completion message, and stops
+    no other. Completion messages are written last, when all rows they stand for
+    are stored.
     """
     configure(spark)
+    whole = Write(SOURCE, run, batch_id)
+    together: dict[str, DataFrame] = {}
     for part, announced in enumerate(_slices(notices, slice_size)):
         write = Write(SOURCE, run, batch_id, part)
         here, missing = announced, []
@@ -106,42 +109,63 @@ def ingest_folders(
             there = [_found(spark, (row.client_path, row.server_path)) for row in announced]
             here = [row for row, found in zip(announced, there) if found]
             missing = [row for row, found in zip(announced, there) if not found]
-        if here:
-            _ingest(spark, here, dims, sinks, write, numeric_check, scope)
         said = f"{', '.join(f'{n} string' for n in _SAID[:-1])}, day string"
         if missing:
             rows = [(*(row[n] for n in _SAID[:-1]), row.day) for row in missing]
             lost = spark.createDataFrame(rows, said)
             text = F.to_json(F.struct(*_SAID[:-1])).alias("value")
             write_rejected(lost.select(text, F.lit("missing").alias("side"), "day"), sinks, write)
-        if here:
-            rows = [(*(row[n] for n in _SAID[:-1]), row.day) for row in here]
-            done = spark.createDataFrame(rows, said)
-            messages = completion_notices(done, "day").withColumn("feed", F.lit("cleanup"))
-            write_feed(messages, sinks, "cleanup", sinks.cleanup_topic, write)
-
-
-def _ingest(
+        if not here:
+            continue
+        rows = [(*(row[n] for n in _SAID[:-1]), row.day) for row in here]
+        done = spark.createDataFrame(rows, said)
+        decoded = {side: _decoded(spark, here, side, scope) for side in ("client", "server")}
+        if "window" in scope:
+            # The first slice replaces what an earlier batch or attempt left.
+            mode = "append" if together else "overwrite"
+            for name, frame in {**decoded, "done": done}.items():
+                path = sinks.staging(whole, name)
+                frame.write.mode(mode).parquet(path)
+                together[name] = spark.read.schema(frame.schema).parquet(path)
+        else:
+            # Decoded once: matching and the quarantine read this copy.
+            staged = {n: stage(spark, rows, sinks.staging(write, n)) for n, rows in decoded.items()}
+            _store(spark, staged, dims, sinks, write, numeric_check, scope)
+            _complete(done, sinks, write)
+    if together:
+        done = together.pop("done")
+        _store(spark, together, dims, sinks, whole, numeric_check, scope)
+        _complete(done, sinks, whole)
+
+
+def _complete(done: DataFrame, sinks: Sinks, write: Write) -> None:
+    messages = completion_notices(done, "day").withColumn("feed", F.lit("cleanup"))
+    write_feed(messages, sinks, "cleanup", sinks.cleanup_topic, write)
+
+
+def _decoded(
+    spark: SparkSession, announced: Sequence[Row], side: str, scope: Sequence[str]
+) -> DataFrame:
+    paths = {
+        row[f"{side}_path"]: (f"{row.bucket}/{row.folder_path}", row.arrived, row.day, row.hour)
+        for row in announced
+    }
+    lines = read_announced_lines(spark, paths, _LINE)
+    if "window" in scope:
+        lines = lines.withColumn("window", F.window("arrived", WINDOW))
+    return decode(lines.drop("arrived"), EVENT_SCHEMAS[side])
+
+
+def _store(
     spark: SparkSession,
-    announced: Sequence[Row],
+    decoded: dict[str, DataFrame],
     dims: DimensionSource,
     sinks: Sinks,
     write: Write,
     numeric_check: bool,
     scope: Sequence[str],
 ) -> None:
-    decoded = {}
-    for side in ("client", "server"):
-        paths = {
-            row[f"{side}_path"]: (f"{row.bucket}/{row.folder_path}", row.arrived, row.day, row.hour)
-            for row in announced
-        }
-        lines = read_announced_lines(spark, paths, _LINE)
-        if "window" in scope:
-            lines = lines.withColumn("window", F.window("arrived", WINDOW))
-        lines = lines.drop("arrived")
-        # Decoded once: matching and the quarantine read this copy.
-        decoded[side] = stage(spark, decode(lines, EVENT_SCHEMAS[side]), sinks.staging(write, side))
+    """Match the staged rows of both sides, process and write them."""
     events = [well_formed(rows) for rows in decoded.values()]
     matched = stage(spark, match_events(*events, scope), sinks.staging(write))
     mixed = several_days(matched)

@@ -382,6 +382,24 @@ def test_notices_go_in_slices_and_scopes(spark, root, tmp_path):
     assert values(spark.read.parquet(f"{root}/window/Ad_impressions"), "user_id") == [("a",)]
 
 
+def test_a_window_is_matched_over_all_slices(spark, root, tmp_path):
+    beacons = [client_json(user_id="a"), client_json(user_id="b")]
+    put_folder(spark, tmp_path, "20240101/00", beacons, [])
+    put_folder(spark, tmp_path, "20240101/01", beacons[:1], [server_json(user_id="b"), "oops"])
+    put_folder(spark, tmp_path, "20240101/02", [], [server_json(user_id="a")])
+    rows = [notice(tmp_path, f"20240101/0{i}") for i in (0, 1, 2, 9)]
+    notices = spark.createDataFrame(rows)
+    notices = notices.selectExpr("*", "timestamp '2024-01-02 00:00:05' AS publish_ts")
+    sinks = Sinks(f"{root}/out")
+    for _ in range(2):  # the second is a replay
+        ingest_folders(spark, notices, dims(spark), sinks, 0, scope=("window",), slice_size=1)
+        assert values(spark.read.parquet(f"{root}/out/Ad_impressions"), "user_id") == [("a",), ("b",)]
+        assert spark.read.text(f"{root}/out/cleanup").count() == 3
+        kept = spark.read.parquet(f"{root}/out/quarantine")
+        # An empty line of each side, one that does not decode, and the missing notice.
+        assert values(kept, "side") == [("client",), ("missing",), ("server",), ("server",)]
+
+
 def test_file_layouts(spark):
     from adstream.sources.events import hour_folder
 

@@ -325,7 +325,6 @@ def match_notice_window(spark: SparkSession, sf: str) -> DataFrame:
         "notice_window",
         arrived="2024-03-01 00:00:05",
         scope=("window",),
-        slice_size=100_000,
     )
     return read_table(spark, f"{root}/out", "Ad_impressions")
 
