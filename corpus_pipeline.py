@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adstream.llm import decontaminate, langid, neardup, packing, pii
+from adstream.llm import decontaminate, langid, packing, pii, simhash
 from adstream.llm.common import saved, scratch, table
 from adstream.llm.queries import TOKENIZER, language_model
 
@@ -22,8 +22,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that share 0.8 of their 5-word shingles, in chains, one stays."""
-    return neardup.deduplicate(docs)
+    """Of documents whose fingerprints of 3-word shingles lie within 2 bits, in chains, one stays."""
+    return simhash.deduplicate(docs, simhash.SHINGLE, simhash.RADIUS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
