@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from adstream.llm import (
     decontaminate,
     langid,
+    mixing,
     nearest,
     packing,
     pii,
     quality,
     simhash,
+    spelling,
     suffixdedup,
     token_counts,
     warc,
@@ -119,6 +121,16 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % QUERY_EVERY == 0)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the corpus, their near words, forms and roots."""
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix of sources takes of every document."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -131,4 +143,6 @@ def queries() -> dict[str, Query]:
         "op8_simhash": op8_simhash,
         "op9_packing": op9_packing,
         "op10_nearest": op10_nearest,
+        "op11_spelling_variants": op11_spelling_variants,
+        "op12_mixing": op12_mixing,
     }
