@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adstream.llm import (
+    codes,
     decontaminate,
     langid,
     mixing,
@@ -131,6 +132,12 @@ def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors, with the error of each and of its label."""
+    coded = codes.label_errors(codes.compress(table(spark, sf_dir, "embeddings")))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -145,4 +152,5 @@ def queries() -> dict[str, Query]:
         "op10_nearest": op10_nearest,
         "op11_spelling_variants": op11_spelling_variants,
         "op12_mixing": op12_mixing,
+        "op13_vector_codes": op13_vector_codes,
     }
