@@ -76,6 +76,6 @@ def test_stages_keep_the_columns_and_take_empty_tables(spark, tmp_path):
 
 def test_all_are_registered():
     numbers = Counter(name.split("_")[0] for name in contract.queries() if name.startswith("op"))
-    assert numbers == {f"op{n}": 1 for n in range(1, 11)}
+    assert numbers == {f"op{n}": 1 for n in range(1, 14)}
     assert "pipeline" in contract.queries() and len(corpus_pipeline.STAGES) == 5
     assert set(contract.oracle_sql()) <= set(contract.queries())
