@@ -36,7 +36,8 @@ def report_by_placement(impressions: DataFrame) -> DataFrame:
 
 def _range_start(name: str) -> Column:
     """Start of the range of a number; ranges grow with it, 1,024 to each doubling."""
-    drop = f"greatest(length(bin(abs({name}))) - 11, 0)"
+    # The bits of the number, of a negative one those of its complement: abs() has none for the least.
+    drop = f"greatest(length(bin({name} ^ shiftright({name}, 63))) - 11, 0)"
     return F.expr(f"shiftleft(shiftright({name}, {drop}), {drop})")
 
 

@@ -5,10 +5,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from adstream.schemas import PARTITIONED, TABLES
+from adstream.sources.stored import read_stored
 
 
 def read_table(
@@ -21,19 +20,13 @@ def read_table(
     """One warehouse table below ``root``; partition columns are left out.
 
     ``since`` and ``until`` are the first and last arrival day (``YYYYMMDD``) of
-    a table stored by day; only folders of those days are read.
+    a table stored by day; only folders of those days are read, or the compacted
+    copies that stand for them.
     """
     schema = TABLES[name]
-    rows = spark.read.schema(schema)
-    if name not in PARTITIONED:
-        return rows.parquet(f"{root.rstrip('/')}/{name}").select(*schema.names)
-    stored = StructType([*schema.fields, StructField("day", StringType())])
-    table = rows.schema(stored).parquet(f"{root.rstrip('/')}/{name}")
-    if since is not None:
-        table = table.where(F.col("day") >= since)
-    if until is not None:
-        table = table.where(F.col("day") <= until)
-    return table.select(*schema.names)
+    if name in PARTITIONED:
+        return read_stored(spark, root, name, since, until).select(*schema.names)
+    return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{name}").select(*schema.names)
 
 
 @dataclass(frozen=True)

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping
-from urllib.parse import unquote, urlsplit
+from collections.abc import Iterable, Iterator, Mapping
+from contextlib import contextmanager
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from adstream.functions.jsontext import parse_events
+from adstream.session import session_conf
 
 # A message as files carry it: the payload and the time it arrived.
 MESSAGE = StructType(
@@ -22,6 +24,7 @@ _HOUR_FOLDER = r"^(.*/(?:day=)?([0-9]{8})/(?:hour=)?([0-9]{2}))/[^/]"
 # Spark writes local addresses with one slash or with three.
 _LOCAL = "^file:/+"
 _PARENT = r"^(.*)/[^/]*$"
+_ADDRESS = r"(?s)^([A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?)?(.*)$"
 
 
 def read_message_stream(
@@ -66,11 +69,64 @@ def read_event_lines(spark: SparkSession, paths: str | Iterable[str]) -> DataFra
     return hour_folder(lines).drop("path")
 
 
-def _place(address: str, like: str) -> str:
-    """A file address in the form of ``like``: with its scheme, or only as a path."""
-    parts = urlsplit(unquote(address))
-    path = "/" + parts.path.lstrip("/")
-    return f"{parts.scheme}://{parts.netloc}{path}" if urlsplit(like).scheme else path
+def _place(address: str) -> tuple[str, str]:
+    """The scheme and host of an address ("" for a bare path) and its path."""
+    there, path = re.match(_ADDRESS, address).groups(default="")
+    return there if "//" in there or not there else f"{there}//", "/" + path.strip("/")
+
+
+def owners(files: Iterable[str], announced: Iterable[str]) -> Iterator[tuple[str, str]]:
+    """Each file with every announced path that is the file itself or a folder above it.
+
+    A path without a scheme is found under any. A file costs one lookup for each folder above it,
+    however many paths are announced.
+    """
+    known: dict[tuple[str, str], list[str]] = {}
+    for path in announced:
+        known.setdefault(_place(path), []).append(path)
+    hosts_of = {"": ("",)}
+    for file in files:
+        there, place = _place(unquote(file))
+        hosts = hosts_of.setdefault(there, (there, ""))
+        while place:
+            for host in hosts:
+                for path in known.get((host, place), ()):
+                    yield file, path
+            place = place.rpartition("/")[0]
+
+
+def listed_sizes(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
+    """``path``, ``files`` and ``bytes`` of announced files and folders, listed and added up in tasks.
+
+    Paths of which nothing is stored are left out; a path that does not exist is an error.
+    """
+    paths = sorted(set(paths))
+    with listing(spark):
+        files = spark.read.format("binaryFile").load(paths).select("path", "length")
+    rows = [(path, *_place(path)) for path in paths]
+    known = spark.createDataFrame(rows, "announced string, host string, place string")
+    there, place = F.regexp_extract("path", _ADDRESS, 1), F.regexp_extract("path", _ADDRESS, 2)
+    steps = F.split(F.trim(place, F.lit("/")), "/")
+    above = F.transform(
+        F.sequence(F.lit(1), F.size(steps)),
+        lambda n: F.concat(F.lit("/"), F.array_join(F.slice(steps, F.lit(1), n), "/")),
+    )
+    folders = files.select(there.alias("there"), "length", F.explode(above).alias("place"))
+    # "file:/x" and "file:///x" are one address.
+    host = F.when(F.col("there").contains("//") | (F.col("there") == ""), F.col("there"))
+    host = host.otherwise(F.concat("there", F.lit("//")))
+    met = folders.withColumn("there", host).join(known, "place")
+    met = met.where((F.col("host") == "") | (F.col("host") == F.col("there")))
+    found = met.groupBy("announced").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+    return found.withColumnRenamed("announced", "path")
+
+
+@contextmanager
+def listing(spark: SparkSession) -> Iterator[None]:
+    """Lists many paths in a few tasks for each core, instead of a task for each path."""
+    tasks = str(4 * spark.sparkContext.defaultParallelism)
+    with session_conf(spark, {"spark.sql.sources.parallelPartitionDiscovery.parallelism": tasks}):
+        yield
 
 
 def read_announced_lines(
@@ -82,14 +138,10 @@ def read_announced_lines(
     told apart by the path that announced them, whatever their layout. One scan
     reads them all; the driver holds their names, so give a bounded number.
     """
-    lines = spark.read.text(sorted(announced))
-    known = {_place(path, path).rstrip("/"): values for path, values in announced.items()}
-    rows = []
-    for file in lines.inputFiles():
-        for path, values in known.items():
-            place = _place(file, path)
-            if place == path or place.startswith(path + "/"):
-                rows.append((re.sub(_LOCAL, "file:/", file), *values))
+    with listing(spark):
+        lines = spark.read.text(sorted(announced))
+    found = owners(lines.inputFiles(), announced)
+    rows = [(re.sub(_LOCAL, "file:/", file), *announced[path]) for file, path in found]
     files = spark.createDataFrame(rows, f"_file string, {columns}")
     file = F.regexp_replace("_metadata.file_path", _LOCAL, "file:/").alias("_file")
     found = lines.select("value", file)

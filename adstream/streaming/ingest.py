@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from itertools import islice
+from itertools import count, islice
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -11,17 +11,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from adstream.functions.jsontext import (
+    MALFORMED,
     decode,
     parse_notices,
     quarantined_notices,
-    rejected,
     well_formed,
 )
-from adstream.operators.match import WINDOW, match_events
+from adstream.operators.match import DELAY, WINDOW, match_events, with_arrival_watermark
 from adstream.plans.batch import process_matched, stage
 from adstream.schemas import EVENT_SCHEMAS
-from adstream.session import configure
-from adstream.sources.events import read_announced_lines
+from adstream.session import STREAM_CONF, configure, session_conf
+from adstream.sources.events import listed_sizes, read_announced_lines
 from adstream.sources.notices import batch_file_paths, completion_notices
 from adstream.streaming.pipeline import DimensionSource, current
 from adstream.streaming.sinks import (
@@ -36,21 +36,24 @@ from adstream.streaming.sinks import (
 )
 
 SOURCE = "batch"
-# Notices whose files are named to Spark, and so to the driver, at once. All are worked
-# through, a slice after the other.
-SLICE = 256
+# Notices listed at once, and what one scan of their files may hold: the driver names the files of a
+# scan to Spark. All are worked through, a slice after the other.
+LISTED = 2048
+SLICE_FILES = 50_000
+SLICE_BYTES = 1 << 40
 SCOPE = ("folder_path",)
 _SAID = ("bucket", "folder_path", "client_events_file", "server_events_file", "arrived")
 _LINE = "folder_path string, arrived timestamp, day string, hour string"
+_SIDES = ("client", "server")
 
 
-def _slices(notices: DataFrame, size: int) -> Iterator[list[Row]]:
+def _announced(notices: DataFrame) -> Iterator[Row]:
     """Distinct notices in a fixed order, so that a replay meets the same slices.
 
     Of a notice that came twice the first arrival counts.
     """
     arrived = F.col("publish_ts") if "publish_ts" in notices.columns else F.lit(None)
-    rows = (
+    return (
         batch_file_paths(notices.withColumn("arrived", arrived.cast("timestamp")))
         .groupBy(*_SAID[:-1], "client_path", "server_path")
         .agg(F.min("arrived").alias("arrived"))
@@ -63,18 +66,38 @@ def _slices(notices: DataFrame, size: int) -> Iterator[list[Row]]:
         .orderBy("client_path", "server_path")
         .toLocalIterator()
     )
-    while some := list(islice(rows, size)):
-        yield some
 
 
-def _found(spark: SparkSession, paths: Sequence[str]) -> bool:
+def _sizes(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[int, int]]:
+    """Files and bytes below each path that exists; missing ones are found by halving."""
     try:
-        spark.read.text(list(paths))
+        listed = {row.path: (row.files, row.bytes) for row in listed_sizes(spark, paths).collect()}
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return False
-    return True
+        if len(paths) == 1:
+            return {}
+        half = len(paths) // 2
+        return _sizes(spark, paths[:half]) | _sizes(spark, paths[half:])
+    return {path: listed.get(path, (0, 0)) for path in paths}
+
+
+def _slices(
+    notices: Sequence[Row], sizes: dict[str, tuple[int, int]], most_files: int, most_bytes: int
+) -> Iterator[list[Row]]:
+    """Notices in turn, in slices of bounded files and bytes, but at least one notice."""
+    held: list[Row] = []
+    files = size = 0
+    for row in notices:
+        own = [sizes[path] for path in (row.client_path, row.server_path)]
+        own_files, own_size = (sum(column) for column in zip(*own))
+        if held and (files + own_files > most_files or size + own_size > most_bytes):
+            yield held
+            held, files, size = [], 0, 0
+        held.append(row)
+        files, size = files + own_files, size + own_size
+    if held:
+        yield held
 
 
 def ingest_folders(
@@ -86,79 +109,74 @@ def ingest_folders(
     numeric_check: bool = False,
     run: str = "none",
     scope: Sequence[str] = SCOPE,
-    slice_size: int = SLICE,
+    listed: int = LISTED,
+    slice_files: int = SLICE_FILES,
+    slice_bytes: int = SLICE_BYTES,
 ) -> None:
     """Match, process and store the folders of decoded notices.
 
     Keys match within ``scope``: the announced folder, or with ``("window",)``
     all folders announced in one window of the notices' arrival, for which they
-    need ``publish_ts``. Notices go in slices. For folders each slice is matched
-    and writes a ``part`` of its own; for windows the slices are only decoded into
-    the staged copy, and one match covers all of the batch. A notice whose files
-    are missing is kept in the quarantine, without a completion message, and stops
-    no other. Completion messages are written last, when all rows they stand for
-    are stored.
+    need ``publish_ts``. Files are listed in tasks, for ``listed`` notices at a
+    time, and decoded into the staged copy in slices of bounded files and bytes;
+    one match then covers all of them. A notice whose files are missing is kept
+    in the quarantine, without a completion message, and stops no other.
+    Completion messages are written last, when all rows they stand for are
+    stored.
     """
     configure(spark)
     whole = Write(SOURCE, run, batch_id)
-    together: dict[str, DataFrame] = {}
-    for part, announced in enumerate(_slices(notices, slice_size)):
-        write = Write(SOURCE, run, batch_id, part)
-        here, missing = announced, []
-        if not _found(spark, [p for row in announced for p in (row.client_path, row.server_path)]):
-            there = [_found(spark, (row.client_path, row.server_path)) for row in announced]
-            here = [row for row, found in zip(announced, there) if found]
-            missing = [row for row, found in zip(announced, there) if not found]
-        said = f"{', '.join(f'{n} string' for n in _SAID[:-1])}, day string"
+    staged: dict[str, DataFrame] = {}
+    announced = _announced(notices)
+    for part in count():
+        some = list(islice(announced, listed))
+        if not some:
+            break
+        sizes = _sizes(spark, sorted({p for row in some for p in (row.client_path, row.server_path)}))
+        here, missing = [], []
+        for row in some:
+            (here if row.client_path in sizes and row.server_path in sizes else missing).append(row)
         if missing:
-            rows = [(*(row[n] for n in _SAID[:-1]), row.day) for row in missing]
-            lost = spark.createDataFrame(rows, said)
             text = F.to_json(F.struct(*_SAID[:-1])).alias("value")
-            write_rejected(lost.select(text, F.lit("missing").alias("side"), "day"), sinks, write)
-        if not here:
-            continue
-        rows = [(*(row[n] for n in _SAID[:-1]), row.day) for row in here]
-        done = spark.createDataFrame(rows, said)
-        decoded = {side: _decoded(spark, here, side, scope) for side in ("client", "server")}
-        if "window" in scope:
+            lost = _said(spark, missing).select(text, F.lit("missing").alias("side"), "day")
+            write_rejected(lost, sinks, Write(SOURCE, run, batch_id, part))
+        for taken in _slices(here, sizes, slice_files, slice_bytes):
+            frames = {"decoded": _decoded(spark, taken, scope), "done": _said(spark, taken)}
             # The first slice replaces what an earlier batch or attempt left.
-            mode = "append" if together else "overwrite"
-            for name, frame in {**decoded, "done": done}.items():
-                path = sinks.staging(whole, name)
-                frame.write.mode(mode).parquet(path)
-                together[name] = spark.read.schema(frame.schema).parquet(path)
-        else:
-            # Decoded once: matching and the quarantine read this copy.
-            staged = {n: stage(spark, rows, sinks.staging(write, n)) for n, rows in decoded.items()}
-            _store(spark, staged, dims, sinks, write, numeric_check, scope)
-            _complete(done, sinks, write)
-    if together:
-        done = together.pop("done")
-        _store(spark, together, dims, sinks, whole, numeric_check, scope)
-        _complete(done, sinks, whole)
-
-
-def _complete(done: DataFrame, sinks: Sinks, write: Write) -> None:
-    messages = completion_notices(done, "day").withColumn("feed", F.lit("cleanup"))
-    write_feed(messages, sinks, "cleanup", sinks.cleanup_topic, write)
-
-
-def _decoded(
-    spark: SparkSession, announced: Sequence[Row], side: str, scope: Sequence[str]
-) -> DataFrame:
-    paths = {
-        row[f"{side}_path"]: (f"{row.bucket}/{row.folder_path}", row.arrived, row.day, row.hour)
-        for row in announced
-    }
-    lines = read_announced_lines(spark, paths, _LINE)
-    if "window" in scope:
-        lines = lines.withColumn("window", F.window("arrived", WINDOW))
-    return decode(lines.drop("arrived"), EVENT_SCHEMAS[side])
+            mode = "append" if staged else "overwrite"
+            for name, frame in frames.items():
+                frame.write.mode(mode).parquet(sinks.staging(whole, name))
+                staged[name] = spark.read.schema(frame.schema).parquet(sinks.staging(whole, name))
+    if staged:
+        _store(spark, staged["decoded"], dims, sinks, whole, numeric_check, scope)
+        messages = completion_notices(staged["done"], "day").withColumn("feed", F.lit("cleanup"))
+        write_feed(messages, sinks, "cleanup", sinks.cleanup_topic, whole)
+
+
+def _said(spark: SparkSession, announced: Sequence[Row]) -> DataFrame:
+    rows = [(*(row[n] for n in _SAID[:-1]), row.day) for row in announced]
+    return spark.createDataFrame(rows, f"{', '.join(f'{n} string' for n in _SAID[:-1])}, day string")
+
+
+def _decoded(spark: SparkSession, announced: Sequence[Row], scope: Sequence[str]) -> DataFrame:
+    """The rows of both sides, each decoded once."""
+    sides = []
+    for side in _SIDES:
+        paths = {
+            row[f"{side}_path"]: (f"{row.bucket}/{row.folder_path}", row.arrived, row.day, row.hour)
+            for row in announced
+        }
+        lines = read_announced_lines(spark, paths, _LINE)
+        if "window" in scope:
+            lines = lines.withColumn("window", F.window("arrived", WINDOW))
+        decoded = decode(lines.drop("arrived"), EVENT_SCHEMAS[side])
+        sides.append(decoded.withColumn("side", F.lit(side)))
+    return sides[0].unionByName(sides[1], allowMissingColumns=True)
 
 
 def _store(
     spark: SparkSession,
-    decoded: dict[str, DataFrame],
+    decoded: DataFrame,
     dims: DimensionSource,
     sinks: Sinks,
     write: Write,
@@ -166,20 +184,36 @@ def _store(
     scope: Sequence[str],
 ) -> None:
     """Match the staged rows of both sides, process and write them."""
-    events = [well_formed(rows) for rows in decoded.values()]
+    places = ("folder_path", "day", "hour", *(("window",) if "window" in scope else ()))
+    events = [
+        well_formed(decoded.where(F.col("side") == side)).select(*EVENT_SCHEMAS[side].names, *places)
+        for side in _SIDES
+    ]
     matched = stage(spark, match_events(*events, scope), sinks.staging(write))
     mixed = several_days(matched)
     outcome = process_matched(matched, current(dims), numeric_check, keep=("day",), staged=True)
-    columns = ("folder_path", "day", "hour", "value")
-    bad = [rejected(rows, columns, side) for side, rows in decoded.items()]
+    bad = decoded.where(MALFORMED).select("folder_path", "day", "hour", "value", "side")
 
     def quarantine() -> None:
-        write_rejected(bad[0].unionByName(bad[1]), sinks, write)
+        write_rejected(bad, sinks, write)
 
     internal = ("folder_path", "window", "day", "hour")
     run_together(spark, *outcome_writes(outcome, sinks, write, internal, mixed), quarantine)
 
 
+def held_windows(messages: DataFrame, delay: str = DELAY) -> DataFrame:
+    """Messages handed on when the window of their arrival has closed, all of a window together.
+
+    A stateful aggregation holds the distinct messages of each open window, whatever micro-batches
+    bring them, and lets them go when arrival has passed the window by ``delay``. Of equal messages
+    of one window the first counts. Later ones Spark drops: keep them with
+    :mod:`adstream.streaming.arrivals` in front.
+    """
+    window = F.window("publish_ts", WINDOW)
+    held = with_arrival_watermark(messages, delay=delay).groupBy(window, "value")
+    return held.agg(F.min("publish_ts").alias("publish_ts")).select("publish_ts", "value")
+
+
 def start_notice_ingest(
     spark: SparkSession,
     messages: DataFrame,
@@ -189,30 +223,40 @@ def start_notice_ingest(
     numeric_check: bool = False,
     trigger: dict | None = None,
     scope: Sequence[str] = SCOPE,
-    slice_size: int = SLICE,
+    delay: str = DELAY,
+    **sizes: int,
 ) -> StreamingQuery:
     """Start the ingest of announced folders, one batch job per micro-batch.
 
-    A query of its own: it has its own trigger, and a folder that fails does
-    not stop the event streams. Notices that do not decode or name no files
-    are kept in the quarantine.
+    It is a query of its own: it has its own trigger, and a folder that fails
+    does not stop the event streams. Notices that do not decode or name no files
+    are kept in the quarantine. With the scope ``("window",)`` notices wait until
+    their window has closed (:func:`held_windows`), so all folders of a window
+    are matched together. ``sizes`` are those of :func:`ingest_folders`.
     """
     configure(spark)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         run = run_of(spark)
         write = Write(f"{SOURCE}_notices", run, batch_id)
+        # A micro-batch of held windows is read several times, and its state only once.
+        batch = stage(spark, batch, sinks.staging(write, "notices"))
+        if batch.isEmpty():
+            return
         bad = quarantined_notices(batch)
         day = F.coalesce(F.date_format("publish_ts", "yyyyMMdd"), F.lit("none")).alias("day")
         write_rejected(bad.select("publish_ts", "value", "side", day), sinks, write)
-        ingest_folders(
-            spark, parse_notices(batch), dims, sinks, batch_id, numeric_check, run, scope, slice_size
-        )
+        notices = parse_notices(batch)
+        ingest_folders(spark, notices, dims, sinks, batch_id, numeric_check, run, scope, **sizes)
 
-    return (
-        messages.writeStream.queryName("folder_notices")
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "30 seconds"}))
-        .foreachBatch(write_batch)
-        .start()
-    )
+    if "window" in scope:
+        messages = held_windows(messages, delay)
+    with session_conf(spark, STREAM_CONF):
+        return (
+            messages.writeStream.queryName("folder_notices")
+            .outputMode("append")
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "30 seconds"}))
+            .foreachBatch(write_batch)
+            .start()
+        )

@@ -43,3 +43,11 @@ def test_traffic(spark):
     rows = [{"publisher": "P", "clicked": c} for c in ("yes", "no", "no", "yes")]
     got = reports.report_by_page(impressions(spark, rows))
     assert values(got, "publisher", "impressions", "clicks", "click_rate") == [("P", 4, 2, 0.5)]
+
+
+def test_latency_report_takes_any_number(spark):
+    ends = [-(1 << 63), -(1 << 63) + 1, -1, 0, 1, 1024, (1 << 63) - 1, None]
+    rows = [("b", "o", "d", n) for n in ends] + [("b", "o", "e", -(1 << 63))]
+    df = spark.createDataFrame(rows, "Browser string, Client_OS string, Client_Device string, latency long")
+    got = {r.Client_Device: (r.impressions, r.p95_latency) for r in reports.report_latency(df).collect()}
+    assert got == {"d": (8, (1 << 63) - 1), "e": (1, -(1 << 63))}

@@ -374,9 +374,9 @@ def test_notices_go_in_slices_and_scopes(spark, root, tmp_path):
     rows = [notice(tmp_path, f"20240101/0{i}") for i in (0, 1)]
     notices = spark.createDataFrame(rows)
     notices = notices.selectExpr("*", "timestamp '2024-01-02 00:00:05' AS publish_ts")
-    for name, scope, size in (("folder", ("folder_path",), 1), ("window", ("window",), 2)):
+    for name, scope, files in (("folder", ("folder_path",), 1), ("window", ("window",), 3)):
         sinks = Sinks(f"{root}/{name}")
-        ingest_folders(spark, notices, dims(spark), sinks, 0, scope=scope, slice_size=size)
+        ingest_folders(spark, notices, dims(spark), sinks, 0, scope=scope, slice_files=files)
         assert spark.read.text(f"{root}/{name}/cleanup").count() == 2
     assert read_table(spark, f"{root}/folder", "Ad_impressions").count() == 0
     assert values(spark.read.parquet(f"{root}/window/Ad_impressions"), "user_id") == [("a",)]
@@ -392,7 +392,9 @@ def test_a_window_is_matched_over_all_slices(spark, root, tmp_path):
     notices = notices.selectExpr("*", "timestamp '2024-01-02 00:00:05' AS publish_ts")
     sinks = Sinks(f"{root}/out")
     for _ in range(2):  # the second is a replay
-        ingest_folders(spark, notices, dims(spark), sinks, 0, scope=("window",), slice_size=1)
+        ingest_folders(
+            spark, notices, dims(spark), sinks, 0, scope=("window",), listed=3, slice_bytes=1
+        )
         assert values(spark.read.parquet(f"{root}/out/Ad_impressions"), "user_id") == [("a",), ("b",)]
         assert spark.read.text(f"{root}/out/cleanup").count() == 3
         kept = spark.read.parquet(f"{root}/out/quarantine")

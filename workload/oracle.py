@@ -228,6 +228,11 @@ CTES = {
     "validated_hours": _verdict("matched_hours", False),
     "validated_hours_of_days": """SELECT * FROM validated_hours WHERE
       CAST(make_timestamp(win * 1000000) AS DATE) <= (SELECT min(CAST(ts AS DATE)) + 1 FROM events)""",
+    "turned": """SELECT side, ep, user_id,
+      CAST(floor((ep - first_) / ((last_ - first_ + 1) / 4.0::DOUBLE)) AS INTEGER) AS slice
+      FROM (SELECT 'client' AS side, ep, user_id FROM client_events
+        UNION ALL SELECT 'server' AS side, stimestamp AS ep, user_id FROM server_events)
+      CROSS JOIN (SELECT min(ep) AS first_, max(ep) AS last_ FROM event_core)""",
     "valid": "SELECT * FROM validated WHERE validity_status = ''",
     "invalid": "SELECT * FROM validated WHERE validity_status <> ''",
     "enriched": _enriched("SELECT * FROM valid"),
@@ -321,6 +326,11 @@ QUERIES = {
     "ingest_two_runs": _impressions_from("validated_hours"),
     "match_notice_window": _impressions_from("validated_fields"),
     "match_batch_folders": f"SELECT {EVENT_HOURS} FROM matched_hours",
+    "late_rows_kept": """SELECT side, ep, user_id, coalesce((ep // 30 + 1) * 30 <= closed, false) AS late FROM (
+        SELECT *, CASE slice WHEN 0 THEN 0 WHEN 2 THEN 1 WHEN 1 THEN 2 ELSE 3 END AS turn FROM turned) t
+      JOIN (SELECT turn, max(reached) OVER (ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 12 * 86400 AS closed
+        FROM (SELECT CASE slice WHEN 0 THEN 0 WHEN 2 THEN 1 WHEN 1 THEN 2 ELSE 3 END AS turn, min(most) AS reached
+          FROM (SELECT slice, side, max(ep) AS most FROM turned GROUP BY slice, side) GROUP BY slice)) USING (turn)""",
     "stored_invalid": f"SELECT {_stored(AD_IMPRESSIONS_INVALID)} FROM validated_hours WHERE validity_status <> ''",
     "stored_feed": f"""SELECT 'validated' AS feed, {_json_object(VALIDATED)} AS value FROM validated_hours
       UNION ALL SELECT 'enriched' AS feed, {_json_object(ENRICHED)} AS value
@@ -329,6 +339,15 @@ QUERIES = {
       FROM (SELECT DISTINCT date_trunc('hour', ts) AS ts FROM events)""",
     "report_of_days": f"""SELECT Location, Size, {_TRAFFIC} FROM (
       {_impressions_from("validated_hours_of_days")}) GROUP BY ALL""",
+    "impressions_after_compaction": _impressions_from("validated_hours"),
+    "impressions_from_tables": "SELECT * FROM impressions",
+    "backfill_incremental": f"""SELECT * FROM web_users UNION ALL {_BACKFILL.replace("FROM impressions", f"FROM ({_impressions_from('validated_hours')})")}""",
+    "report_by_campaign_incremental": f"""SELECT advertiser, campaign_id, date_trunc('hour', timestamp) AS hour,
+      {_TRAFFIC} FROM ({_impressions_from("validated_hours")}) GROUP BY ALL""",
+    "report_by_page_incremental": f"SELECT publisher, page_id, {_TRAFFIC} FROM ({_impressions_from('validated_hours')}) GROUP BY ALL",
+    "report_by_placement_incremental": f"SELECT Location, Size, {_TRAFFIC} FROM ({_impressions_from('validated_hours')}) GROUP BY ALL",
+    "report_invalid_incremental": """SELECT validity_status, invalid_field, count(*) AS events
+      FROM validated_hours WHERE validity_status <> '' GROUP BY ALL""",
     "report_by_campaign": f"""SELECT advertiser, campaign_id, date_trunc('hour', timestamp) AS hour,
       {_TRAFFIC} FROM impressions GROUP BY ALL""",
     "report_by_page": f"SELECT publisher, page_id, {_TRAFFIC} FROM impressions GROUP BY ALL",

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import partial
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,14 +23,17 @@ from adstream.operators.match import assign_window, flatten_matches, match_event
 from adstream.operators.validate import split_validity, validate_client_events
 from adstream.plans import reports
 from adstream.plans.batch import Outcome, run_batch, stage
-from adstream.schemas import CLIENT_EVENT
-from adstream.session import scratch_path
-from adstream.sources.dimensions import read_table
+from adstream.plans.compact import compact_days
+from adstream.plans.incremental import REPORTS, backfill_new_users, read_report, refresh_report
+from adstream.schemas import CLIENT_EVENT, TABLES, create_tables
+from adstream.session import scratch_path, session_conf
+from adstream.sources.dimensions import read_dimensions, read_table
 from adstream.sources.events import read_message_stream
 from adstream.sources.notices import batch_file_paths, completion_notices
+from adstream.streaming.arrivals import accepted_stream, read_arrivals, start_arrivals
 from adstream.streaming.ingest import start_notice_ingest
 from adstream.streaming.pipeline import start_stream
-from adstream.streaming.sinks import Sinks, append_web_users, feed_messages
+from adstream.streaming.sinks import PARTITIONS, Sinks, append_web_users, feed_messages
 from workload import inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -261,10 +267,12 @@ def _hourly(spark: SparkSession, sf: str, root: str) -> DataFrame:
         for raw, name in sides
     ]
     folders = ["day", "hour", "file"]
+    # Many small files: their number, not their bytes, is what the tasks share.
+    tasks = 4 * spark.sparkContext.defaultParallelism
     (
         lines[0]
         .unionByName(lines[1])
-        .hint("rebalance", *[F.col(c) for c in folders])
+        .repartition(tasks, *folders)
         .write.partitionBy(*folders)
         .text(f"{root}/hourly")
     )
@@ -282,15 +290,10 @@ def _hourly(spark: SparkSession, sf: str, root: str) -> DataFrame:
     return notices.select(now, message, (F.crc32("folder_path") % 2).alias("run"))
 
 
-def _ingest(
-    spark: SparkSession, sf: str, name: str, runs: int = 1, arrived: str | None = None, **options
-) -> str:
+def _ingest(spark: SparkSession, sf: str, name: str, runs: int = 1) -> str:
     """Announce all hourly folders to one or two ingest jobs on one root."""
     root = scratch_path(spark, name)
-    announced = _hourly(spark, sf, root)
-    if arrived:
-        announced = announced.withColumn("publish_ts", F.lit(arrived).cast("timestamp"))
-    notices = stage(spark, announced, f"{root}/announced")
+    notices = stage(spark, _hourly(spark, sf, root), f"{root}/announced")
     for run in range(runs):
         own = notices.where(F.col("run") == run) if runs > 1 else notices
         own.select("publish_ts", "value").write.json(f"{root}/notices/{run}")
@@ -301,15 +304,30 @@ def _ingest(
             Sinks(f"{root}/out"),
             f"{root}/checkpoint/{run}",
             trigger={"availableNow": True},
-            **options,
         )
         query.awaitTermination()
     return root
 
 
+_INGESTED: dict[tuple[str, str], str] = {}
+
+
+def _ingested(spark: SparkSession, sf: str) -> str:
+    """The root of one ingest of all folders, which the queries over its outputs share."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key in _INGESTED:
+        try:
+            spark.read.text(f"{_INGESTED[key]}/out/cleanup")
+        except AnalysisException:  # the scratch folder is gone
+            del _INGESTED[key]
+    if key not in _INGESTED:
+        _INGESTED[key] = _ingest(spark, sf, "ingested")
+    return _INGESTED[key]
+
+
 def notice_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """Ingest announced hourly folders; read the table."""
-    return read_table(spark, f"{_ingest(spark, sf, 'notice_ingest')}/out", "Ad_impressions")
+    return read_table(spark, f"{_ingested(spark, sf)}/out", "Ad_impressions")
 
 
 def ingest_two_runs(spark: SparkSession, sf: str) -> DataFrame:
@@ -317,39 +335,101 @@ def ingest_two_runs(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, f"{_ingest(spark, sf, 'two_runs', 2)}/out", "Ad_impressions")
 
 
+# Notices of one window come in so many micro-batches, each of a job started anew.
+NOTICE_TURNS = 3
+
+
 def match_notice_window(spark: SparkSession, sf: str) -> DataFrame:
-    """Ingest where all folders are announced in one window, which is the scope of the match."""
-    root = _ingest(
-        spark,
-        sf,
-        "notice_window",
-        arrived="2024-03-01 00:00:05",
-        scope=("window",),
-    )
+    """Ingest of folders announced in one window, over several micro-batches; it is the match's scope.
+
+    After the window has closed, a folder is announced again: that notice is late and is kept apart.
+    """
+    root = scratch_path(spark, "notice_window")
+    sinks = Sinks(f"{root}/out")
+    notices = stage(spark, _hourly(spark, sf, root), f"{root}/announced")
+    turn = F.pmod(F.crc32("value"), F.lit(NOTICE_TURNS)).alias("turn")
+    arrived = (F.lit("2024-03-01 00:00:05").cast("timestamp")).alias("publish_ts")
+    late = notices.orderBy("value").limit(1).select(arrived, "value", F.lit(NOTICE_TURNS + 1).alias("turn"))
+    closing = F.lit("2024-03-01 01:00:00").cast("timestamp").alias("publish_ts")
+    end = spark.range(1).select(closing, F.lit("{}").alias("value"), F.lit(NOTICE_TURNS).alias("turn"))
+    rows = notices.select(arrived, "value", turn).unionByName(end).unionByName(late)
+    rows = stage(spark, rows, f"{root}/turns")
+    now = {"availableNow": True}
+    for turn in range(NOTICE_TURNS + 2):
+        own = rows.where(F.col("turn") == turn).select("publish_ts", "value")
+        own.write.mode("append").json(f"{root}/notices")
+        arriving = {"notice": read_message_stream(spark, "json", f"{root}/notices")}
+        start_arrivals(spark, arriving, sinks, f"{root}/arrivals", trigger=now).awaitTermination()
+        start_notice_ingest(
+            spark,
+            accepted_stream(spark, sinks, "notice"),
+            inputs.dimensions(spark, sf),
+            sinks,
+            f"{root}/checkpoint",
+            trigger=now,
+            scope=("window",),
+        ).awaitTermination()
     return read_table(spark, f"{root}/out", "Ad_impressions")
 
 
+# Slices of time of both sides in the order in which they arrive, and how late rows may be.
+ARRIVAL_ORDER, ARRIVAL_DELAY_DAYS = (0, 2, 1, 3), 12
+
+
+def late_rows_kept(spark: SparkSession, sf: str) -> DataFrame:
+    """Every message of both sides, told by whether it came too late; a slice of time comes late."""
+    root = scratch_path(spark, "late_rows")
+    sinks = Sinks(f"{root}/out")
+    core = inputs.event_core(spark, sf)
+    span = core.agg(F.min("ep").alias("first"), F.max("ep").alias("last"))
+    width = (F.col("last") - F.col("first") + 1) / len(ARRIVAL_ORDER)
+    slice_ = F.floor((F.col("ep") - F.col("first")) / width).cast("int").alias("slice")
+    raw = {"client": inputs.client_raw(core), "server": inputs.server_raw(core)}
+    staged = {
+        side: stage(
+            spark, rows.join(F.broadcast(span)).select("publish_ts", "value", slice_), f"{root}/raw/{side}"
+        )
+        for side, rows in raw.items()
+    }
+    for turn in ARRIVAL_ORDER:
+        for side, rows in staged.items():
+            own = rows.where(F.col("slice") == turn).select("publish_ts", "value")
+            own.write.mode("append").json(f"{root}/in/{side}")
+        arriving = {side: read_message_stream(spark, "json", f"{root}/in/{side}") for side in raw}
+        start_arrivals(
+            spark,
+            arriving,
+            sinks,
+            f"{root}/checkpoint",
+            delay=f"{ARRIVAL_DELAY_DAYS} days",
+            trigger={"availableNow": True},
+        ).awaitTermination()
+    stored = read_arrivals(spark, sinks)
+    user = F.get_json_object("value", "$.user_id").alias("user_id")
+    return stored.select("side", F.unix_timestamp("publish_ts").alias("ep"), user, "late")
+
+
 def stored_invalid(spark: SparkSession, sf: str) -> DataFrame:
-    root = _ingest(spark, sf, "stored_invalid")
+    root = _ingested(spark, sf)
     return read_table(spark, f"{root}/out", "Ad_impressions_Invalid")
 
 
 def stored_feed(spark: SparkSession, sf: str) -> DataFrame:
     """The JSON feed files that the ingest job wrote."""
-    root = _ingest(spark, sf, "stored_feed")
+    root = _ingested(spark, sf)
     return spark.read.text(f"{root}/out/feed").select("feed", "value")
 
 
 def cleanup_feed(spark: SparkSession, sf: str) -> DataFrame:
     """Completion messages, without the scratch folder in front."""
-    root = _ingest(spark, sf, "cleanup_feed")
+    root = _ingested(spark, sf)
     text = F.replace("value", F.lit(f"{root}/hourly"), F.lit(""))
     return spark.read.text(f"{root}/out/cleanup").select(text.alias("value"))
 
 
 def report_of_days(spark: SparkSession, sf: str) -> DataFrame:
     """Traffic by placement over the first two days of the stored table."""
-    root = _ingest(spark, sf, "report_of_days")
+    root = _ingested(spark, sf)
     first = F.min(F.col("ts").cast("date"))
     days = inputs.table(spark, sf, "events").agg(
         F.date_format(first, "yyyyMMdd").alias("a"), F.date_format(first + 1, "yyyyMMdd").alias("b")
@@ -359,6 +439,74 @@ def report_of_days(spark: SparkSession, sf: str) -> DataFrame:
     return reports.report_by_placement(stored)
 
 
+def _grown(spark: SparkSession, sf: str, name: str, root: str, *jobs) -> None:
+    """Copy a table of the shared ingest in steps: all days but the last, without some rows of the
+    first day; those rows; the last day. A job runs after each step."""
+    stored = spark.read.parquet(f"{_ingested(spark, sf)}/out/{name}")
+    first, last = stored.agg(F.min("day"), F.max("day")).first()
+    late = (F.col("day") == first) & (F.crc32("user_id") % 4 == 0)
+    later = stored.where(late).withColumn("run", F.lit("later"))
+    steps = (stored.where(~late & (F.col("day") < last)), later, stored.where(F.col("day") == last))
+    for rows, job in zip(steps, jobs):
+        rows.write.mode("append").partitionBy(*PARTITIONS).parquet(f"{root}/{name}")
+        job(str(last))
+
+
+def impressions_after_compaction(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored table where days have been compacted, one of them twice, and rows came after."""
+    root = scratch_path(spark, "compaction")
+
+    def compact(last: str) -> None:
+        compact_days(spark, root, "Ad_impressions", last)
+
+    _grown(spark, sf, "Ad_impressions", root, compact, lambda last: None, lambda last: None)
+    return read_table(spark, root, "Ad_impressions")
+
+
+def backfill_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """The user table after runs of the backfill that each read the folders new to them."""
+    root = scratch_path(spark, "backfill")
+    inputs.web_users(spark, sf).write.parquet(f"{root}/WebUsers")
+
+    def run(last: str) -> None:
+        backfill_new_users(spark, root)
+
+    _grown(spark, sf, "Ad_impressions", root, run, run, run)
+    return read_table(spark, root, "WebUsers")
+
+
+def _incremental_report(spark: SparkSession, sf: str, report: str) -> DataFrame:
+    """A report from the counts of days, refreshed as the table grows."""
+    root = scratch_path(spark, f"report_{report}")
+
+    def run(last: str) -> None:
+        refresh_report(spark, root, report)
+
+    _grown(spark, sf, REPORTS[report][0], root, run, run, run)
+    return read_report(spark, root, report)
+
+
+def impressions_from_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """The batch job with dimensions read from tables that were defined and filled by SQL."""
+    root = scratch_path(spark, "tables")
+    database = f"adstream_{uuid.uuid4().hex}"
+    create_tables(spark, root, database)
+    frames = inputs.dimensions(spark, sf)
+    named = {"Ad_position": frames.ad_position, "Advertiser": frames.advertiser, "Page": frames.page}
+    for name, rows in named.items():
+        whole = rows.withColumn("size", F.lit(None).cast("string")) if name == "Advertiser" else rows
+        whole.select(*TABLES[name].names).write.insertInto(f"{database}.{name}")
+    core = inputs.event_core(spark, sf)
+    client, server = (assign_window(f(core)) for f in (inputs.client_events, inputs.server_events))
+    outcome = run_batch(client, server, read_dimensions(spark, root), order_by=ORDER_BY)
+    path = f"{database}.Ad_impressions"
+    partition = {"day": F.lit("20240101"), "source": F.lit("sql"), "run": F.lit("none")}
+    numbers = {"batch_id": F.lit(0).cast("long"), "part": F.lit(0)}
+    with session_conf(spark, {"hive.exec.dynamic.partition.mode": "nonstrict"}):
+        outcome.impressions.withColumns({**partition, **numbers}).write.insertInto(path)
+    return spark.table(path).select(*TABLES["Ad_impressions"].names)
+
+
 def queries() -> dict[str, Query]:
     return {
         "parse_events": parse,
@@ -399,10 +547,18 @@ def queries() -> dict[str, Query]:
         "notice_ingest": notice_ingest,
         "ingest_two_runs": ingest_two_runs,
         "match_notice_window": match_notice_window,
+        "late_rows_kept": late_rows_kept,
         "stored_invalid": stored_invalid,
         "stored_feed": stored_feed,
         "cleanup_feed": cleanup_feed,
         "report_of_days": report_of_days,
+        "impressions_after_compaction": impressions_after_compaction,
+        "impressions_from_tables": impressions_from_tables,
+        "backfill_incremental": backfill_incremental,
+        **{
+            f"report_{name}_incremental": partial(_incremental_report, report=name)
+            for name in REPORTS
+        },
         "report_by_campaign": lambda s, d: reports.report_by_campaign(_impressions(s, d)),
         "report_by_page": lambda s, d: reports.report_by_page(_impressions(s, d)),
         "report_by_placement": lambda s, d: reports.report_by_placement(_impressions(s, d)),
