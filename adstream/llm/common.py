@@ -47,6 +47,15 @@ def text_column() -> F.Column:
     return F.coalesce(F.col("text"), F.lit(""))
 
 
+def with_plain_names(docs: DataFrame, *own: str) -> DataFrame:
+    """``docs`` with its columns named by their places, but for ``own`` ones.
+
+    No name of an operator then clashes with one of the table's, and no name needs quoting; give
+    the table's names back with ``toDF(*docs.columns)``.
+    """
+    return docs.toDF(*[name if name in own else f"c{place}" for place, name in enumerate(docs.columns)])
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a text column and the offsets of its rows; NULL rows are empty."""
     column = column.fill_null("").cast(pa.large_string())

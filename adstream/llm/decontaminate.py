@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adstream.llm.common import prepare, text_column
+from adstream.llm.common import prepare, text_column, with_plain_names
 from adstream.llm.suffixes import suffix_array
 
 WINDOW = 10
@@ -95,7 +95,9 @@ def blocks(items: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTE
 class Shard:
     """The suffix array of a batch of documents, over the words that a block knows."""
 
-    def __init__(self, block: Block, texts: list[str | None]):
+    def __init__(self, block: Block, texts: list[str | None], depth: int):
+        """``depth`` is the length of match, in words, that :meth:`search` is to tell."""
+        self.depth = depth
         get, ids, counts = block.vocabulary.get, array("i"), []
         for text in texts:
             before = len(ids)
@@ -129,8 +131,7 @@ class Shard:
         inside[at + run_length] = False
         self.symbols[inside] = known[self.place[inside]] + 1
         self.doc = np.searchsorted(ends, self.place, "right")
-        longest = max(block.left, default=1)
-        self.order = suffix_array(self.symbols.astype(np.uint64), depth=longest) if size else np.zeros(0, np.int64)
+        self.order = suffix_array(self.symbols.astype(np.uint64), depth=depth) if size else np.zeros(0, np.int64)
 
     def search(self, block: Block):
         """Locate every test suffix.
@@ -166,6 +167,8 @@ class Shard:
             new = np.r_[True, keys[1:] != keys[:-1]]
             class_of = np.cumsum(new) - 1
             active_class = class_of[low]
+            if depth == self.depth:
+                break
             more = left[active] > depth
             active, active_class = active[more], active_class[more]
         return found, longest, longest_at
@@ -182,8 +185,10 @@ def _scan(block: Block):
     """Per document: its words and the spans that windows of the block match."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A window is all that has to match, however long its item.
+        depth = max(block.window, default=1)
         for batch in batches:
-            shard = Shard(block, batch["_text"].to_pylist())
+            shard = Shard(block, batch["_text"].to_pylist(), depth)
             spans: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             for test, at in shard.search(block)[0]:
                 t = int(test[0])
@@ -274,7 +279,7 @@ def longest_matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, blo
             size = np.zeros(len(block.names), np.int64)
             np.maximum.at(size, item, left)
             for batch in batches:
-                shard = Shard(block, batch["text"].to_pylist())
+                shard = Shard(block, batch["text"].to_pylist(), int(left.max(initial=1)))
                 _, longest, at = shard.search(block)
                 tests = np.flatnonzero((need > 0) & (longest >= need))
                 doc = shard.doc[at[tests]] if len(tests) else np.zeros(0, np.int64)
@@ -308,5 +313,5 @@ def longest_matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, blo
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` in which no window of any item occurs, with their own columns."""
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    return matches(docs, items, window).where("_hit = 0").select(*names)
+    plain = with_plain_names(docs, "text")
+    return matches(plain, items, window).where("_hit = 0").select(*plain.columns).toDF(*docs.columns)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adstream.llm.common import prepare, saved, scratch, text_column
+from adstream.llm.common import prepare, saved, scratch, with_plain_names
 
 UNKNOWN = "und"
 DOCS_PER_LANGUAGE = 5_000
@@ -35,6 +35,7 @@ REMEMBERED = 500_000
 NUMBERS = 1 << 23
 SEGMENT = 1 << 20
 WORD = re.compile(r"[^\W\d_]+")
+_ADDED = ("lang", "score", "known")
 
 
 def words_of(text: str) -> Iterator[list[str]]:
@@ -104,7 +105,7 @@ def fit(labelled: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, rare: f
     model knows none and every prediction is ``und``.
     """
     spark = prepare(labelled.sparkSession)
-    rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL")
+    rows = labelled.select("doc_id", "text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
     per_language = rows.groupBy("lang").agg(F.count("*").alias("rows_of_lang"))
     spread = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1 << 30)) / (1 << 30)
     sample = rows.join(F.broadcast(per_language), "lang").where(
@@ -170,46 +171,50 @@ class Scorer(dict):
         for word in list(self)[self.n_known :]:
             del self[word]
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        total, letters = np.zeros(self.rows.shape[1]), False
+    def predict(self, text: str | None) -> tuple[str, float, float]:
+        """Language, its probability, and the share of the words that the model knows."""
+        total, letters, n, known = np.zeros(self.rows.shape[1]), False, 0, 0
         for words in words_of(text or ""):
             letters = letters or any(c.isalpha() for w in words for c in w)
             for at in range(0, len(words), 50_000):
                 some = words[at : at + 50_000]
                 if len(self) + len(some) > len(self.rows):
                     self.forget()
-                total += self.rows[list(map(self.__getitem__, some))].sum(axis=0, dtype=np.float64)
+                rows = np.fromiter(map(self.__getitem__, some), np.int64, len(some))
+                n, known = n + len(some), known + int((rows < self.n_known).sum())
+                total += self.rows[rows].sum(axis=0, dtype=np.float64)
         if not letters or not self.model.languages:
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, 0.0
         odds = np.exp(total - total.max())
         best = int(np.argmax(odds))
-        return self.model.languages[best], float(odds[best] / odds.sum())
+        return self.model.languages[best], float(odds[best] / odds.sum()), known / n
 
 
-def identify(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str = "score") -> DataFrame:
+def identify(
+    docs: DataFrame, model: Model, lang: str = "lang_pred", score: str = "score", known: str | None = None
+) -> DataFrame:
     """``docs`` with the predicted language and its probability as the last columns.
 
-    Only ``text`` is read. Without a letter, or with NULL text, the language is ``und`` and
-    the probability 0; of languages that tie the first by name is taken.
+    ``known`` names a further column, the share of a text's words that the model knows. Columns of
+    ``docs`` with these names are replaced. Only ``text`` is read. Without a letter, or with NULL
+    text, the language is ``und`` and the numbers are 0; of languages that tie the first by name
+    is taken.
     """
     spark = prepare(docs.sparkSession)
     sent = spark.sparkContext.broadcast(model)
-    kept = [c for c in docs.columns if c not in (lang, score)]
+    added = [lang, score, *([known] if known else [])]
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in added])
+    plain = with_plain_names(docs, "text")
+    columns = plain.columns
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(sent.value)
         for batch in batches:
-            found = [scorer.predict(text) for text in batch["_text"].to_pylist()]
-            rest = batch.drop_columns("_text")
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *rest.columns,
-                    pa.array([x[0] for x in found], pa.string()),
-                    pa.array([x[1] for x in found], pa.float64()),
-                ],
-                [*rest.schema.names, lang, score],
-            )
-
-    columns = [F.col(f"`{c}`") for c in kept]
-    shape = docs.select(*columns, F.lit("").alias(lang), F.lit(0.0).alias(score)).schema
-    return docs.select(*columns, text_column().alias("_text")).mapInArrow(predict, shape)
+            found = [scorer.predict(text) for text in batch["text"].to_pylist()]
+            kinds = (pa.string(), pa.float64(), pa.float64())
+            new = [pa.array([x[i] for x in found], kinds[i]) for i in range(len(added))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], [*columns, *_ADDED[: len(added)]])
+
+    values = (F.lit("").alias("lang"), F.lit(0.0).alias("score"), F.lit(0.0).alias("known"))
+    shape = plain.select(*columns, *values[: len(added)]).schema
+    return plain.mapInArrow(predict, shape).toDF(*docs.columns, *added)

@@ -10,6 +10,7 @@ on its ``k`` best of each query, and those are merged.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -26,6 +27,8 @@ QUERIES = 4096
 TILE = 1024
 # Components in one float product: 127 * 127 * 1024 < 2 ** 24, so sums of them are exact.
 EXACT = 1024
+# Components below two to this power have squares that add up in double precision.
+SAFE_EXPONENT = 480
 
 
 def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -111,6 +114,12 @@ def nearest(vectors: DataFrame, is_query: F.Column, k: int = K, block: int = QUE
     """
     spark = prepare(vectors.sparkSession)
     rows = vectors.where(usable() & F.col("vec_id").isNotNull())
+    # Where squares could overflow all components are made smaller by a power of two, and scores larger.
+    largest = rows.agg(F.max(F.array_max(F.transform("embedding", lambda v: F.abs(v.cast("double")))))).first()[0]
+    shift = max(0, math.frexp(largest or 0.0)[1] - SAFE_EXPONENT)
+    if shift:
+        smaller = F.transform("embedding", lambda v: v.cast("double") * F.lit(math.ldexp(1.0, -shift)))
+        rows = rows.withColumn("embedding", smaller)
     asked = rows.where(is_query).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     asked = saved(asked.withColumn("dimension", F.size("embedding")), scratch(spark, "queries"))
     sizes = asked.groupBy("dimension").agg(F.count("*").alias("n")).orderBy("dimension").collect()
@@ -140,7 +149,7 @@ def nearest(vectors: DataFrame, is_query: F.Column, k: int = K, block: int = QUE
         reduce(DataFrame.unionByName, found)
         .withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
+        .select("query_id", "rank", "vec_id", (F.col("score") * math.ldexp(1.0, shift)).alias("score"))
     )
 
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adstream.llm.common import prepare, saved, scratch, text_column
+from adstream.llm.common import prepare, saved, scratch, text_column, with_plain_names
 
 Span = tuple[int, int]
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -36,13 +37,15 @@ IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGITS = re.compile(r"[0-9]")
+LETTERS = re.compile(r"[A-Za-z]")
 
 # Wider patterns, for proposed spans.
 WIDER = {
     "email": re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)* ?(?:\[at\]|\(at\)) ?[A-Za-z0-9-]+(?: ?(?:\.|\[dot\]|\(dot\)) ?[A-Za-z0-9-]+)+"),
     "card": re.compile(r"(?<![0-9+(])(?<![0-9][\x20.-])[0-9]{4}[\x20-]?[0-9]{6}[\x20-]?[0-9]{5}(?![\x20.-]?[0-9])"),
     "phone": re.compile(r"(?<![0-9+])(?<![0-9][\x20.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![\x20.-]?[0-9])"),
-    "secret": re.compile(r"(?<![A-Za-z0-9_])(?=[A-Za-z0-9_]{0,400}[0-9])(?=[A-Za-z0-9_]{0,400}[A-Za-z])[A-Za-z0-9_]{20,400}(?![A-Za-z0-9_])"),
+    # Keys of listed services hold hyphens, signed tokens points, padded base 64 plus signs and slashes.
+    "secret": re.compile(r"(?<![A-Za-z0-9_])(?:(?<!-)(?:sk|pk|rk|xox[abprs])-[A-Za-z0-9_-]{16,}+|(?<!-)eyJ[A-Za-z0-9_-]++(?:\.[A-Za-z0-9_-]++)+|(?<![+/])[A-Za-z0-9+/]{24,}+={1,2}|[A-Za-z0-9_]{20,}+)(?![A-Za-z0-9_])"),
 }
 STRICT = {
     "email": re.compile(r".*(?:\.|dot[\])]) ?[A-Za-z]{2,}"),
@@ -55,7 +58,7 @@ GAZETTEER = {
     "email": re.compile(r".*(?:com|org|net|edu|gov|info|io|de|fr|es|uk)"),
     "card": re.compile(r"3[47].*"),
     "phone": re.compile(r"\(?[2-9][0-9]{2}.*"),
-    "secret": re.compile(r"(?:sk|pk|ghp|gho|xox[bp]|AKIA|ASIA|AIza|eyJ).*|[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}"),
+    "secret": re.compile(r"(?:sk|pk|rk|ghp|gho|xox[abprs]|AKIA|ASIA|AIza|eyJ).*|[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}"),
 }
 CUES = {
     "email": ("email", "mail", "contact", "write", "address"),
@@ -125,7 +128,13 @@ def _vote(kind: str, span: str, before: str) -> tuple[int, int, int]:
 
 def proposed(text: str, base: dict[str, list[Span]]) -> list[tuple[int, int, tuple[int, ...]]]:
     """Further spans with their votes and shape; none overlaps a fixed one or another."""
-    taken = sorted(s for spans in base.values() for s in spans)
+    # Disjoint intervals in order: where a span ends, the last that begins before is the only one to meet.
+    taken: list[Span] = []
+    for a, b in sorted(s for spans in base.values() for s in spans):
+        if taken and a < taken[-1][1]:
+            taken[-1] = (taken[-1][0], max(b, taken[-1][1]))
+        else:
+            taken.append((a, b))
     found = []
     digits = bool(DIGITS.search(text))
     for kind, pattern in WIDER.items():
@@ -138,9 +147,12 @@ def proposed(text: str, base: dict[str, list[Span]]) -> list[tuple[int, int, tup
             span = m.group()
             if kind == "card" and not luhn(re.sub("[^0-9]", "", span)):
                 continue
-            if any(a < m.end() and m.start() < b for a, b in taken):
+            if kind == "secret" and not (DIGITS.search(span) and LETTERS.search(span)):
                 continue
-            taken.append(m.span())
+            at = bisect_left(taken, (m.end(), 0))
+            if at and taken[at - 1][1] > m.start():
+                continue
+            taken.insert(at, m.span())
             before = text[max(0, m.start() - CUE_CHARACTERS) : m.start()]
             share = sum(c.isdigit() for c in span) / len(span)
             shape = (min(3, int(math.log2(len(span))) - 3), int(share * 3.99), min(3, len(set(span)) // 8))
@@ -307,4 +319,5 @@ def redact(docs: DataFrame, model: Model) -> DataFrame:
             kind = batch.schema.field(at).type
             yield batch.set_column(at, "text", pa.array([clean(t) for t in batch["text"].to_pylist()], kind))
 
-    return docs.mapInArrow(apply, docs.schema)
+    plain = with_plain_names(docs, "text")
+    return plain.mapInArrow(apply, plain.schema).toDF(*docs.columns)

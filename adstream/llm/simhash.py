@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from adstream.llm.common import prepare, saved, scratch
+from adstream.llm.common import prepare, saved, scratch, with_plain_names
 from adstream.llm.components import components
 
 BITS = 64
@@ -276,9 +276,8 @@ def deduplicate(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -
     Of rows that tie in ``doc_id`` one stays; a NULL ``doc_id`` stays only where its
     component has no other.
     """
-    names = docs.columns
-    taken = max((len(c) for c in names), default=0) * "_"
-    print_, row = f"{taken}_print", f"{taken}_row"
+    names, docs = docs.columns, with_plain_names(docs, "doc_id", "text")
+    print_, row = "print", "row"
     # Row numbers are stored with the rows, so they stay the same when a task runs again.
     marked = saved(
         fingerprints(docs, shingle, print_).withColumn(row, F.monotonically_increasing_id()),
@@ -290,4 +289,4 @@ def deduplicate(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -
     classes = near_duplicates(ids, radius).select("fingerprint", "root")
     least = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))).alias("least")
     staying = ids.join(classes, "fingerprint").groupBy("root").agg(least).select(F.col("least.row").alias(row))
-    return marked.join(staying, row, "left_semi").select(*names)
+    return marked.join(staying, row, "left_semi").select(*docs.columns).toDF(*names)

@@ -112,3 +112,11 @@ def test_nearest(spark):
     assert nearest.nearest(df.limit(0), F.lit(True)).count() == 0
     few = nearest.nearest(df.where("vec_id < 3 OR vec_id = 710"), F.lit(True)).collect()
     assert Counter(r.query_id for r in few) == {0: 2, 1: 2, 2: 2}
+
+
+def test_huge_components_keep_their_neighbours(spark):
+    rows = [(0, [1e200, 0.0]), (1, [1e200, 3e199]), (2, [-1e200, 0.0]), (3, [1e-3, 1e300]), (4, None)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r.rank, r.vec_id, r.score) for r in nearest.nearest(frame, F.col("vec_id") == 0).orderBy("rank").collect()]
+    assert [g[:2] for g in got] == [(1, 1), (2, 2), (3, 3)]
+    assert [g[2] for g in got] == pytest.approx([3e199, 2e200, 1e300])

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -252,3 +253,110 @@ def test_quality(spark):
     assert quality.classify(df.limit(0), labels, F.col("source"), F.col("lang")).count() == 0
     none = quality.classify(df.limit(3), labels.limit(0), F.col("source"), F.col("lang"))
     assert [round(r.p_document, 6) for r in none.collect()] == [0.5] * 3
+
+
+def plain_language(labelled, texts, rare):
+    """Sums of log frequencies word by word, an unseen word by its known parts of the greatest length."""
+    words = lambda t: re.findall(r"[^\W\d_]+", (t or "").lower())
+    parts = lambda w, n: [f"^{w}$"[i : i + n] for i in range(len(w) + 3 - n)] if n else [w]
+    langs = sorted({lang for text, lang in labelled if words(text)})
+    tables = []
+    for n in range(5):
+        counts = {lang: Counter() for lang in langs}
+        for text, lang in labelled:
+            for w in words(text):
+                counts[lang].update(parts(w, n))
+        totals = {lang: counts[lang].total() for lang in langs}
+        items = {x for lang in langs for x, k in counts[lang].items() if k >= rare * totals[lang]}
+        tables.append(
+            {x: np.array([np.log((counts[lang][x] + 0.5) / (totals[lang] + 0.5 * (len(items) + 1))) for lang in langs]) for x in items}
+        )
+    found = []
+    for text in texts:
+        total = np.zeros(len(langs))
+        for w in words(text):
+            for n in (0, 4, 3, 2, 1):
+                known = [tables[n][x] for x in parts(w, n) if x in tables[n]]
+                if known:
+                    total += np.mean(known, axis=0)
+                    break
+        odds = np.exp(total - total.max())
+        found.append((langs[int(odds.argmax())], odds.max() / odds.sum()) if words(text) else ("und", 0.0))
+    return found
+
+
+def test_language_equals_plain_scores(spark):
+    rng = random.Random(9)
+    letters = {"x": "abcde", "y": "cdefg", "z": "efghé"}
+    word = lambda lang: "".join(rng.choice(letters[lang]) for _ in range(rng.randint(1, 6)))
+    labelled = [(" ".join(word(lang) for _ in range(30)), lang) for lang in "xyzxyzxy"]
+    texts = [" ".join(word(rng.choice("xyz")) for _ in range(rng.randint(1, 8))) for _ in range(60)]
+    texts += ["", None, "12 --", "É" * 50, "qqq rrr", texts[0]]
+    rows = [(i, t, lang, "s") for i, (t, lang) in enumerate(labelled)]
+    for rare in (0, 0.02):
+        model = langid.fit(frame(spark, rows), rare=rare)
+        docs = frame(spark, [(i, t, None, "s") for i, t in enumerate(texts)])
+        got = {r.doc_id: (r.lang_pred, r["score"]) for r in langid.identify(docs.drop("score"), model).collect()}
+        for i, (lang, score) in enumerate(plain_language(labelled, texts, rare)):
+            assert abs(got[i][1] - score) < 1e-4, texts[i]
+            assert got[i][0] == lang or score < 0.51
+
+
+def plain_proposed(text):
+    """Wider spans by comparing each with all before it."""
+    taken = [s for spans in pii.base_spans(text).values() for s in spans]
+    found = []
+    for kind, pattern in pii.WIDER.items():
+        for m in pattern.finditer(text):
+            a, b = m.span()
+            digits = re.sub("[^0-9]", "", m.group())
+            if kind == "card" and not pii.luhn(digits):
+                continue
+            if kind == "secret" and not (digits and re.search("[A-Za-z]", m.group())):
+                continue
+            if kind != "email" and not re.search("[0-9]", text):
+                continue
+            if not any(x < b and a < y for x, y in taken):
+                taken.append((a, b))
+                found.append((a, b, kind))
+    return found
+
+
+PIECES = ["a@b.co", "1.2.3.4", "4111 1111 1111 1111", "+1 (555) 123-4567", "555-123-4567", "joe [at] b (dot) org", "k1" * 12,
+          "3782 822463 10005", "sk-" + "a1" * 9, "eyJhb1.c2.d3", "aB3/" * 7 + "==", " ", " ", "-", ".", "word"]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=14))
+def test_proposed_spans(pieces):
+    text = "".join(pieces)
+    got = [(a, b, pii.KINDS[f[0]]) for a, b, f in pii.proposed(text, pii.base_spans(text))]
+    assert got == plain_proposed(text)
+
+
+def test_secrets_of_any_length_and_shape():
+    keys = ["a1B2" * 500, "z9" * 201, "xoxb-1234567890-abcdefghijkl", "sk-proj_a1b2c3d4e5f6g7h8", "eyJhbGciOi1.eyJzdWIiOjEy.c2ln-_bmF0",
+            "aGVsbG8+d29ybGQ/MTIzNDU2Nzg5MA=="]
+    for key in keys:
+        text = f"the token {key} is secret"
+        assert [(a, b) for a, b, _ in pii.proposed(text, pii.base_spans(text))] == [(10, 10 + len(key))], key
+
+
+def test_many_spans_and_long_runs_take_linear_time():
+    for text in ("call 555-123-4567 or " * 32_000, "a/" * 500_000, "eyJ-" * 250_000 + "1", "sk-" * 300_000, "a1" * 500_000):
+        base = pii.base_spans(text)
+        begun = time.perf_counter()
+        pii.proposed(text, base)
+        assert time.perf_counter() - begun < 3
+
+
+def test_a_long_item_is_matched_in_short_time(spark):
+    rng = random.Random(2)
+    words = [f"w{rng.randint(0, 20_000)}" for _ in range(16_000)]
+    block = decontaminate.Block()
+    block.add("long", [w.encode() for w in words], 10)
+    begun = time.perf_counter()
+    shard = decontaminate.Shard(block, ["x " + " ".join(words)], 10)
+    found = shard.search(block)[0]
+    assert time.perf_counter() - begun < 2
+    assert sum(len(at) for _, at in found) == 16_000 - 9

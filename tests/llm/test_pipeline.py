@@ -12,6 +12,7 @@ from tests.llm.test_documents import plain_base, plain_classes, plain_fingerprin
 from tests.llm.test_tokens_packing import ids
 
 WORDS = {"en": "the of and cat house tree".split(), "de": "der und die haus katze baum".split()}
+GIBBERISH = 143  # has no label, so nothing is learnt from it
 
 
 def corpus():
@@ -23,6 +24,7 @@ def corpus():
     rows += [(5, rows[5][1])]  # a repeated row
     rows += [(120 + i, f"{rows[i][1]} {items[i % 2][1]} end") for i in range(6)]
     rows += [(130 + i, f"{rows[i + 20][1]} write to a.{i}@b.example.com or +1 (555) 123-456{i} at 10.1.2.{i}") for i in range(6)]
+    rows += [(GIBBERISH, "xqzv wkrrt pflmb dgghk zzxw")]
     rows += [(140, None), (141, ""), (142, "12 -- 34"), (None, "the lone cat without a number of its own")]
     return rows, items
 
@@ -36,13 +38,13 @@ def redacted(text):
 
 def test_pipeline_equals_plain_stages(spark, tmp_path):
     rows, items = corpus()
-    langs = [("en" if "the" in (t or "") else "de") for _, t in rows]
+    langs = [None if d == GIBBERISH else "en" if "the" in (t or "") else "de" for d, t in rows]
     documents = [(d, t, lang, "s", len(t) if t else None) for (d, t), lang in zip(rows, langs)]
     shape = "doc_id long, text string, lang string, source string, n_chars long"
     spark.createDataFrame(documents, shape).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
 
-    kept = [(d, t) for d, t in rows if t and any(c.isalpha() for c in t)]
+    kept = [(d, t) for d, t in rows if t and any(c.isalpha() for c in t) and d != GIBBERISH]
     classes = plain_classes({plain_fingerprint(t) for _, t in kept})
     best = {}
     for d, t in kept:
@@ -74,6 +76,18 @@ def test_stages_keep_the_columns_and_take_empty_tables(spark, tmp_path):
             assert out.columns == none.columns
 
 
+def test_stages_take_any_other_columns(spark, tmp_path):
+    names = ("_language", "_score", "_text", "_words", "_hit", "_spans", "print", "row", "c0", "known", "score", "a.b")
+    rows = [(i, f"the cat of the house and tree {i}", "en", "s", 9, *range(len(names))) for i in range(6)]
+    others = ", ".join(f"`{n}` int" for n in names)
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long, {others}")
+    spark.createDataFrame([(1, "no such words here")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        assert {tuple(r[5:]) for r in out.collect()} == {tuple(range(len(names)))}, name
+
+
 def test_all_are_registered():
     numbers = Counter(name.split("_")[0] for name in contract.queries() if name.startswith("op"))
     assert numbers == {f"op{n}": 1 for n in range(1, 14)}
