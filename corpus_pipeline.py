@@ -10,15 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adstream.llm import decontaminate, langid, packing, pii, simhash
-from adstream.llm.common import saved, scratch, table
+from adstream.llm.common import saved, scratch, table, with_plain_names
 from adstream.llm.queries import TOKENIZER, language_model
 
 
+# A text of which the model knows a smaller share of the words is in none of its languages.
+LEAST_KNOWN = 0.25
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (no text, or no letter in it) go."""
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    found = langid.identify(docs, language_model(docs), "_language", "_score")
-    return found.where(F.col("_language") != langid.UNKNOWN).select(*names)
+    """Documents without a language go: no text, no letter in it, or hardly a word known in any."""
+    plain = with_plain_names(docs, "text")
+    found = langid.identify(plain, language_model(docs), "lang", "score", "known")
+    kept = found.where((F.col("lang") != langid.UNKNOWN) & (F.col("known") >= LEAST_KNOWN))
+    return kept.select(*plain.columns).toDF(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
