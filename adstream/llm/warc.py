@@ -29,7 +29,10 @@ from adstream.llm.common import prepare, saved, scratch
 # Bytes of payload after which a task begins another archive.
 ARCHIVE_BYTES = 64 << 20
 CHUNK = 1 << 16
+# Of a head is read so much, and four times as much as long as it does not end.
 HEADER_BYTES = 1 << 16
+DIGESTS = ("md5", "sha1", "sha256", "sha384", "sha512")
+CHUNK_SIZE = re.compile(rb"([0-9A-Fa-f]{1,15})[^\r\n]*\r\n")
 MAGIC = b"\x1f\x8b\x08"
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 MANIFEST = "path string, n_records long, n_bytes long"
@@ -184,12 +187,18 @@ def parse_head(head: bytes) -> dict[str, str]:
     version, _, rest = head.partition(b"\r\n")
     if not VERSION.fullmatch(version + b"\r\n"):
         raise Damaged("no version line")
-    headers = {}
+    headers: dict[str, str] = {}
+    name = None
     for line in rest.split(b"\r\n"):
-        name, colon, value = line.partition(b":")
+        if line[:1] in (b" ", b"\t") and name is not None:
+            # A folded header goes on.
+            headers[name] = f"{headers[name]} {line.decode('utf-8', 'replace').strip()}".strip()
+            continue
+        label, colon, value = line.partition(b":")
         if not colon:
             raise Damaged("bad header")
-        headers[name.decode("utf-8", "replace").strip().lower()] = value.decode("utf-8", "replace").strip()
+        name = label.decode("utf-8", "replace").strip().lower()
+        headers[name] = value.decode("utf-8", "replace").strip()
     if not {"warc-type", "warc-record-id", "content-length"} <= headers.keys():
         raise Damaged("header missing")
     if not headers["content-length"].isdecimal():
@@ -197,20 +206,57 @@ def parse_head(head: bytes) -> dict[str, str]:
     return headers
 
 
+def _same_digest(said: str, data: bytes) -> bool | None:
+    """Whether ``algorithm:value`` (base 32 or 16) is that of the data; None if that cannot be told."""
+    algorithm, colon, value = said.partition(":")
+    if not colon:
+        algorithm, value = "sha1", said
+    algorithm = algorithm.strip().lower().replace("-", "")
+    if algorithm not in DIGESTS:
+        return None
+    own, value = hashlib.new(algorithm, data).digest(), value.strip()
+    forms = (base64.b32encode(own).decode(), own.hex().upper(), base64.b64encode(own).decode())
+    return value.upper().rstrip("=") in {f.rstrip("=") for f in forms[:2]} or value == forms[2]
+
+
+def _unchunked(body: bytes) -> bytes:
+    """The body without the chunk sizes that HTTP put between its parts; as it is where it has none."""
+    out, at = [], 0
+    while found := CHUNK_SIZE.match(body, at):
+        n = int(found[1], 16)
+        if not n:
+            return b"".join(out)
+        out.append(body[found.end() : found.end() + n])
+        at = found.end() + n + 2
+    return body
+
+
+def payload_of(headers: dict[str, str], block: bytes) -> bytes:
+    """The block, or where it is an HTTP message what follows its head."""
+    if headers.get("content-type", "").replace(" ", "").lower().startswith("application/http"):
+        return block.partition(b"\r\n\r\n")[2]
+    return block
+
+
 def _checked(headers: dict[str, str], block: bytes) -> dict:
     kind = headers["warc-type"]
-    digest = headers.get("warc-payload-digest", "").removeprefix("sha1:") or None
+    said = headers.get("warc-payload-digest") or None
     full = headers.get("x-payload-length", "")
-    if kind != "revisit" and digest and base32_sha1(block) != digest:
-        raise Damaged("payload digest differs")
+    if _same_digest(headers.get("warc-block-digest", ""), block) is False and headers.get("warc-block-digest"):
+        raise Damaged("block digest differs")
+    payload = payload_of(headers, block)
+    if kind != "revisit" and said and _same_digest(said, payload) is False:
+        # Writers differ in what they digest of an HTTP message.
+        if payload is block or not any(_same_digest(said, x) for x in (block, _unchunked(payload))):
+            raise Damaged("payload digest differs")
     return {
         "record_type": kind,
         "record_id": headers["warc-record-id"],
         "refers_to": headers.get("warc-refers-to"),
         "target_uri": headers.get("warc-target-uri"),
-        "payload_digest": digest,
-        "payload_bytes": int(full) if kind == "revisit" and full.isdecimal() else len(block),
-        "payload": block,
+        "payload_digest": said.removeprefix("sha1:") if said else None,
+        "payload_bytes": int(full) if kind == "revisit" and full.isdecimal() else len(payload),
+        "payload": payload,
     }
 
 
@@ -227,9 +273,14 @@ def _gz_record(file: pa.NativeFile, size: int, start: int) -> tuple[dict, int]:
 
 
 def _plain_record(file: pa.NativeFile, size: int, start: int) -> tuple[dict, int]:
-    head, blank, _ = file.read_at(HEADER_BYTES, start).partition(b"\r\n\r\n")
-    if not blank:
-        raise Damaged("headers do not end")
+    step = HEADER_BYTES
+    while True:
+        head, blank, _ = file.read_at(min(step, size - start), start).partition(b"\r\n\r\n")
+        if blank:
+            break
+        if not VERSION.match(head) or start + step >= size:
+            raise Damaged("headers do not end")
+        step *= 4
     headers = parse_head(head)
     length = int(headers["content-length"])
     body = start + len(head) + 4
@@ -268,11 +319,12 @@ def salvage(file: pa.NativeFile) -> Iterator[dict]:
         yield {"start": gap, "end": size, "gap": why}
 
 
-def read_archives(paths: DataFrame, payloads: bool = True) -> DataFrame:
+def read_archives(paths: DataFrame, payloads: bool = True, whole: bool = False) -> DataFrame:
     """Records of the archives in column ``path``, and gaps (``gap`` is not NULL).
 
     An archive is read in one task, a record at a time. ``payloads`` False leaves the
-    payloads out of the result; they are checked all the same.
+    payloads out of the result; they are checked all the same. With ``whole`` an archive
+    that does not hold the ``n_records`` of its manifest, or has a gap, is an error.
     """
     prepare(paths.sparkSession)
     schema = pa.schema(
@@ -281,11 +333,15 @@ def read_archives(paths: DataFrame, payloads: bool = True) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path in batch["path"].to_pylist():
+            expected = batch["n_records"].to_pylist() if whole else [None] * batch.num_rows
+            for path, n in zip(batch["path"].to_pylist(), expected, strict=True):
                 system, name = file_system(path)
-                rows, held = [], 0
+                rows, held, seen = [], 0, 0
                 with system.open_input_file(name) as file:
                     for row in salvage(file):
+                        seen += 1
+                        if whole and row.get("gap"):
+                            raise Damaged(f"{path}: {row['gap']} at {row['start']}")
                         if not payloads:
                             row.pop("payload", None)
                         rows.append({"path": path, **row})
@@ -293,10 +349,12 @@ def read_archives(paths: DataFrame, payloads: bool = True) -> DataFrame:
                         if len(rows) == 512 or held > CHUNK * 64:
                             yield pa.RecordBatch.from_pylist(rows, schema)
                             rows, held = [], 0
+                if whole and seen != n:
+                    raise Damaged(f"{path}: {seen} records instead of {n}")
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
     # An archive is a row here and megabytes of work: a task for each, up to the cores.
-    listed = paths.select("path").repartition(max(1, paths.sparkSession.sparkContext.defaultParallelism * 4))
+    listed = paths.select("path", *(["n_records"] if whole else [])).repartition(max(1, paths.sparkSession.sparkContext.defaultParallelism * 4))
     return listed.mapInArrow(read, RECORDS)
 
 
@@ -306,6 +364,6 @@ def page_id_of(column: str) -> F.Column:
 
 
 def round_trip(spark: SparkSession, pages: DataFrame, revisit_from: int = 0) -> DataFrame:
-    """Write ``pages`` to archives in the shared folder and read them back."""
+    """Write ``pages`` to archives in the shared folder and read them back; all records have to be there."""
     manifest = write_archives(pages, scratch(spark, "warc"), revisit_from)
-    return read_archives(manifest, payloads=False)
+    return read_archives(manifest, payloads=False, whole=True)

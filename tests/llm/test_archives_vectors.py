@@ -120,3 +120,43 @@ def test_huge_components_keep_their_neighbours(spark):
     got = [(r.rank, r.vec_id, r.score) for r in nearest.nearest(frame, F.col("vec_id") == 0).orderBy("rank").collect()]
     assert [g[:2] for g in got] == [(1, 1), (2, 2), (3, 3)]
     assert [g[2] for g in got] == pytest.approx([3e199, 2e200, 1e300])
+
+
+def third_party(kind, block, *more):
+    headers = [("WARC-Type", kind), ("WARC-Record-ID", f"<urn:{len(block)}>"), *more]
+    return warc.record_bytes(headers, block)
+
+
+@pytest.mark.parametrize("compress", [True, False])
+def test_archives_of_other_writers(tmp_path, compress):
+    body = b"<p>page</p>\r\n\r\nmore"
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"
+    chunked = b"5\r\nhello\r\n6;x=y\r\n world\r\n0\r\n\r\n"
+    sha1, sha256 = hashlib.sha1, hashlib.sha256
+    b32 = lambda h: base64.b32encode(h.digest()).decode()
+    http_type = ("Content-Type", "application/http; msgtype=response")
+    records = [
+        third_party("warcinfo", b"software: x\r\n", ("Content-Type", "application/warc-fields")),
+        third_party("response", http + body, http_type, ("WARC-Payload-Digest", f"sha1:{b32(sha1(body))}"),
+                    ("WARC-Block-Digest", f"sha256:{sha256(http + body).hexdigest()}")),
+        third_party("response", http + chunked, http_type, ("WARC-Payload-Digest", f"SHA-256:{sha256(b'hello world').hexdigest()}")),
+        third_party("response", http + body, http_type, ("WARC-Payload-Digest", f"md5:{hashlib.md5(http + body).hexdigest()}")),
+        third_party("resource", body, ("WARC-Payload-Digest", "blake9:abc"), ("X-Long", "y" * 200_000)),
+        third_party("resource", body).replace(b"WARC-Record-ID: <", b"WARC-Record-ID:\r\n\t<"),
+    ]
+    bad = third_party("resource", body, ("WARC-Block-Digest", f"sha1:{b32(sha1(b'other'))}"))
+    path = tmp_path / "other.warc"
+    path.write_bytes(b"".join(warc.member(r) if compress else r for r in [*records, bad]))
+    system, name = warc.file_system(str(path))
+    with system.open_input_file(name) as file:
+        rows = list(warc.salvage(file))
+    assert [r.get("gap") for r in rows] == [None] * len(records) + ["block digest differs"]
+    assert [r["payload"] for r in rows[1:-1]] == [body, chunked, body, body, body]
+    assert rows[-2]["record_id"] == f"<urn:{len(body)}>"
+
+
+def test_a_lost_record_is_an_error(spark):
+    manifest = warc.write_archives(pages(spark), scratch(spark, "w"))
+    assert warc.read_archives(manifest, whole=True).count() == len(PAGES)
+    with pytest.raises(Exception, match="records instead of"):
+        warc.read_archives(manifest.withColumn("n_records", F.col("n_records") + 1), whole=True).count()
