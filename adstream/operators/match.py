@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from adstream.functions.keys import MATCH_KEY, match_key_cols
@@ -22,7 +22,7 @@ from adstream.schemas import CLIENT_EVENT
 WINDOW = "30 seconds"
 # How far messages may arrive out of order: a backlog read from uneven partitions.
 DELAY = "10 minutes"
-_ORDER, _ROW, _SERVER = "_order", "_row", "_server"
+_ORDER, _ROW, _SERVER, _BEACONS = "_order", "_row", "_server", "_beacons"
 
 
 def assign_window(
@@ -55,12 +55,16 @@ def match_events(
     server: DataFrame,
     scope: Sequence[str] = ("window",),
     order_by: Sequence[str] | None = None,
+    counted: Observation | None = None,
 ) -> DataFrame:
     """The first beacon of each key and scope that a server record confirms.
 
     ``order_by`` names the columns that decide which beacon is first, NULL
     lowest; the default is the client time. Remaining columns break ties, event
     fields before others, so the result does not depend on input order.
+
+    ``counted`` observes, for bounded inputs, what became of the beacons:
+    ``matched``, ``merged`` into a matched one, and ``unmatched``.
     """
     scope = list(scope)
     # The aggregation sorts, comparing columns from the left: after the scope
@@ -82,8 +86,19 @@ def match_events(
     groups = (
         beacons.unionByName(records, allowMissingColumns=True)
         .groupBy(*scope, *keys)
-        .agg(F.min(_ROW).alias(_ROW), F.max(_SERVER).alias(_SERVER))
+        .agg(
+            F.min(_ROW).alias(_ROW),
+            F.max(_SERVER).alias(_SERVER),
+            *([F.count(_ROW).alias(_BEACONS)] if counted else []),
+        )
     )
+    if counted:
+        groups = groups.observe(
+            counted,
+            F.count_if(F.col(_SERVER) & (F.col(_BEACONS) > 0)).alias("matched"),
+            F.sum(F.when(F.col(_SERVER), F.greatest(F.col(_BEACONS) - 1, F.lit(0)))).alias("merged"),
+            F.sum(F.when(~F.col(_SERVER), F.col(_BEACONS))).alias("unmatched"),
+        )
     confirmed = groups.where(F.col(_SERVER) & F.col(_ROW).isNotNull())
     return confirmed.select(
         *[F.col(n) if n in scope else F.col(f"{_ROW}.{n}").alias(n) for n in client.columns]

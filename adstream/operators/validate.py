@@ -43,6 +43,18 @@ def validate_client_events(df: DataFrame, numeric_check: bool = False) -> DataFr
     )
 
 
+def rule_counts() -> list[Column]:
+    """Counts of rejected rows by the field and the kind of the rule that failed."""
+    kinds = {"null": NULL_STATUS, "type": TYPE_STATUS}
+    return [
+        F.count_if((F.col("invalid_field") == name) & (F.col("validity_status") == text)).alias(
+            f"invalid_{name}_{kind}"
+        )
+        for name in CLIENT_EVENT.names
+        for kind, text in kinds.items()
+    ]
+
+
 def split_validity(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Valid rows and invalid rows of a validated frame."""
     valid = (F.col("validity_status") == "") & (F.col("invalid_field") == "")

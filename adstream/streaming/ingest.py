@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from itertools import count, islice
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,6 +19,7 @@ from adstream.functions.jsontext import (
     well_formed,
 )
 from adstream.operators.match import DELAY, WINDOW, match_events, with_arrival_watermark
+from adstream.operators.validate import rule_counts
 from adstream.plans.batch import process_matched, stage
 from adstream.schemas import EVENT_SCHEMAS
 from adstream.session import STREAM_CONF, configure, session_conf
@@ -31,6 +33,7 @@ from adstream.streaming.sinks import (
     run_of,
     run_together,
     several_days,
+    write_accounts,
     write_feed,
     write_rejected,
 )
@@ -47,6 +50,16 @@ _LINE = "folder_path string, arrived timestamp, day string, hour string"
 _SIDES = ("client", "server")
 
 
+def _read_counts() -> list[Column]:
+    """What is counted where lines are decoded."""
+    columns = []
+    for side in _SIDES:
+        own = F.col("side") == side
+        columns.append(F.count_if(own).alias(f"{side}_read"))
+        columns.append(F.count_if(own & F.col(MALFORMED)).alias(f"{side}_malformed"))
+    return columns
+
+
 def _announced(notices: DataFrame) -> Iterator[Row]:
     """Distinct notices in a fixed order, so that a replay meets the same slices.
 
@@ -122,11 +135,13 @@ def ingest_folders(
     one match then covers all of them. A notice whose files are missing is kept
     in the quarantine, without a completion message, and stops no other.
     Completion messages are written last, when all rows they stand for are
-    stored.
+    stored. What was read, matched, stored and rejected is counted in the same
+    passes (:func:`~adstream.streaming.sinks.read_accounts`).
     """
     configure(spark)
     whole = Write(SOURCE, run, batch_id)
     staged: dict[str, DataFrame] = {}
+    accounts: Counter[str] = Counter()
     announced = _announced(notices)
     for part in count():
         some = list(islice(announced, listed))
@@ -141,14 +156,18 @@ def ingest_folders(
             lost = _said(spark, missing).select(text, F.lit("missing").alias("side"), "day")
             write_rejected(lost, sinks, Write(SOURCE, run, batch_id, part))
         for taken in _slices(here, sizes, slice_files, slice_bytes):
-            frames = {"decoded": _decoded(spark, taken, scope), "done": _said(spark, taken)}
+            read = Observation()
+            decoded = _decoded(spark, taken, scope).observe(read, *_read_counts())
+            frames = {"decoded": decoded, "done": _said(spark, taken)}
             # The first slice replaces what an earlier batch or attempt left.
             mode = "append" if staged else "overwrite"
             for name, frame in frames.items():
                 frame.write.mode(mode).parquet(sinks.staging(whole, name))
                 staged[name] = spark.read.schema(frame.schema).parquet(sinks.staging(whole, name))
+            accounts.update(read.get)
     if staged:
-        _store(spark, staged["decoded"], dims, sinks, whole, numeric_check, scope)
+        accounts.update(_store(spark, staged["decoded"], dims, sinks, whole, numeric_check, scope))
+        write_accounts(spark, accounts, sinks, whole)
         messages = completion_notices(staged["done"], "day").withColumn("feed", F.lit("cleanup"))
         write_feed(messages, sinks, "cleanup", sinks.cleanup_topic, whole)
 
@@ -182,16 +201,22 @@ def _store(
     write: Write,
     numeric_check: bool,
     scope: Sequence[str],
-) -> None:
-    """Match the staged rows of both sides, process and write them."""
+) -> Counter[str]:
+    """Match the staged rows of both sides, process and write them; what became of them."""
     places = ("folder_path", "day", "hour", *(("window",) if "window" in scope else ()))
     events = [
         well_formed(decoded.where(F.col("side") == side)).select(*EVENT_SCHEMAS[side].names, *places)
         for side in _SIDES
     ]
-    matched = stage(spark, match_events(*events, scope), sinks.staging(write))
+    counted, stored, invalid = Observation(), Observation(), Observation()
+    matched = stage(spark, match_events(*events, scope, counted=counted), sinks.staging(write))
     mixed = several_days(matched)
     outcome = process_matched(matched, current(dims), numeric_check, keep=("day",), staged=True)
+    # Counted in the passes that write them.
+    outcome = outcome._replace(
+        impressions=outcome.impressions.observe(stored, F.count(F.lit(1)).alias("stored")),
+        invalid=outcome.invalid.observe(invalid, F.count(F.lit(1)).alias("invalid"), *rule_counts()),
+    )
     bad = decoded.where(MALFORMED).select("folder_path", "day", "hour", "value", "side")
 
     def quarantine() -> None:
@@ -199,6 +224,10 @@ def _store(
 
     internal = ("folder_path", "window", "day", "hour")
     run_together(spark, *outcome_writes(outcome, sinks, write, internal, mixed), quarantine)
+    found: Counter[str] = Counter()
+    for observed in (counted, stored, invalid):
+        found.update({name: n or 0 for name, n in observed.get.items()})
+    return found
 
 
 def held_windows(messages: DataFrame, delay: str = DELAY) -> DataFrame:

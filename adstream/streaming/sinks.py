@@ -109,6 +109,24 @@ def write_rejected(rows: DataFrame, sinks: Sinks, write: Write) -> None:
     write_partitions(rows, sinks.path("quarantine"), write, ("side", *PARTITIONS))
 
 
+ACCOUNTS = "measure string, n long"
+
+
+def write_accounts(spark: SparkSession, counts: Mapping[str, int], sinks: Sinks, write: Write) -> None:
+    """Keep what was counted of one batch; a replay replaces it."""
+    rows = spark.createDataFrame(sorted(counts.items()), ACCOUNTS).coalesce(1)
+    write_partitions(rows, sinks.path("accounts"), write, RUN)
+
+
+def read_accounts(spark: SparkSession, sinks: Sinks) -> DataFrame:
+    """``measure`` and ``n`` over all batches, and by ``source``, ``run``, ``batch_id`` and ``part``.
+
+    Beacons read are malformed, unmatched, merged into another one, or matched; those matched are
+    stored or invalid; those invalid are told by field.
+    """
+    return spark.read.parquet(sinks.path("accounts"))
+
+
 def feed_messages(
     outcome: Outcome, drop: tuple[str, ...] = (), keep: tuple[str, ...] = ()
 ) -> DataFrame:

@@ -11,8 +11,11 @@ from adstream.schemas import AD_IMPRESSIONS, AD_IMPRESSIONS_INVALID, WEB_USERS
 from adstream.session import scratch_path
 from adstream.sources.dimensions import read_table
 from adstream.sources.stored import folders, published, read_folders, uncovered
-from adstream.streaming.sinks import PARTITIONS, Write, write_partitions
-from tests.rows import values
+from adstream.streaming.ingest import ingest_folders
+from adstream.streaming.sinks import PARTITIONS, Sinks, Write, read_accounts, write_partitions
+from tests.rows import client_json, server_json, values
+from tests.test_streaming import notice, put_folder
+from tests.test_tables import dims
 
 
 @pytest.fixture
@@ -177,3 +180,28 @@ def test_folders_are_listed(spark, root):
     put(spark, root, "20240101", 0, ["a"])
     (row,) = folders(spark, root, "Ad_impressions").collect()
     assert (row.day, row.folder) == ("20240101", "source=stream/run=r/batch_id=0/part=0") and row.bytes > 0
+
+
+def test_accounts_of_a_batch_add_up(spark, root, tmp_path):
+    put_folder(
+        spark,
+        tmp_path,
+        "20240101/00",
+        [client_json(user_id="a")] * 3
+        + [client_json(user_id="b"), "oops", client_json(user_id="c", clicked=None), client_json(user_id="d", clicked="x")],
+        [server_json(user_id=u) for u in "acdz"] + ["[]", "{", server_json(user_id="a")],
+    )
+    put_folder(spark, tmp_path, "20240101/01", [client_json(user_id="e")], [])
+    notices = spark.createDataFrame([notice(tmp_path, f"20240101/0{i}") for i in (0, 1)])
+    sinks = Sinks(f"{root}/out")
+    for _ in range(2):  # the second is a replay
+        ingest_folders(spark, notices, dims(spark), sinks, 0, slice_files=1)
+        n = {r.measure: r.n for r in read_accounts(spark, sinks).collect()}
+        assert (n["client_read"], n["server_read"], n["client_malformed"]) == (8, 8, 1)
+        # An empty file has one empty line.
+        assert n["server_malformed"] == 3
+        assert (n["matched"], n["merged"], n["unmatched"]) == (3, 2, 2)
+        assert n["client_read"] == n["client_malformed"] + n["matched"] + n["merged"] + n["unmatched"]
+        assert n["matched"] == n["stored"] + n["invalid"] and n["stored"] == 1
+        assert n["invalid"] == sum(v for k, v in n.items() if k.startswith("invalid_"))
+        assert n["invalid_clicked_null"] == n["invalid_clicked_type"] == 1

@@ -221,6 +221,9 @@ CTES = {
     "matched_hours": _matched("{t}.win", BY_FIELDS)
     .replace("FROM client_events c", "FROM client_hours c")
     .replace("FROM server_events s", "FROM server_hours s"),
+    "beacon_groups": f"""SELECT count(*) AS n, bool_or(known) AS known FROM (
+      SELECT c.*, EXISTS (SELECT 1 FROM server_hours s WHERE s.win = c.win AND {_same_key("s", "c")}) AS known
+      FROM client_hours c) c GROUP BY c.win, {_key("c")}""",
     "matched_fields": _matched("", BY_FIELDS),
     "validated_fields": _verdict("matched_fields", False),
     "validated": _verdict("matched", False),
@@ -337,6 +340,17 @@ QUERIES = {
       FROM ({_enriched("SELECT * FROM validated_hours WHERE validity_status = ''")})""",
     "cleanup_feed": """SELECT '["foldername","/day='||strftime(ts, '%Y%m%d')||'/hour='||strftime(ts, '%H')||'"]' AS value
       FROM (SELECT DISTINCT date_trunc('hour', ts) AS ts FROM events)""",
+    "batch_accounts": f"""SELECT 'client_read' AS measure, count(*) AS n FROM client_events
+      UNION ALL SELECT 'server_read', count(*) FROM server_events
+      UNION ALL SELECT unnest(['client_malformed', 'server_malformed']), 0
+      UNION ALL SELECT 'matched', count(*) FROM beacon_groups WHERE known
+      UNION ALL SELECT 'merged', CAST(sum(n - 1) AS BIGINT) FROM beacon_groups WHERE known
+      UNION ALL SELECT 'unmatched', CAST(sum(n) AS BIGINT) FROM beacon_groups WHERE NOT known
+      UNION ALL SELECT 'stored', count(*) FROM validated_hours WHERE validity_status = ''
+      UNION ALL SELECT 'invalid', count(*) FROM validated_hours WHERE validity_status <> ''
+      UNION ALL SELECT 'invalid_' || f || '_' || k, (SELECT count(*) FROM validated_hours
+        WHERE invalid_field = f AND validity_status = CASE k WHEN 'null' THEN 'Invalid due to null' ELSE 'Invalid due to Data type' END)
+      FROM (SELECT unnest({list(CLIENT_EVENT.names)}) AS f) CROSS JOIN (SELECT unnest(['null', 'type']) AS k)""",
     "report_of_days": f"""SELECT Location, Size, {_TRAFFIC} FROM (
       {_impressions_from("validated_hours_of_days")}) GROUP BY ALL""",
     "impressions_after_compaction": _impressions_from("validated_hours"),

@@ -33,7 +33,13 @@ from adstream.sources.notices import batch_file_paths, completion_notices
 from adstream.streaming.arrivals import accepted_stream, read_arrivals, start_arrivals
 from adstream.streaming.ingest import start_notice_ingest
 from adstream.streaming.pipeline import start_stream
-from adstream.streaming.sinks import PARTITIONS, Sinks, append_web_users, feed_messages
+from adstream.streaming.sinks import (
+    PARTITIONS,
+    Sinks,
+    append_web_users,
+    feed_messages,
+    read_accounts,
+)
 from workload import inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -427,6 +433,12 @@ def cleanup_feed(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.text(f"{root}/out/cleanup").select(text.alias("value"))
 
 
+def batch_accounts(spark: SparkSession, sf: str) -> DataFrame:
+    """What the ingest counted of all rows it read, matched, stored and rejected."""
+    accounts = read_accounts(spark, Sinks(f"{_ingested(spark, sf)}/out"))
+    return accounts.groupBy("measure").agg(F.sum("n").alias("n"))
+
+
 def report_of_days(spark: SparkSession, sf: str) -> DataFrame:
     """Traffic by placement over the first two days of the stored table."""
     root = _ingested(spark, sf)
@@ -551,6 +563,7 @@ def queries() -> dict[str, Query]:
         "stored_invalid": stored_invalid,
         "stored_feed": stored_feed,
         "cleanup_feed": cleanup_feed,
+        "batch_accounts": batch_accounts,
         "report_of_days": report_of_days,
         "impressions_after_compaction": impressions_after_compaction,
         "impressions_from_tables": impressions_from_tables,
