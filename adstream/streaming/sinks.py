@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adstream.functions.jsontext import encode_rows
@@ -95,15 +95,60 @@ def write_partitions(
 def write_feed(
     messages: DataFrame, sinks: Sinks, folder: str, topic: str, write: Write, mixed: bool = False
 ) -> None:
-    """Append JSON messages (``value``, ``feed``, ``day``) to a topic or to a file feed."""
+    """Append JSON messages (``value``, ``feed``, ``day``) to a topic or to a file feed.
+
+    A topic keeps what a batch that died had sent before it is replayed: its records have keys by
+    which :func:`sent_once` tells them from the replayed ones.
+    """
     if sinks.kafka:
-        payload = messages.select(F.col("value").cast("binary"))
-        payload.write.format("kafka").options(**sinks.kafka).option("topic", topic).save()
+        records = topic_records(messages, write)
+        records.write.format("kafka").options(**sinks.kafka).option("topic", topic).save()
         return
     rows = messages.select("value", "feed", "day")
     write_partitions(rows, sinks.path(folder), write, ("feed", *PARTITIONS), "text", mixed)
 
 
+def row_mark(columns: Sequence[str]) -> Column:
+    """128 bits that tell a row from all others of a batch, the same whenever it is computed."""
+    halves = [F.xxhash64(F.lit(half), *[F.col(f"`{c}`") for c in columns]) for half in (0, 1)]
+    return F.concat(*[F.lpad(F.lower(F.hex(half)), 16, "0") for half in halves])
+
+
+def topic_records(messages: DataFrame, write: Write) -> DataFrame:
+    """Messages as records of a topic: ``key``, ``value`` and ``headers``.
+
+    The key names run, batch, part, feed and row, so it is equal for the copies of a message that a
+    replay sends, and for no others. Rows are told by ``row_mark`` where they have it, as equal
+    texts may stand for several rows, and else by their text.
+    """
+    place = f"{write.source}/{write.run}/{write.batch_id}/{write.part}"
+    row = F.col("row_mark") if "row_mark" in messages.columns else row_mark(["value"])
+    header = lambda name, value: F.struct(
+        F.lit(name).alias("key"), value.cast("string").cast("binary").alias("value")
+    )
+    return messages.select(
+        F.concat_ws("/", F.lit(place), "feed", row).cast("binary").alias("key"),
+        F.col("value").cast("binary").alias("value"),
+        F.array(
+            header("run", F.lit(write.run)),
+            header("batch_id", F.lit(write.batch_id)),
+            header("part", F.lit(write.part)),
+            header("feed", F.col("feed")),
+        ).alias("headers"),
+    )
+
+
+def sent_once(records: DataFrame, time_column: str = "timestamp", within: str = "1 day") -> DataFrame:
+    """Records of a feed's topic without the copies that replays sent; batch or stream.
+
+    On a stream a key is remembered for ``within`` of the records' time, which has to exceed the
+    time until a batch that died is replayed.
+    """
+    if not records.isStreaming:
+        return records.dropDuplicates(["key"])
+    return records.withWatermark(time_column, within).dropDuplicatesWithinWatermark(["key"])
+
+
 def write_rejected(rows: DataFrame, sinks: Sinks, write: Write) -> None:
     """Keep rows that do not decode, by ``side`` and ``day``."""
     write_partitions(rows, sinks.path("quarantine"), write, ("side", *PARTITIONS))
@@ -128,16 +173,20 @@ def read_accounts(spark: SparkSession, sinks: Sinks) -> DataFrame:
 
 
 def feed_messages(
-    outcome: Outcome, drop: tuple[str, ...] = (), keep: tuple[str, ...] = ()
+    outcome: Outcome, drop: tuple[str, ...] = (), keep: tuple[str, ...] = (), marked: bool = False
 ) -> DataFrame:
     """Every validated row and every enriched row as JSON, told apart by ``feed``.
 
-    ``drop`` names columns left out of the JSON, ``keep`` those put beside it.
+    ``drop`` names columns left out of the JSON, ``keep`` those put beside it. ``marked`` adds a
+    ``row_mark`` of all columns, those left out as well.
     """
     drop = tuple(c for c in drop if c not in keep)
+    beside = (*keep, "row_mark") if marked else keep
 
     def encoded(rows: DataFrame, feed: str) -> DataFrame:
-        return encode_rows(rows.drop(*drop), *keep).withColumn("feed", F.lit(feed))
+        if marked:
+            rows = rows.withColumn("row_mark", row_mark(rows.columns))
+        return encode_rows(rows.drop(*drop), *beside).withColumn("feed", F.lit(feed))
 
     return encoded(outcome.validated, "validated").unionByName(
         encoded(outcome.enriched, "enriched")
@@ -175,7 +224,7 @@ def outcome_writes(
         write_partitions(outcome.invalid, path, write, PARTITIONS, mixed=mixed)
 
     def feed() -> None:
-        messages = feed_messages(outcome, internal, ("day",))
+        messages = feed_messages(outcome, internal, ("day",), marked=bool(sinks.kafka))
         write_feed(messages, sinks, "feed", sinks.feed_topic, write, mixed)
 
     return [impressions, invalid, feed]
