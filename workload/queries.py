@@ -236,11 +236,12 @@ def stream_pipeline(spark: SparkSession, sf: str) -> DataFrame:
         path = f"{root}/in/{side}"
         rows = stage(spark, _replayed(messages, days * 86400), f"{root}/raw/{side}")
         turns = [*range(REPLAY_SLICES), LATE_SLICE + LATE_BY + 0.5, REPLAY_SLICES]
+        # A file from each core a turn: the source takes files by the time they appeared.
+        files = spark.sparkContext.defaultParallelism
         for turn in sorted(turns):
-            # One file a turn: the source takes files by the time they appeared.
             part = rows.where(F.col("turn") == turn).select("publish_ts", "value")
-            part.coalesce(1).write.mode("append").json(path)
-        streams[side] = read_message_stream(spark, "json", path, maxFilesPerTrigger="1")
+            part.repartition(files).write.mode("append").json(path)
+        streams[side] = read_message_stream(spark, "json", path, maxFilesPerTrigger=str(files))
     query = start_stream(
         spark,
         streams["client"],
