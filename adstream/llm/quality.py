@@ -5,7 +5,7 @@ probability of being good. Hosts and their paths are then given Beta posteriors
 probabilities of all their documents: a host's is shrunk toward the global prior, a path's
 toward its host's posterior, the more the fewer documents it has. How strongly is learnt from
 how far hosts, and paths within hosts, really differ. A document's final odds are its own
-evidence times what its path says beyond the global prior.
+evidence times what the other documents of its path say beyond the global prior.
 
 The classifier is fitted on at most about ``TRAIN_ROWS`` labelled rows; every count covers
 all documents.
@@ -131,7 +131,13 @@ def train(measured: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Cla
     n = truth.count()
     spread = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
     some = truth.where(spread * n < rows)
-    drawn = measured.join(some, "doc_id").select("doc_id", "features", "quality").toArrow()
+    # One row for each id, however often its document is repeated.
+    drawn = (
+        measured.join(some, "doc_id")
+        .groupBy("doc_id")
+        .agg(F.min("features").alias("features"), F.min("quality").alias("quality"))
+        .toArrow()
+    )
     order = np.argsort(drawn["doc_id"].to_numpy(), kind="stable")
     x, y = drawn["features"].to_pylist(), drawn["quality"].to_pylist()
     return fit([(x[i], y[i]) for i in order])
@@ -147,6 +153,7 @@ def _weight(mean: F.Column, spread: F.Column, noise: F.Column) -> F.Column:
 def score(measured: DataFrame, classifier: Classifier) -> DataFrame:
     """``doc_id``, ``p_document``, ``p_host``, ``p_path``, ``quality_score``, ``keep``.
 
+    ``p_path`` is the posterior of all documents of the path; the score leaves the row's own out.
     ``measured`` is a stored result of :func:`measure`; each row gives a row.
     """
     spark = measured.sparkSession
@@ -188,6 +195,8 @@ def score(measured: DataFrame, classifier: Classifier) -> DataFrame:
         joined.select(
             "host",
             "path",
+            "n",
+            "good",
             "p_host",
             ((F.col("good") + path_weight * F.col("p_host")) / (own + path_weight)).alias("p_path"),
         ),
@@ -195,7 +204,9 @@ def score(measured: DataFrame, classifier: Classifier) -> DataFrame:
     )
     logit = lambda c: F.log(c / (1 - c))
     inside = lambda c: F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), c))
-    odds = logit(inside(F.col("p"))) + logit(inside(F.col("p_path"))) - F.lit(float(np.log(prior / (1 - prior))))
+    # A document's own evidence is not counted again in that of its path.
+    others = (F.col("good") - F.col("p") + path_weight * F.col("p_host")) / (F.col("n") - 1 + path_weight)
+    odds = logit(inside(F.col("p"))) + logit(inside(others)) - F.lit(float(np.log(prior / (1 - prior))))
     return (
         docs.join(by_path, ["host", "path"])
         .withColumn("quality_score", 1 / (1 + F.exp(-odds)))

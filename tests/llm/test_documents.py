@@ -360,3 +360,54 @@ def test_a_long_item_is_matched_in_short_time(spark):
     found = shard.search(block)[0]
     assert time.perf_counter() - begun < 2
     assert sum(len(at) for _, at in found) == 16_000 - 9
+
+
+def plain_posteriors(rows):
+    """Scores of (host, path, p) rows by the formulas of the operator, group by group."""
+    def groups(key):
+        found = {}
+        for row in rows:
+            found.setdefault(key(row), []).append(row[2])
+        return found
+
+    def weight(mean, rates):
+        if not rates:
+            return quality.WEIGHT[1]
+        spread = np.mean([(rate - centre) ** 2 for rate, centre, _ in rates])
+        noise = np.mean([mean * (1 - mean) / n for _, _, n in rates])
+        return float(np.clip(mean * (1 - mean) / max(spread - noise, 1e-9) - 1, *quality.WEIGHT))
+
+    hosts, paths = groups(lambda r: r[0]), groups(lambda r: r[:2])
+    prior = min(max(np.mean([r[2] for r in rows]), 1e-4), 1 - 1e-4)
+    w = weight(prior, [(np.mean(p), prior, len(p)) for p in hosts.values() if len(p) > 1])
+    of_host = {h: (sum(p) + w * prior) / (len(p) + w) for h, p in hosts.items()}
+    v = weight(prior, [(np.mean(p), of_host[k[0]], len(p)) for k, p in paths.items() if len(p) > 1])
+    logit = lambda x: np.log(np.clip(x, 1e-6, 1 - 1e-6) / (1 - np.clip(x, 1e-6, 1 - 1e-6)))
+    for host, path, p in rows:
+        own = paths[host, path]
+        of_path = (sum(own) + v * of_host[host]) / (len(own) + v)
+        others = (sum(own) - p + v * of_host[host]) / (len(own) - 1 + v)
+        odds = logit(p) + logit(others) - np.log(prior / (1 - prior))
+        yield of_host[host], of_path, 1 / (1 + np.exp(-odds))
+
+
+def test_posteriors_equal_plain_formulas(spark):
+    rng = random.Random(4)
+    rows = [(i, "word " * rng.randint(1, 30) + "!" * rng.randint(0, 9), f"p{rng.randint(0, 3)}", f"h{rng.randint(0, 6)}") for i in range(150)]
+    rows += [(900 + i, "same text", "hot", "hot") for i in range(100)] + [(7, None, None, None)]
+    df = frame(spark, rows)
+    labels = spark.createDataFrame([(i, i % 3 > 0) for i in range(80)], "doc_id long, quality boolean")
+    labels = labels.withColumn("quality", F.col("quality").cast("int"))
+    got = quality.classify(df, labels, F.col("source"), F.col("lang"))
+    measured = quality.measure(df, F.col("source"), F.col("lang")).collect()
+    classifier = quality.train(quality.measure(df, F.col("source"), F.col("lang")), labels)
+    x = np.array([quality.features(t) for _, t, _, _ in rows], float)
+    p = 1 / (1 + np.exp(-classifier.odds(x)))
+    plain = list(plain_posteriors([(h or "", a or "", q) for (_, _, a, h), q in zip(rows, p.tolist(), strict=True)]))
+    assert len(measured) == len(rows)
+    expected = sorted((r[0], round(q, 5), *(round(float(v), 5) for v in own)) for r, q, own in zip(rows, p, plain, strict=True))
+    found = sorted(
+        (r.doc_id, round(r.p_document, 5), round(r.p_host, 5), round(r.p_path, 5), round(r.quality_score, 5)) for r in got.collect()
+    )
+    for a, b in zip(found, expected, strict=True):
+        assert a[0] == b[0] and np.allclose(a[1:], b[1:], atol=3e-5), (a, b)
