@@ -297,10 +297,37 @@ def _hourly(spark: SparkSession, sf: str, root: str) -> DataFrame:
     return notices.select(now, message, (F.crc32("folder_path") % 2).alias("run"))
 
 
-def _ingest(spark: SparkSession, sf: str, name: str, runs: int = 1) -> str:
+_SHARED: dict[tuple[str, str, str], str] = {}
+
+
+def _shared(spark: SparkSession, sf: str, name: str, table: str, make: Callable[[str], None]) -> str:
+    """The root of what several queries of one session read; made once, unless it is gone."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key in _SHARED:
+        try:
+            spark.read.format("binaryFile").load(f"{_SHARED[key]}/{table}")
+        except AnalysisException:
+            del _SHARED[key]
+    if key not in _SHARED:
+        root = scratch_path(spark, name)
+        make(root)
+        _SHARED[key] = root
+    return _SHARED[key]
+
+
+def _announced(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
+    """The root of the hourly folders and their notices, as :func:`_hourly` lays them out."""
+
+    def make(root: str) -> None:
+        _hourly(spark, sf, root).write.parquet(f"{root}/announced")
+
+    root = _shared(spark, sf, "hourly", "announced", make)
+    return root, spark.read.parquet(f"{root}/announced")
+
+
+def _ingest(spark: SparkSession, sf: str, root: str, runs: int = 1) -> None:
     """Announce all hourly folders to one or two ingest jobs on one root."""
-    root = scratch_path(spark, name)
-    notices = stage(spark, _hourly(spark, sf, root), f"{root}/announced")
+    notices = _announced(spark, sf)[1]
     for run in range(runs):
         own = notices.where(F.col("run") == run) if runs > 1 else notices
         own.select("publish_ts", "value").write.json(f"{root}/notices/{run}")
@@ -313,23 +340,11 @@ def _ingest(spark: SparkSession, sf: str, name: str, runs: int = 1) -> str:
             trigger={"availableNow": True},
         )
         query.awaitTermination()
-    return root
-
-
-_INGESTED: dict[tuple[str, str], str] = {}
 
 
 def _ingested(spark: SparkSession, sf: str) -> str:
     """The root of one ingest of all folders, which the queries over its outputs share."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key in _INGESTED:
-        try:
-            spark.read.text(f"{_INGESTED[key]}/out/cleanup")
-        except AnalysisException:  # the scratch folder is gone
-            del _INGESTED[key]
-    if key not in _INGESTED:
-        _INGESTED[key] = _ingest(spark, sf, "ingested")
-    return _INGESTED[key]
+    return _shared(spark, sf, "ingested", "out/cleanup", lambda root: _ingest(spark, sf, root))
 
 
 def notice_ingest(spark: SparkSession, sf: str) -> DataFrame:
@@ -339,7 +354,9 @@ def notice_ingest(spark: SparkSession, sf: str) -> DataFrame:
 
 def ingest_two_runs(spark: SparkSession, sf: str) -> DataFrame:
     """The same from two checkpoints, each with half the folders, into one table."""
-    return read_table(spark, f"{_ingest(spark, sf, 'two_runs', 2)}/out", "Ad_impressions")
+    root = scratch_path(spark, "two_runs")
+    _ingest(spark, sf, root, 2)
+    return read_table(spark, f"{root}/out", "Ad_impressions")
 
 
 # Notices of one window come in so many micro-batches, each of a job started anew.
@@ -353,7 +370,7 @@ def match_notice_window(spark: SparkSession, sf: str) -> DataFrame:
     """
     root = scratch_path(spark, "notice_window")
     sinks = Sinks(f"{root}/out")
-    notices = stage(spark, _hourly(spark, sf, root), f"{root}/announced")
+    notices = _announced(spark, sf)[1]
     turn = F.pmod(F.crc32("value"), F.lit(NOTICE_TURNS)).alias("turn")
     arrived = (F.lit("2024-03-01 00:00:05").cast("timestamp")).alias("publish_ts")
     late = notices.orderBy("value").limit(1).select(arrived, "value", F.lit(NOTICE_TURNS + 1).alias("turn"))
@@ -430,7 +447,7 @@ def stored_feed(spark: SparkSession, sf: str) -> DataFrame:
 def cleanup_feed(spark: SparkSession, sf: str) -> DataFrame:
     """Completion messages, without the scratch folder in front."""
     root = _ingested(spark, sf)
-    text = F.replace("value", F.lit(f"{root}/hourly"), F.lit(""))
+    text = F.replace("value", F.lit(f"{_announced(spark, sf)[0]}/hourly"), F.lit(""))
     return spark.read.text(f"{root}/out/cleanup").select(text.alias("value"))
 
 
