@@ -12,10 +12,15 @@ from pyspark.sql import functions as F
 from adstream.llm.common import saved, scratch
 
 
+def _stored(least: DataFrame) -> DataFrame:
+    """A minimum per node as a table: of an aggregate Spark would not split the join at a hot node."""
+    return saved(least, scratch(least.sparkSession, "least"))
+
+
 def _large_star(links: DataFrame) -> DataFrame:
     """Link the larger neighbours of each node to the smallest one it knows."""
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
+    least = _stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least")))
     return (
         both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
     )
@@ -24,7 +29,7 @@ def _large_star(links: DataFrame) -> DataFrame:
 def _small_star(links: DataFrame) -> DataFrame:
     """Link each node and its smaller neighbours to the smallest of them."""
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("least"))
+    least = _stored(down.groupBy("a").agg(F.min("b").alias("least")))
     return (
         down.join(least, "a")
         .select(F.explode(F.array("a", "b")).alias("a"), F.col("least").alias("b"))
