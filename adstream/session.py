@@ -16,6 +16,8 @@ BATCH_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # A task writes up to so many partitions side by side; beyond that it sorts its rows, and spills.
+    "spark.sql.maxConcurrentOutputFileWriters": "64",
 }
 
 # State lives off-heap on local disk and is shipped as change logs; the slower

@@ -145,7 +145,8 @@ def read_announced_lines(
     files = spark.createDataFrame(rows, f"_file string, {columns}")
     file = F.regexp_replace("_metadata.file_path", _LOCAL, "file:/").alias("_file")
     found = lines.select("value", file)
-    return found.join(files, "_file").drop("_file")
+    # The names are the driver's, so few; lines are decoded in the tasks that read them.
+    return found.join(F.broadcast(files), "_file").drop("_file")
 
 
 def read_batch_events(spark: SparkSession, paths: str | Iterable[str], side: str) -> DataFrame:

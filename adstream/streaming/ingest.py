@@ -29,10 +29,10 @@ from adstream.streaming.pipeline import DimensionSource, current
 from adstream.streaming.sinks import (
     Sinks,
     Write,
+    dealt_by_day,
     outcome_writes,
     run_of,
     run_together,
-    several_days,
     write_accounts,
     write_feed,
     write_rejected,
@@ -189,6 +189,8 @@ def _decoded(spark: SparkSession, announced: Sequence[Row], scope: Sequence[str]
         if "window" in scope:
             lines = lines.withColumn("window", F.window("arrived", WINDOW))
         decoded = decode(lines.drop("arrived"), EVENT_SCHEMAS[side])
+        # Only malformed lines are wanted as they came.
+        decoded = decoded.withColumn("value", F.when(F.col(MALFORMED), F.col("value")))
         sides.append(decoded.withColumn("side", F.lit(side)))
     return sides[0].unionByName(sides[1], allowMissingColumns=True)
 
@@ -210,7 +212,7 @@ def _store(
     ]
     counted, stored, invalid = Observation(), Observation(), Observation()
     matched = stage(spark, match_events(*events, scope, counted=counted), sinks.staging(write))
-    mixed = several_days(matched)
+    matched = dealt_by_day(matched, sinks.staging(write, "dealt"))
     outcome = process_matched(matched, current(dims), numeric_check, keep=("day",), staged=True)
     # Counted in the passes that write them.
     outcome = outcome._replace(
@@ -223,7 +225,7 @@ def _store(
         write_rejected(bad, sinks, write)
 
     internal = ("folder_path", "window", "day", "hour")
-    run_together(spark, *outcome_writes(outcome, sinks, write, internal, mixed), quarantine)
+    run_together(spark, *outcome_writes(outcome, sinks, write, internal), quarantine)
     found: Counter[str] = Counter()
     for observed in (counted, stored, invalid):
         found.update({name: n or 0 for name, n in observed.get.items()})

@@ -16,10 +16,10 @@ from adstream.sources.dimensions import Dimensions
 from adstream.streaming.sinks import (
     Sinks,
     Write,
+    dealt_by_day,
     outcome_writes,
     run_of,
     run_together,
-    several_days,
     write_rejected,
 )
 
@@ -79,10 +79,10 @@ def start_stream(
         matched = stage(spark, batch.withColumn("day", day), sinks.staging(write))
         if matched.isEmpty():
             return
-        mixed = several_days(matched)
+        matched = dealt_by_day(matched, sinks.staging(write, "dealt"))
         outcome = process_matched(matched, current(dims), numeric_check, keep=("day",), staged=True)
         internal = ("window", "publish_ts", "day")
-        run_together(spark, *outcome_writes(outcome, sinks, write, internal, mixed))
+        run_together(spark, *outcome_writes(outcome, sinks, write, internal))
 
     configure(spark)
     matched = matched_stream(client, server, delay)

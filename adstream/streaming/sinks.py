@@ -11,13 +11,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adstream.functions.jsontext import encode_rows
-from adstream.plans.batch import Outcome
+from adstream.plans.batch import Outcome, stage
 from adstream.schemas import WEB_USERS
+from adstream.session import session_conf
 
 # Every run writes to partitions of its own: a run is one checkpoint of one job, known by
 # the id that the checkpoint gives its query, which restarts keep.
 RUN = ("source", "run", "batch_id", "part")
 PARTITIONS = ("day", *RUN)
+# Spark's readers unpack it by the ending of the file names.
+PACKED_TEXT = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 
 
 @dataclass(frozen=True)
@@ -83,19 +86,19 @@ def write_partitions(
     rows = _mark(df, write)
     if mixed:
         rows = rows.hint("rebalance", *[F.col(p) for p in partitions])
+    # Texts are many times the size of the rows they tell; parquet is compressed by itself.
+    packed = PACKED_TEXT if fmt == "text" else {}
     (
         rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .options(partitionOverwriteMode="dynamic", **packed)
         .partitionBy(*partitions)
         .format(fmt)
         .save(path)
     )
 
 
-def write_feed(
-    messages: DataFrame, sinks: Sinks, folder: str, topic: str, write: Write, mixed: bool = False
-) -> None:
-    """Append JSON messages (``value``, ``feed``, ``day``) to a topic or to a file feed.
+def write_feed(messages: DataFrame, sinks: Sinks, folder: str, topic: str, write: Write) -> None:
+    """Append JSON messages (``value``, ``feed``, ``day``) to a topic or to a file feed (gzip).
 
     A topic keeps what a batch that died had sent before it is replayed: its records have keys by
     which :func:`sent_once` tells them from the replayed ones.
@@ -105,7 +108,7 @@ def write_feed(
         records.write.format("kafka").options(**sinks.kafka).option("topic", topic).save()
         return
     rows = messages.select("value", "feed", "day")
-    write_partitions(rows, sinks.path(folder), write, ("feed", *PARTITIONS), "text", mixed)
+    write_partitions(rows, sinks.path(folder), write, ("feed", *PARTITIONS), "text")
 
 
 def row_mark(columns: Sequence[str]) -> Column:
@@ -206,7 +209,7 @@ def run_together(spark: SparkSession, *writes: Callable[[], None]) -> None:
 
 
 def outcome_writes(
-    outcome: Outcome, sinks: Sinks, write: Write, internal: tuple[str, ...], mixed: bool = False
+    outcome: Outcome, sinks: Sinks, write: Write, internal: tuple[str, ...]
 ) -> list[Callable[[], None]]:
     """The writes of both tables and the feed of one batch.
 
@@ -217,15 +220,15 @@ def outcome_writes(
 
     def impressions() -> None:
         path = sinks.path("Ad_impressions")
-        write_partitions(outcome.impressions, path, write, PARTITIONS, mixed=mixed)
+        write_partitions(outcome.impressions, path, write, PARTITIONS)
 
     def invalid() -> None:
         path = sinks.path("Ad_impressions_Invalid")
-        write_partitions(outcome.invalid, path, write, PARTITIONS, mixed=mixed)
+        write_partitions(outcome.invalid, path, write, PARTITIONS)
 
     def feed() -> None:
         messages = feed_messages(outcome, internal, ("day",), marked=bool(sinks.kafka))
-        write_feed(messages, sinks, "feed", sinks.feed_topic, write, mixed)
+        write_feed(messages, sinks, "feed", sinks.feed_topic, write)
 
     return [impressions, invalid, feed]
 
@@ -235,6 +238,24 @@ def several_days(rows: DataFrame) -> bool:
     return len(rows.select("day").distinct().limit(2).collect()) > 1
 
 
+# Shuffled bytes of a task where matched rows are dealt by day: the feed rows made of them are many
+# times as large.
+DEALT_BYTES = "16m"
+
+
+def dealt_by_day(matched: DataFrame, path: str) -> DataFrame:
+    """A staged batch, staged once more with the rows of a day together where it has several.
+
+    The matched rows are a fraction of the tables and feeds made of them, which their tasks can then
+    write as they are. AQE joins small days and splits large ones.
+    """
+    if not several_days(matched):
+        return matched
+    session = matched.sparkSession
+    with session_conf(session, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": DEALT_BYTES}):
+        return stage(session, matched.hint("rebalance", F.col("day")), path)
+
+
 def append_web_users(rows: DataFrame, path: str) -> None:
     """Append backfilled users that the table at ``path`` lacks.
 

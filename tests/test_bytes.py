@@ -1,0 +1,64 @@
+"""What the jobs shuffle and write beside their results."""
+
+import glob
+
+import pytest
+from pyspark.sql import functions as F
+
+from adstream.session import scratch_path
+from adstream.sources.events import read_announced_lines
+from adstream.streaming.ingest import ingest_folders
+from adstream.streaming.sinks import PARTITIONS, Sinks, Write, dealt_by_day, write_partitions
+from tests.rows import client_json, server_json, values
+from tests.test_streaming import notice, put_folder
+from tests.test_tables import dims
+
+
+@pytest.fixture
+def root(spark):
+    return scratch_path(spark, "test")
+
+
+def local(path):
+    return path.removeprefix("file:")
+
+
+def test_announced_lines_are_read_without_a_shuffle(spark, tmp_path):
+    announced = {}
+    for i in range(3):
+        put_folder(spark, tmp_path, f"20240101/0{i}", [client_json()], [server_json()])
+        announced[f"{tmp_path}/20240101/0{i}"] = (f"said {i}",)
+    lines = read_announced_lines(spark, announced, "said string")
+    assert values(lines, "said") == [(f"said {i}",) for i in range(3) for _ in range(2)]
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan
+
+
+def test_well_formed_lines_are_not_staged_beside_their_fields(spark, root, tmp_path):
+    put_folder(spark, tmp_path, "20240101/00", [client_json(), "oops"], [server_json()])
+    notices = spark.createDataFrame([notice(tmp_path, "20240101/00")])
+    ingest_folders(spark, notices, dims(spark), Sinks(f"{root}/out"), 0)
+    staged = spark.read.parquet(f"{root}/out/_staging/batch/none/decoded")
+    assert values(staged, "value", "malformed") == [("oops", True), (None, False), (None, False)]
+    assert values(spark.read.parquet(f"{root}/out/quarantine"), "value") == [("oops",)]
+
+
+def test_rows_of_several_days_are_dealt_by_day_once(spark, root):
+    several = spark.range(0, 400, 1, 8).withColumn("day", (20240101 + F.col("id") % 4).cast("string"))
+    several.write.parquet(f"{root}/matched")
+    matched = spark.read.parquet(f"{root}/matched")
+    dealt = dealt_by_day(matched, f"{root}/dealt")
+    assert values(dealt, "id", "day") == values(several, "id", "day")
+    # Each day lies in one file.
+    files = dealt.groupBy("day").agg(F.count_distinct("_metadata.file_path").alias("n"))
+    assert values(files, "n") == [(1,)] * 4
+    one = matched.where("day = '20240101'")
+    assert dealt_by_day(one, f"{root}/none") is one
+
+
+def test_a_task_writes_several_partitions_without_a_sort(spark, root):
+    rows = spark.range(40).select(F.lit("m").alias("value"), F.lit("f").alias("feed"), (F.col("id") % 4).alias("day"))
+    write_partitions(rows.coalesce(1), f"{root}/feed", Write("s", "r", 0), ("feed", *PARTITIONS), "text")
+    assert spark.read.text(f"{root}/feed").count() == 40
+    assert len(glob.glob(f"{local(root)}/feed/**/*.txt.gz", recursive=True)) == 4
+    assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) >= 4

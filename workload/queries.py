@@ -34,6 +34,7 @@ from adstream.streaming.arrivals import accepted_stream, read_arrivals, start_ar
 from adstream.streaming.ingest import start_notice_ingest
 from adstream.streaming.pipeline import start_stream
 from adstream.streaming.sinks import (
+    PACKED_TEXT,
     PARTITIONS,
     Sinks,
     append_web_users,
@@ -240,7 +241,7 @@ def stream_pipeline(spark: SparkSession, sf: str) -> DataFrame:
         files = spark.sparkContext.defaultParallelism
         for turn in sorted(turns):
             part = rows.where(F.col("turn") == turn).select("publish_ts", "value")
-            part.repartition(files).write.mode("append").json(path)
+            part.repartition(files).write.mode("append").options(**PACKED_TEXT).json(path)
         streams[side] = read_message_stream(spark, "json", path, maxFilesPerTrigger=str(files))
     query = start_stream(
         spark,
@@ -281,6 +282,7 @@ def _hourly(spark: SparkSession, sf: str, root: str) -> DataFrame:
         .unionByName(lines[1])
         .repartition(tasks, *folders)
         .write.partitionBy(*folders)
+        .options(**PACKED_TEXT)
         .text(f"{root}/hourly")
     )
     # Spark lays folders out as name=value; the notices say so.
