@@ -41,6 +41,9 @@ PUBLISHER_IDS = ("123", "125", "168", "189", "195")
 PAGE_IDS = ("SPORTS_1", "FINANCE_3", "FASHION_4", "TECH_5", "GAMES_3", "FRONTPAGE_1")
 AD_POSITIONS = ("LTOP1", "LTOP2", "BANNER1", "RBANNER1", "FOOTER1", "SCROLL1")
 
+# The second in which a row of ``events`` happened.
+SECOND = "unix_timestamp(CAST(ts AS TIMESTAMP))"
+
 KEY_FIELDS = ("ad_id", "user_id", "publisher_id", "page_id", "ad_position")
 
 
@@ -55,13 +58,18 @@ def _pick(values: tuple[str, ...], index: str) -> str:
 
 def event_core(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ad view per event, before its two sides are told apart."""
-    base = table(spark, sf_dir, "events").selectExpr(
+    return core_of(table(spark, sf_dir, "events"))
+
+
+def core_of(events: DataFrame) -> DataFrame:
+    """The ad views of rows of ``events``, which are a fraction of the messages made of them."""
+    base = events.selectExpr(
         "event_id",
         "user_id AS uid",
         "event_type AS et",
         "value",
         "event_id % 97 AS k",
-        "unix_timestamp(CAST(ts AS TIMESTAMP)) AS ep",
+        f"{SECOND} AS ep",
     )
     return base.selectExpr(
         "event_id",

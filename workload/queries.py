@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import partial
 
 from pyspark.errors import AnalysisException
@@ -211,37 +211,36 @@ def batch_folders(spark: SparkSession, sf: str) -> DataFrame:
 REPLAY_SLICES, LATE_SLICE, LATE_BY = 6, 1, 3
 
 
-def _replayed(messages: DataFrame, delay_s: int) -> DataFrame:
-    """Messages with the place of their arrival, and last ones that close all windows."""
-    span = messages.agg(F.min("ep").alias("first"), F.max("ep").alias("last"))
-    width = (F.col("last") - F.col("first") + 1) / REPLAY_SLICES
-    slice_ = F.floor((F.col("ep") - F.col("first")) / width).cast("int")
+def _turns(
+    events: DataFrame, raw: Callable[[DataFrame], DataFrame], delay_s: int, files: int
+) -> Iterator[DataFrame]:
+    """The messages ``raw`` makes, in turns of arrival; the last turn's one closes all windows.
+
+    Rows of ``events`` are dealt out, not the messages made of them, which are many times as large.
+    """
+    span = raw(inputs.core_of(events)).agg(F.min("ep").alias("first"), F.max("ep").alias("last"))
+    first, last = (F.lit(second).cast("long") for second in span.first())
+    slice_ = F.floor((F.expr(inputs.SECOND) - first) / ((last - first + 1) / REPLAY_SLICES)).cast("int")
     late = F.when(slice_ == LATE_SLICE, LATE_SLICE + LATE_BY + 0.5).otherwise(slice_)
-    ordered = messages.join(F.broadcast(span)).select("publish_ts", "value", late.alias("turn"))
-    closing = span.select(
-        F.timestamp_seconds(F.col("last") + delay_s + 60).alias("publish_ts"),
-        F.lit("{}").alias("value"),
-        F.lit(float(REPLAY_SLICES)).alias("turn"),
-    )
-    return ordered.unionByName(closing)
+    for turn in sorted([*range(REPLAY_SLICES), LATE_SLICE + LATE_BY + 0.5]):
+        yield raw(inputs.core_of(events.where(late == turn).repartition(files))).select("publish_ts", "value")
+    closing = F.timestamp_seconds(last + delay_s + 60).alias("publish_ts")
+    yield events.sparkSession.range(1).select(closing, F.lit("{}").alias("value"))
 
 
 def stream_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     """Replay both sides as streams, a slice a micro-batch and one of them late; read the table."""
     root = scratch_path(spark, "stream_pipeline")
-    core = inputs.event_core(spark, sf)
-    raw = {"client": inputs.client_raw(core), "server": inputs.server_raw(core)}
+    events = inputs.table(spark, sf, "events")
+    raw = {"client": inputs.client_raw, "server": inputs.server_raw}
     days = 60
     streams = {}
     for side, messages in raw.items():
         path = f"{root}/in/{side}"
-        rows = stage(spark, _replayed(messages, days * 86400), f"{root}/raw/{side}")
-        turns = [*range(REPLAY_SLICES), LATE_SLICE + LATE_BY + 0.5, REPLAY_SLICES]
         # A file from each core a turn: the source takes files by the time they appeared.
         files = spark.sparkContext.defaultParallelism
-        for turn in sorted(turns):
-            part = rows.where(F.col("turn") == turn).select("publish_ts", "value")
-            part.repartition(files).write.mode("append").options(**PACKED_TEXT).json(path)
+        for part in _turns(events, messages, days * 86400, files):
+            part.write.mode("append").options(**PACKED_TEXT).json(path)
         streams[side] = read_message_stream(spark, "json", path, maxFilesPerTrigger=str(files))
     query = start_stream(
         spark,
