@@ -30,18 +30,21 @@ def process_matched(
     dims: Dimensions,
     numeric_check: bool = False,
     keep: Sequence[str] = (),
-    staged: bool = False,
+    agents: str | None = None,
 ) -> Outcome:
     """Validate, split, enrich and project matched beacons.
 
     ``keep`` names columns the two table projections carry in addition. Where
-    ``matched`` is ``staged``, so that it can be read twice, its user agents are
-    parsed once each into a lookup table, unless ``dims`` brings one.
+    ``matched`` is staged, so that it can be read twice, give a path for ``agents``:
+    its user agents are parsed once each into a lookup table stored there, unless
+    ``dims`` brings one. Plans over it see its true size, so a small one is broadcast;
+    a bare aggregate is sized by its input, and all rows would be shuffled to meet it.
     """
     validated = validate_client_events(matched, numeric_check)
     valid, invalid = split_validity(validated)
-    if staged and dims.user_agent is None:
-        dims = replace(dims, user_agent=build_user_agent_dim(valid))
+    if agents and dims.user_agent is None:
+        found = stage(matched.sparkSession, build_user_agent_dim(valid), agents)
+        dims = replace(dims, user_agent=found)
     enriched = enrich_events(valid, dims)
     return Outcome(
         validated,
@@ -79,4 +82,4 @@ def run_batch(
     matched = match_events(client, server, scope, order_by)
     if staging:
         matched = stage(client.sparkSession, matched, staging)
-    return process_matched(matched, dims, numeric_check, staged=bool(staging))
+    return process_matched(matched, dims, numeric_check, agents=staging and f"{staging}_agents")

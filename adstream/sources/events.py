@@ -141,10 +141,14 @@ def read_announced_lines(
     with listing(spark):
         lines = spark.read.text(sorted(announced))
     found = owners(lines.inputFiles(), announced)
-    rows = [(re.sub(_LOCAL, "file:/", file), *announced[path]) for file, path in found]
+    # Both spellings of a name, so that no line's has to be changed.
+    rows = [
+        (name, *announced[path])
+        for file, path in found
+        for name in {file, re.sub(_LOCAL, "file:/", file), re.sub(_LOCAL, "file:///", file)}
+    ]
     files = spark.createDataFrame(rows, f"_file string, {columns}")
-    file = F.regexp_replace("_metadata.file_path", _LOCAL, "file:/").alias("_file")
-    found = lines.select("value", file)
+    found = lines.select("value", F.col("_metadata.file_path").alias("_file"))
     # The names are the driver's, so few; lines are decoded in the tasks that read them.
     return found.join(F.broadcast(files), "_file").drop("_file")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from itertools import count, islice
@@ -27,12 +28,14 @@ from adstream.sources.events import listed_sizes, read_announced_lines
 from adstream.sources.notices import batch_file_paths, completion_notices
 from adstream.streaming.pipeline import DimensionSource, current
 from adstream.streaming.sinks import (
+    DEALT_CONF,
+    STAGED_CONF,
     Sinks,
     Write,
-    dealt_by_day,
     outcome_writes,
     run_of,
     run_together,
+    several_days,
     write_accounts,
     write_feed,
     write_rejected,
@@ -44,6 +47,9 @@ SOURCE = "batch"
 LISTED = 2048
 SLICE_FILES = 50_000
 SLICE_BYTES = 1 << 40
+# Rows of a partition of the match before AQE joins small ones, so that none has to spill.
+MATCHED_ROWS = 250_000
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 SCOPE = ("folder_path",)
 _SAID = ("bucket", "folder_path", "client_events_file", "server_events_file", "arrived")
 _LINE = "folder_path string, arrived timestamp, day string, hour string"
@@ -166,12 +172,21 @@ def ingest_folders(
                 staged[name] = spark.read.schema(frame.schema).parquet(sinks.staging(whole, name))
             accounts.update(read.get)
     if staged:
-        accounts.update(_store(spark, staged["decoded"], dims, sinks, whole, numeric_check, scope))
+        rows = sum(accounts[f"{side}_read"] for side in _SIDES)
+        sized = {**STAGED_CONF, _INITIAL: str(_partitions(spark, rows))}
+        with session_conf(spark, sized):
+            accounts.update(_store(spark, staged["decoded"], dims, sinks, whole, numeric_check, scope))
         write_accounts(spark, accounts, sinks, whole)
         messages = completion_notices(staged["done"], "day").withColumn("feed", F.lit("cleanup"))
         write_feed(messages, sinks, "cleanup", sinks.cleanup_topic, whole)
 
 
+def _partitions(spark: SparkSession, rows: int) -> int:
+    """Partitions that so many rows are matched in, at least those of the session."""
+    own = spark.conf.get(_INITIAL, None) or spark.conf.get("spark.sql.shuffle.partitions")
+    return max(int(own), math.ceil(rows / MATCHED_ROWS))
+
+
 def _said(spark: SparkSession, announced: Sequence[Row]) -> DataFrame:
     rows = [(*(row[n] for n in _SAID[:-1]), row.day) for row in announced]
     return spark.createDataFrame(rows, f"{', '.join(f'{n} string' for n in _SAID[:-1])}, day string")
@@ -211,9 +226,14 @@ def _store(
         for side in _SIDES
     ]
     counted, stored, invalid = Observation(), Observation(), Observation()
-    matched = stage(spark, match_events(*events, scope, counted=counted), sinks.staging(write))
-    matched = dealt_by_day(matched, sinks.staging(write, "dealt"))
-    outcome = process_matched(matched, current(dims), numeric_check, keep=("day",), staged=True)
+    matched = match_events(*events, scope, counted=counted)
+    # Staged once, with the rows of a day together where there are several.
+    if several_days(decoded):
+        matched = matched.hint("rebalance", F.col("day"))
+    with session_conf(spark, DEALT_CONF):
+        matched = stage(spark, matched, sinks.staging(write))
+    agents = sinks.staging(write, "agents")
+    outcome = process_matched(matched, current(dims), numeric_check, keep=("day",), agents=agents)
     # Counted in the passes that write them.
     outcome = outcome._replace(
         impressions=outcome.impressions.observe(stored, F.count(F.lit(1)).alias("stored")),

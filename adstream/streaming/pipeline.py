@@ -80,7 +80,8 @@ def start_stream(
         if matched.isEmpty():
             return
         matched = dealt_by_day(matched, sinks.staging(write, "dealt"))
-        outcome = process_matched(matched, current(dims), numeric_check, keep=("day",), staged=True)
+        agents = sinks.staging(write, "agents")
+        outcome = process_matched(matched, current(dims), numeric_check, keep=("day",), agents=agents)
         internal = ("window", "publish_ts", "day")
         run_together(spark, *outcome_writes(outcome, sinks, write, internal))
 

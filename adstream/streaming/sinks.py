@@ -241,6 +241,10 @@ def several_days(rows: DataFrame) -> bool:
 # Shuffled bytes of a task where matched rows are dealt by day: the feed rows made of them are many
 # times as large.
 DEALT_BYTES = "16m"
+DEALT_CONF = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": DEALT_BYTES}
+# Bytes of a staged copy that a task reads: rows are many times as large as their packed columns,
+# and few large tasks would spill what they sort and end far apart.
+STAGED_CONF = {"spark.sql.files.maxPartitionBytes": "8m"}
 
 
 def dealt_by_day(matched: DataFrame, path: str) -> DataFrame:
@@ -252,7 +256,7 @@ def dealt_by_day(matched: DataFrame, path: str) -> DataFrame:
     if not several_days(matched):
         return matched
     session = matched.sparkSession
-    with session_conf(session, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": DEALT_BYTES}):
+    with session_conf(session, DEALT_CONF):
         return stage(session, matched.hint("rebalance", F.col("day")), path)
 
 

@@ -5,11 +5,13 @@ import glob
 import pytest
 from pyspark.sql import functions as F
 
-from adstream.session import scratch_path
+from adstream.operators.enrich import enrich_browser
+from adstream.plans.batch import process_matched, stage
+from adstream.session import scratch_path, session_conf
 from adstream.sources.events import read_announced_lines
-from adstream.streaming.ingest import ingest_folders
+from adstream.streaming.ingest import MATCHED_ROWS, _partitions, ingest_folders
 from adstream.streaming.sinks import PARTITIONS, Sinks, Write, dealt_by_day, write_partitions
-from tests.rows import client_json, server_json, values
+from tests.rows import client_json, clients, server_json, values
 from tests.test_streaming import notice, put_folder
 from tests.test_tables import dims
 
@@ -62,3 +64,34 @@ def test_a_task_writes_several_partitions_without_a_sort(spark, root):
     assert spark.read.text(f"{root}/feed").count() == 40
     assert len(glob.glob(f"{local(root)}/feed/**/*.txt.gz", recursive=True)) == 4
     assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) >= 4
+
+
+def test_rows_are_not_shuffled_to_meet_few_user_agents(spark, root):
+    rows = clients(spark, *[{"ad_id": str(i), "user_agent": f"agent {i % 3}"} for i in range(2000)])
+    matched = stage(spark, rows, f"{root}/matched")
+    # Above the threshold are the rows, not the table of their agents.
+    with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "20k"}):
+        outcome = process_matched(matched, dims(spark), agents=f"{root}/agents")
+        assert spark.read.parquet(f"{root}/agents").count() == 3
+        found = enrich_browser(matched, spark.read.parquet(f"{root}/agents"))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert outcome.validated.count() == 2000
+
+
+def test_matched_rows_of_several_days_are_staged_once(spark, root, tmp_path):
+    folders = [f"2024010{i}/00" for i in (1, 2, 3)]
+    for folder in folders:
+        put_folder(spark, tmp_path, folder, [client_json()], [server_json()])
+    notices = spark.createDataFrame([notice(tmp_path, folder) for folder in folders])
+    ingest_folders(spark, notices, dims(spark), Sinks(f"{root}/out"), 0)
+    staged = glob.glob(f"{local(root)}/out/_staging/batch/none/*")
+    assert {path.rpartition("/")[2] for path in staged} == {"decoded", "done", "matched", "agents"}
+    matched = spark.read.parquet(f"{root}/out/_staging/batch/none/matched")
+    assert values(matched, "day") == [("20240101",), ("20240102",), ("20240103",)]
+
+
+def test_partitions_of_the_match_grow_with_its_rows(spark):
+    own = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert _partitions(spark, 0) == own
+    assert _partitions(spark, 100 * own * MATCHED_ROWS) == 100 * own

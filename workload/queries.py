@@ -259,7 +259,12 @@ def stream_pipeline(spark: SparkSession, sf: str) -> DataFrame:
 def _hourly(spark: SparkSession, sf: str, root: str) -> DataFrame:
     """Lay events out as hourly folders; the notices that announce them."""
     arrived = F.timestamp_seconds("ep")
-    core = inputs.event_core(spark, sf)
+    second = F.timestamp_seconds(F.expr(inputs.SECOND))
+    # Many small files: their number, not their bytes, is what the tasks share. Events are dealt
+    # out, not the lines made of them, which are many times as large.
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    events = inputs.table(spark, sf, "events").repartition(tasks, F.date_trunc("hour", second))
+    core = inputs.core_of(events)
     sides = (
         (inputs.client_raw(core), "client_events.json"),
         (inputs.server_raw(core), "server_events.json"),
@@ -274,12 +279,9 @@ def _hourly(spark: SparkSession, sf: str, root: str) -> DataFrame:
         for raw, name in sides
     ]
     folders = ["day", "hour", "file"]
-    # Many small files: their number, not their bytes, is what the tasks share.
-    tasks = 4 * spark.sparkContext.defaultParallelism
     (
         lines[0]
         .unionByName(lines[1])
-        .repartition(tasks, *folders)
         .write.partitionBy(*folders)
         .options(**PACKED_TEXT)
         .text(f"{root}/hourly")
