@@ -36,6 +36,7 @@ from adstream.streaming.sinks import (
     run_of,
     run_together,
     several_days,
+    together,
     write_accounts,
     write_feed,
     write_rejected,
@@ -229,7 +230,7 @@ def _store(
     matched = match_events(*events, scope, counted=counted)
     # Staged once, with the rows of a day together where there are several.
     if several_days(decoded):
-        matched = matched.hint("rebalance", F.col("day"))
+        matched = together(matched)
     with session_conf(spark, DEALT_CONF):
         matched = stage(spark, matched, sinks.staging(write))
     agents = sinks.staging(write, "agents")

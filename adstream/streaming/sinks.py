@@ -247,6 +247,16 @@ DEALT_CONF = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": DEALT_BYTES}
 STAGED_CONF = {"spark.sql.files.maxPartitionBytes": "8m"}
 
 
+def together(matched: DataFrame) -> DataFrame:
+    """The rows of a day together, those of one user agent side by side.
+
+    Agents are the longest texts of the tables and feeds, which then pack into fewer bytes in less
+    time.
+    """
+    order = [name for name in ("day", "user_agent") if name in matched.columns]
+    return matched.hint("rebalance", F.col("day")).sortWithinPartitions(*order)
+
+
 def dealt_by_day(matched: DataFrame, path: str) -> DataFrame:
     """A staged batch, staged once more with the rows of a day together where it has several.
 
@@ -257,7 +267,7 @@ def dealt_by_day(matched: DataFrame, path: str) -> DataFrame:
         return matched
     session = matched.sparkSession
     with session_conf(session, DEALT_CONF):
-        return stage(session, matched.hint("rebalance", F.col("day")), path)
+        return stage(session, together(matched), path)
 
 
 def append_web_users(rows: DataFrame, path: str) -> None:

@@ -58,6 +58,19 @@ def test_rows_of_several_days_are_dealt_by_day_once(spark, root):
     assert dealt_by_day(one, f"{root}/none") is one
 
 
+def test_dealt_rows_of_one_agent_lie_side_by_side(spark, root):
+    n = F.col("id")
+    rows = spark.range(0, 400, 1, 8).select(
+        (20240101 + n % 4).cast("string").alias("day"), F.concat(F.lit("agent "), n % 5).alias("user_agent")
+    )
+    dealt = dealt_by_day(stage(spark, rows, f"{root}/matched"), f"{root}/dealt")
+    files = {}
+    for row in dealt.select("_metadata.file_path", "day", "user_agent").collect():
+        files.setdefault(row.file_path, []).append((row.day, row.user_agent))
+    assert sum(len(found) for found in files.values()) == 400
+    assert all(found == sorted(found) for found in files.values())
+
+
 def test_a_task_writes_several_partitions_without_a_sort(spark, root):
     rows = spark.range(40).select(F.lit("m").alias("value"), F.lit("f").alias("feed"), (F.col("id") % 4).alias("day"))
     write_partitions(rows.coalesce(1), f"{root}/feed", Write("s", "r", 0), ("feed", *PARTITIONS), "text")
