@@ -3,8 +3,9 @@
 Suffixes that cannot be repeated are never sorted. Of the fragments of ``FRAGMENT`` bytes in
 each such string the one with the least hash is its anchor, so equal strings have equal
 anchors at equal places. Anchors whose fragment occurs once in the corpus are dropped. An
-anchor's context holds all strings it can be the anchor of; contexts that are equal as a
-whole are counted, and one of them stands for all.
+anchor's context holds the strings it is the anchor of and no others, so each string is in
+one context, and copies differ in the contexts at their edges alone; contexts that are equal
+as a whole are counted, and one of them stands for all.
 
 Where contexts of one fragment differ (at the edges of copies), shards of them are put into
 suffix arrays by Larsson-Sadakane refinement. Kasai's common prefixes then show which strings
@@ -21,6 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -83,7 +85,8 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 def anchors(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, fragment: int = FRAGMENT):
     """Anchors in some texts that follow one another in ``data`` and end at ``ends``.
 
-    Returns their places in ``data``, bytes of context before and after each place, the
+    Returns their places in ``data``, bytes of context before and after each place (from the
+    first string it is the anchor of to the end of the last; they follow one another), the
     hashes of fragment and context. ``data`` has at most ``1 << CHUNK_BITS`` bytes.
     """
     none = np.zeros(0, np.int64)
@@ -101,10 +104,10 @@ def anchors(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, fragment:
     place = (best[strings] & low).astype(np.int64)
     if not len(place):
         return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
-    place = place[np.r_[True, place[1:] != place[:-1]]]
-    text = np.searchsorted(ends, place, "right")
-    before = np.minimum(place - begins[text], length - fragment)
-    after = np.minimum(ends[text] - place, length)
+    new = np.r_[True, place[1:] != place[:-1]]
+    place, last = place[new], strings[np.r_[new[1:], True]]
+    before = place - strings[new]
+    after = last + length - place
     context = Hashes(data, BASES[1]).of(place - before, place + after)
     context = _mixed(context + before.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     return place, before, after, fragments[place], context
@@ -114,12 +117,13 @@ def _text_anchors(data: np.ndarray, length: int, fragment: int):
     """Anchors of one long text, from chunks that overlap."""
     parts, step = [], (1 << CHUNK_BITS) - 2 * length
     for at in range(0, max(len(data) - length, 0) + 1, step - length):
-        # Contexts reach ``length`` beyond the strings of a chunk on both sides.
+        # Strings and their anchors' contexts reach ``length`` beyond a chunk on both sides.
         begin, end = max(at - length, 0), min(at + step, len(data))
         piece = data[begin:end]
         place, before, after, fh, ch = anchors(piece, np.array([len(piece)]), length, fragment)
-        whole_left = (before == length - fragment) | (begin == 0)
-        whole_right = (after == length) | (end == len(data))
+        # All strings that it can be the anchor of have to be in the piece.
+        whole_left = (place >= length - fragment) | (begin == 0)
+        whole_right = (place + length <= len(piece)) | (end == len(data))
         keep = whole_left & whole_right
         parts.append([x[keep] for x in (place + begin, before, after, fh, ch)])
     place, *rest = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -307,13 +311,16 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = []
-        for text, wanted in zip(batch["text"].to_pylist(), batch["wanted"].to_pylist(), strict=True):
-            data = text.encode()
-            for w in wanted:
-                rows.append({**w, "context": data[w["place"] - w["before"] : w["place"] + w["after"]]})
-        for at in range(0, len(rows), 4096):
-            yield pa.RecordBatch.from_pylist(rows[at : at + 4096], WANTED)
+        data, offsets = utf8(batch["text"])
+        data, text = data.tobytes(), pc.list_parent_indices(batch["wanted"]).to_numpy()
+        wanted = dict(zip(WANTED.names[:-1], pc.list_flatten(batch["wanted"]).flatten(), strict=True))
+        place, before, after = (wanted[c].to_numpy().astype(np.int64) for c in ("place", "before", "after"))
+        place = place + offsets[text]
+        begin, end = (place - before).tolist(), (place + after).tolist()
+        for at in range(0, len(begin), 4096):
+            part = slice(at, at + 4096)
+            context = pa.array([data[a:b] for a, b in zip(begin[part], end[part], strict=True)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(x[part] for x in wanted.values()), context], schema=WANTED)
 
 
 WANTED = pa.schema(
@@ -395,10 +402,10 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, fragment: int = FRAGM
         "fh",
         "ch",
         (-F.col("one.before")).cast("int").alias("first"),
-        F.least(F.lit(0), F.col("one.after") - length).cast("int").alias("last"),
+        (F.col("one.after") - length).cast("int").alias("last"),
     )
     runs = ["fh", "ch", "first", "last"]
-    repeated = found.where("core1 IS NULL").select(*runs).unionByName(alike.where("last >= first"))
+    repeated = found.where("core1 IS NULL").select(*runs).unionByName(alike)
     handed_on = found.where("core1 IS NOT NULL")
     if not handed_on.isEmpty():
         cores = handed_on.groupBy("core1", "core2").agg(F.count("*").alias("n")).where("n > 1")
@@ -419,14 +426,16 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, fragment: int = FRAGM
     )
 
 
-def _spans(starts: list[dict], length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Maximal covered runs: begins and ends."""
-    a = np.array([s["a"] for s in starts], np.int64)
-    b = np.array([s["b"] for s in starts], np.int64) + length
+def _spans(a: np.ndarray, b: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Maximal covered runs of some texts that follow one another: begins, ends and texts.
+
+    ``a`` and ``b`` are places at which covered strings begin and end, ``text`` their texts.
+    """
     at = np.argsort(a, kind="stable")
-    a, b = a[at], np.maximum.accumulate(b[at])
-    new = np.r_[True, a[1:] > b[:-1]]
-    return a[new], b[np.r_[new[1:], True]]
+    a, b, text = a[at], np.maximum.accumulate(b[at]), text[at]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] > b[:-1]) | (text[1:] != text[:-1])
+    return a[new], b[np.roll(new, -1)], text[new]
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, fragment: int = FRAGMENT, shard: int = SHARD) -> DataFrame:
@@ -443,23 +452,23 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, fragment: int = FRAGME
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, removed, spans, kept = [], [], [], []
-            for text, own in zip(batch["text"].to_pylist(), batch["starts"].to_pylist(), strict=True):
-                data = text.encode()
-                sizes.append(len(data))
-                if not own:
-                    removed.append(0)
-                    spans.append(0)
-                    kept.append(data)
-                    continue
-                begin, end = _spans(own, length)
-                removed.append(int((end - begin).sum()))
-                spans.append(len(begin))
-                edges = zip([0, *end.tolist()], [*begin.tolist(), len(data)], strict=True)
-                kept.append(b"".join(data[a:b] for a, b in edges))
-            longs = [pa.array(x, pa.int64()) for x in (sizes, removed, spans)]
+            data, offsets = utf8(batch["text"])
+            n, starts = batch.num_rows, batch["starts"]
+            text = pc.list_parent_indices(starts).to_numpy()
+            a, b = (x.to_numpy().astype(np.int64) + offsets[text] for x in pc.list_flatten(starts).flatten())
+            begin, end, text = _spans(a, b + length, text)
+            edges = np.zeros(len(data) + 1, np.int8)
+            edges[begin] += 1
+            edges[end] -= 1
+            removed = np.zeros(n, np.int64)
+            np.add.at(removed, text, end - begin)
+            sizes = np.diff(offsets)
+            ends = np.r_[0, np.cumsum(sizes - removed)].astype(np.int32)
+            left = data[np.cumsum(edges[:-1], dtype=np.int8) == 0]
+            kept = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(left)])
+            longs = [pa.array(x) for x in (sizes, removed, np.bincount(text, minlength=n))]
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], *longs, pa.array(kept, pa.binary())],
+                [batch["doc_id"], *longs, kept],
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
             )
 

@@ -91,3 +91,31 @@ def test_suffix_array_and_common_prefixes():
                 m = min(len(a), len(b))
                 differ = np.flatnonzero(a[:m] != b[:m])
                 assert shared[k] == min(int(differ[0]) if len(differ) else m, limit)
+
+
+def in_contexts(place, before, after, length):
+    return [s for p, b, a in zip(place, before, after, strict=True) for s in range(p - b, p + a - length + 1)]
+
+
+def test_each_string_is_in_one_context():
+    rng = np.random.default_rng(3)
+    sizes = [0, 23, 24, 400, 5, 60, 300]
+    data = rng.integers(97, 100, sum(sizes)).astype(np.uint8)
+    data[100:300] = 97  # fragments that repeat side by side
+    ends = np.cumsum(sizes)
+    place, before, after, *_ = suffixdedup.anchors(data, ends, LENGTH, FRAGMENT)
+    whole = [s for e, n in zip(ends, sizes, strict=True) for s in range(e - n, e - LENGTH + 1)]
+    assert in_contexts(place, before, after, LENGTH) == whole
+    # Equal strings have their anchor at the same place.
+    strings = data.tobytes()
+    at = {}
+    for p, b, a in zip(place, before, after, strict=True):
+        for s in range(p - b, p + a - LENGTH + 1):
+            assert at.setdefault(strings[s : s + LENGTH], p - s) == p - s
+
+
+def test_each_string_of_a_long_text_is_in_one_context():
+    data = np.random.default_rng(4).integers(97, 123, (1 << suffixdedup.CHUNK_BITS) * 2 + 77).astype(np.uint8)
+    place, before, after, *_ = suffixdedup._text_anchors(data, suffixdedup.LENGTH, suffixdedup.FRAGMENT)
+    starts = np.concatenate([np.arange(p - b, p + a - 199) for p, b, a in zip(place, before, after, strict=True)])
+    assert np.array_equal(starts, np.arange(len(data) - 199))
