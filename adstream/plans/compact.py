@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from adstream.schemas import PARTITION_COLUMNS
 from adstream.session import configure, scratch_path
+from adstream.sources.events import listed_sizes
 from adstream.sources.stored import (
     PUBLISHED,
     copies_path,
@@ -60,6 +61,8 @@ def rewrite(
     if copied:
         reader = spark.read.schema(stored_schema(name)).option("basePath", base)
         rows = rows.unionByName(reader.parquet(*copied).select(*columns))
+        # Of a day compacted before, the old copy is most of what is written again.
+        size += listed_sizes(spark, copied).agg(F.sum("bytes")).first()[0]
     version = uuid.uuid4().hex
     sort = ["day", *SORTED_BY[name]]
     files = max(math.ceil(size / file_bytes), len(days))

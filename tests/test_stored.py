@@ -16,6 +16,7 @@ from adstream.streaming.sinks import PARTITIONS, Sinks, Write, read_accounts, wr
 from tests.rows import client_json, server_json, values
 from tests.test_streaming import notice, put_folder
 from tests.test_tables import dims
+from workload import queries
 
 
 @pytest.fixture
@@ -87,6 +88,44 @@ def test_copies_are_sorted_and_sized(spark, root):
         assert found == sorted(found, key=lambda a: (a is not None, a))
 
 
+def test_a_second_copy_is_sized_by_all_its_rows(spark, root):
+    for batch_id, name in enumerate("ABCD"):
+        put(spark, root, "20240101", batch_id, [f"{name}{i}" for i in range(3000)], advertiser=name)
+    for late in (8, 9):
+        compact.compact_days(spark, root, "Ad_impressions", "20240102", file_bytes=20_000)
+        put(spark, root, "20240101", late, [f"late{late}"])
+    read = read_table(spark, root, "Ad_impressions")
+    assert 1 < len([f for f in read.inputFiles() if "_compacted" in f]) < 20
+    assert read.count() == 12002
+    (row,) = published(spark, root, "Ad_impressions").collect()
+    assert (row.seq, len(row.covered)) == (2, 5)
+
+
+def compacted(spark, root, monkeypatch):
+    """The registered query over a table of the ingest below ``root``, and where it compacts."""
+    monkeypatch.setattr(queries, "_ingested", lambda spark, sf: root)
+    monkeypatch.setattr(queries, "scratch_path", lambda spark, name: f"{root}/{name}")
+    found = queries.impressions_after_compaction(spark, "no tables")
+    return values(found, "user_id", "ad_id"), f"{root}/compaction"
+
+
+def test_the_query_compacts_a_day_twice_and_rows_come_after(spark, root, monkeypatch):
+    for batch_id, day in enumerate(("20240101", "20240101", "20240102", "20240103")):
+        put(spark, f"{root}/out", day, batch_id, [f"{day}_{i}" for i in range(100)])
+    rows, place = compacted(spark, root, monkeypatch)
+    assert rows == values(read_table(spark, f"{root}/out", "Ad_impressions"), "user_id", "ad_id")
+    copies = published(spark, place, "Ad_impressions").collect()
+    assert {r.day: (r.seq, {f.split("/")[1] for f in r.covered}) for r in copies} == {"20240101": (2, {"run=r", "run=later0"}), "20240102": (1, {"run=r"})}
+    beside = uncovered(spark, place, "Ad_impressions").collect()
+    assert {(r.day, r.folder.split("/")[1]) for r in beside} == {("20240101", "run=later1"), ("20240103", "run=r")}
+
+
+def test_the_query_has_the_rows_of_a_table_of_one_day_once(spark, root, monkeypatch):
+    put(spark, f"{root}/out", "20240101", 0, [f"u{i}" for i in range(100)])
+    rows, place = compacted(spark, root, monkeypatch)
+    assert len(rows) == len(set(rows)) == 100 and published(spark, place, "Ad_impressions").count() == 0
+
+
 def test_readers_do_without_removed_folders(spark, root, tmp_path):
     root = f"{tmp_path}/moved"
     put(spark, root, "20240101", 0, ["a"])

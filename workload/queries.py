@@ -474,25 +474,36 @@ def report_of_days(spark: SparkSession, sf: str) -> DataFrame:
 
 def _grown(spark: SparkSession, sf: str, name: str, root: str, *jobs) -> None:
     """Copy a table of the shared ingest in steps: all days but the last, without some rows of the
-    first day; those rows; the last day. A job runs after each step."""
+    first day; those rows, in as many steps as there are jobs left; the last day. A job runs after
+    each step."""
     stored = spark.read.parquet(f"{_ingested(spark, sf)}/out/{name}")
     first, last = stored.agg(F.min("day"), F.max("day")).first()
-    late = (F.col("day") == first) & (F.crc32("user_id") % 4 == 0)
-    later = stored.where(late).withColumn("run", F.lit("later"))
-    steps = (stored.where(~late & (F.col("day") < last)), later, stored.where(F.col("day") == last))
-    for rows, job in zip(steps, jobs):
+    # The only day of a table comes whole, as the last.
+    late = (F.col("day") == first) & (F.col("day") < last) & (F.crc32("user_id") % 4 == 0)
+    turns = len(jobs) - 2
+    turn = F.shiftright(F.crc32("user_id"), 2) % turns
+    later = [stored.where(late & (turn == n)).withColumn("run", F.lit(f"later{n}")) for n in range(turns)]
+    steps = (stored.where(~late & (F.col("day") < last)), *later, stored.where(F.col("day") == last))
+    for rows, job in zip(steps, jobs, strict=True):
         rows.write.mode("append").partitionBy(*PARTITIONS).parquet(f"{root}/{name}")
         job(str(last))
 
 
 def impressions_after_compaction(spark: SparkSession, sf: str) -> DataFrame:
-    """The stored table where days have been compacted, one of them twice, and rows came after."""
+    """The stored table where days have been compacted, one of them twice, and rows came after.
+
+    Of those, some came to the day compacted twice and are read beside its copy, the others are the
+    last day, which is still open.
+    """
     root = scratch_path(spark, "compaction")
 
     def compact(last: str) -> None:
         compact_days(spark, root, "Ad_impressions", last)
 
-    _grown(spark, sf, "Ad_impressions", root, compact, lambda last: None, lambda last: None)
+    def between(last: str) -> None:
+        """Rows that come between compactions are read without one."""
+
+    _grown(spark, sf, "Ad_impressions", root, compact, compact, between, between)
     return read_table(spark, root, "Ad_impressions")
 
 
